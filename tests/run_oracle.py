@@ -16,7 +16,7 @@ from tidewheel.session import build_session  # noqa: E402
 def main() -> None:
     base = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     spark = build_session(
-        "oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        "oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -146,14 +146,41 @@ def rolling_sums(
     frame for each row) and, through slices, spread for hot keys. ``slice_by`` is an expression
     over ``at``. Values are added as decimals with six places, so taking away is exact.
     """
-    exact = F.col(value).cast(_DEC)
-    one = F.col(value).isNotNull().cast("int")
-    adds = df.withColumns({"_d": exact, "_c": one, "_expiry": F.lit(False)})
-    gone = df.where(F.col(value).isNotNull()).select(
+    rows = df.withColumns(
+        {"_d": F.col(value).cast(_DEC), "_c": F.col(value).isNotNull().cast("bigint")}
+    )
+    return _rolled(rows, keys, at, slice_by, reach, prefix)
+
+
+def rolling_totals(
+    df: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    slice_by: Column,
+    value: str,
+    reach: int,
+    prefix: str = "rolling",
+) -> DataFrame:
+    """:func:`rolling_sums` with one output row per (key, ``at``).
+
+    Rows of one time are added up before the shuffle, so even a key whose rows all share a few
+    times (days, say) costs only its number of times.
+    """
+    per_time = df.groupBy(*keys, at).agg(
+        F.sum(F.col(value).cast(_DEC)).cast(_DEC).alias("_d"), F.count(value).alias("_c")
+    )
+    return _rolled(per_time, keys, at, slice_by, reach, prefix)
+
+
+def _rolled(
+    rows: DataFrame, keys: Sequence[str], at: str, slice_by: Column, reach: int, prefix: str
+) -> DataFrame:
+    adds = rows.withColumn("_expiry", F.lit(False))
+    gone = rows.where("_c > 0").select(
         *keys,
         (F.col(at) + (reach + 1)).alias(at),
-        (-exact).alias("_d"),
-        (-one).alias("_c"),
+        (-F.col("_d")).alias("_d"),
+        (-F.col("_c")).alias("_c"),
         F.lit(True).alias("_expiry"),
     )
     changes = adds.unionByName(gone, allowMissingColumns=True).withColumn("_slice", slice_by)
@@ -165,7 +192,7 @@ def rolling_sums(
         *keys, "_slice", F.sum("_d").over(before).alias("_d"), F.sum("_c").over(before).alias("_c")
     ).withColumn("_expiry", F.lit(True))
     # The seed has no time of its own: place it before every row of its slice.
-    rows = changes.withColumn("_at", F.col(at)).unionByName(
+    placed = changes.withColumn("_at", F.col(at)).unionByName(
         seeds.withColumn("_at", F.lit(-(1 << 62)).cast("bigint")), allowMissingColumns=True
     )
     w = (
@@ -175,7 +202,7 @@ def rolling_sums(
     )
     n = F.sum("_c").over(w)
     return (
-        rows.withColumns(
+        placed.withColumns(
             {
                 f"{prefix}_n": F.coalesce(n, F.lit(0)),
                 f"{prefix}_sum": F.when(n > 0, F.sum("_d").over(w).cast("double")),

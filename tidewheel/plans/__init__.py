@@ -4,6 +4,13 @@ from tidewheel.plans.registry import ORACLES, QUERIES, Tables
 
 from tidewheel.plans import (  # noqa: F401  (importing registers the queries)
     reports,
+    scalars,
+    joins,
+    aggregates,
+    windows,
+    sets,
+    files,
+    loads,
 )
 
 __all__ = ["ORACLES", "QUERIES", "Tables"]
