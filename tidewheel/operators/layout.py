@@ -41,6 +41,11 @@ def compact(
     df.repartition(max(1, -(-size // file_bytes))).write.mode("overwrite").parquet(target)
 
 
+def _rank(column: str) -> Column:
+    """How many of the column's quantile bounds lie below its value."""
+    return F.size(F.filter(f"_b_{column}", lambda bound: bound < F.col(column)))
+
+
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
     """Add ``_z``: interleaved bits of each column's quantile rank (2 ** bits ranks per column).
 
@@ -54,7 +59,7 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
     for c in columns:
         bounds = df.agg(F.percentile_approx(c, points).alias("b")).scalar()
         out = out.withColumn(f"_b_{c}", bounds)
-        ranks.append(F.size(F.filter(f"_b_{c}", lambda b, c=c: b < F.col(c))))
+        ranks.append(_rank(c))
     terms = [
         F.shiftleft(F.shiftright(rank, i).bitwiseAND(F.lit(1)).cast("bigint"), i * len(columns) + j)
         for j, rank in enumerate(ranks)

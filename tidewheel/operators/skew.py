@@ -49,4 +49,4 @@ def partition_rows(df: DataFrame) -> DataFrame:
 
 def partition_count(df: DataFrame) -> DataFrame:
     """Number of partitions that hold rows."""
-    return df.agg(F.count_distinct(F.spark_partition_id()).alias("n_partitions"))
+    return partition_rows(df).agg(F.count("*").alias("n_partitions"))

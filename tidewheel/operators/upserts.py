@@ -39,13 +39,15 @@ def upsert(
     newest: tuple[str, str] | None = None,
     insert: bool = True,
     delete_when: Column | None = None,
+    insert_when: Column | None = None,
 ) -> DataFrame:
     """Matched rows are updated, unmatched source rows inserted.
 
     ``update`` maps columns to expressions over the structs ``t`` (table row) and ``s`` (batch
     row); without it all columns are taken from the batch. ``newest`` = (time, tie) keeps one
     batch row per key, otherwise the batch must have unique keys. ``delete_when`` is a condition
-    over ``t`` and ``s`` on matched rows. A NULL key matches nothing.
+    over ``t`` and ``s`` on matched rows, ``insert_when`` one over the columns of new batch rows.
+    A NULL key matches nothing.
     """
     if newest:
         keyed = latest(source.where(_has_key(keys)), keys, *newest)
@@ -71,8 +73,8 @@ def upsert(
     parts = [kept, target.where(~_has_key(keys))]
     if insert:
         fresh = _new_keys(target, batch, keys).unionByName(source.where(~_has_key(keys)))
-        if delete_when is not None and "op" in source.columns:
-            fresh = fresh.where(F.col("op") != "D")
+        if insert_when is not None:
+            fresh = fresh.where(insert_when)
         lacking = [F.lit(None).cast(target.schema[c].dataType).alias(c) for c in columns if c not in fresh.columns]
         parts.append(fresh.select("*", *lacking).select(*columns))
     return reduce(DataFrame.unionByName, parts)
@@ -99,7 +101,12 @@ def apply_changes(
     The newest event per key decides; a deleted key that comes back is an insert again.
     """
     return upsert(
-        target, changes, keys, newest=(at, tie), delete_when=F.col("s.op") == F.lit("D")
+        target,
+        changes,
+        keys,
+        newest=(at, tie),
+        delete_when=F.col("s.op") == "D",
+        insert_when=F.col("op") != "D",
     )
 
 

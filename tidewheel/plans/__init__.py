@@ -11,6 +11,9 @@ from tidewheel.plans import (  # noqa: F401  (importing registers the queries)
     sets,
     files,
     loads,
+    checks,
+    layouts,
+    streams,
 )
 
 __all__ = ["ORACLES", "QUERIES", "Tables"]

@@ -48,3 +48,9 @@ def new_files(
 ) -> DataFrame:
     """Streaming read of a folder: each run picks up files its checkpoint has not seen."""
     return spark.readStream.format(fmt).schema(schema).options(**options).load(path)
+
+
+def table_stream(spark: SparkSession, base: str, name: str, schema: T.StructType | str) -> DataFrame:
+    """One table of a folder as a stream. The path is a pattern, so that the table may be a
+    folder of files or a single file (a plain path must be a folder)."""
+    return new_files(spark, f"{base}/{name}.parque[t]", schema)

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewheel.operators.upserts import upsert
 from tidewheel.operators.windows import top_n
@@ -43,7 +44,7 @@ def drained(stream: DataFrame, purpose: str, mode: str = "append") -> DataFrame:
     spark = stream.sparkSession
     out = fresh_dir(spark, purpose)
     drain(stream, to_batch_folders(f"{out}/rows"), f"{out}/checkpoint", mode)
-    schema = stream.schema.add("batch_id", "bigint")
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])
     return spark.read.schema(schema).parquet(f"{out}/rows")
 
 

@@ -81,24 +81,37 @@ def throttle(df: DataFrame, user: str, tick: str, order: Sequence[str], n: int)
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
-def throttle_stream(df: DataFrame, user: str, at: str, row_id: str, amount: str, n: int) -> DataFrame:
-    """Streaming :func:`throttle` by second. State is one counter per (user, second) and is
-    dropped when the watermark passes. Input needs a watermark on ``at``."""
+def throttle_stream(
+    df: DataFrame, user: str, at: str, row_id: str, amount: str, n: int, groups: int = 256
+) -> DataFrame:
+    """Streaming :func:`throttle` by second, first by ``row_id`` within a micro-batch.
+
+    (user, second) pairs are hashed into ``groups`` state groups, so that one call handles many
+    pairs at once and a busy user is spread over groups by its seconds. A group's state counts
+    accepted events per pair and forgets seconds the watermark has passed. Input needs a
+    watermark on ``at``.
+    """
 
     def take(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        mark = state.getCurrentWatermarkMs() // 1000
+        old = state.get if state.exists else ([], [], [])
+        known = pd.DataFrame({"user_id": old[0], "second": old[1], "used": old[2]}, dtype="int64")
+        if not state.hasTimedOut:
+            rows = pd.concat(list(batches)).sort_values("row_id")
+            rows = rows.merge(known, on=["user_id", "second"], how="left")
+            place = rows.groupby(["user_id", "second"]).cumcount() + rows["used"].fillna(0)
+            taken = rows[place < n]
+            counts = taken.groupby(["user_id", "second"]).size().rename("used").reset_index()
+            known = pd.concat([known, counts]).groupby(["user_id", "second"]).sum().reset_index()
+            yield taken[["row_id", "user_id", "second", "amount"]]
+        known = known[known["second"] >= mark]
+        if known.empty:
             state.remove()
-            return
-        used = state.get[0] if state.exists else 0
-        for batch in batches:
-            ordered = batch.sort_values(row_id).head(max(0, n - used))
-            used += len(ordered)
-            if len(ordered):
-                yield ordered[["row_id", "user_id", "second", "amount"]]
-        state.update((used,))
-        state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), int(key[1]) * 1000) + 1000)
+        else:
+            state.update(tuple(known[c].tolist() for c in ("user_id", "second", "used")))
+            state.setTimeoutTimestamp((max(mark, int(known["second"].max())) + 1) * 1000)
 
     shaped = df.select(
         F.col(row_id).cast("bigint").alias("row_id"),
@@ -106,12 +119,12 @@ def throttle_stream(df: DataFrame, user: str, at: str, row_id: str, amount: str,
         F.col(at).cast("bigint").alias("second"),
         F.col(amount).cast("double").alias("amount"),
         F.col(at).alias("at"),
+        F.pmod(F.xxhash64(F.col(user), F.col(at)), F.lit(groups)).alias("state_group"),
     )
-    row_id = "row_id"
-    return shaped.groupBy("user_id", "second").applyInPandasWithState(
+    return shaped.groupBy("state_group").applyInPandasWithState(
         take,
         "row_id BIGINT, user_id BIGINT, second BIGINT, amount DOUBLE",
-        "used INT",
+        "users ARRAY<BIGINT>, seconds ARRAY<BIGINT>, used ARRAY<BIGINT>",
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )
