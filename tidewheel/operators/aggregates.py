@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions.times import time_slice
 from tidewheel.operators.skew import salt_of
-from tidewheel.operators.windows import running_sums
+from tidewheel.operators.windows import HOT_ROWS, running_sums
 
 
 def salted_totals(
@@ -39,7 +39,9 @@ def pivot_sum(
     return df.groupBy(*keys).pivot(column, list(values)).agg(measure)
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
+def exact_median(
+    df: DataFrame, keys: Sequence[str], value: str, width: float, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Exact median per key without holding a key's values in one task.
 
     Equal values are counted first; running counts over value slices of ``width`` give each
@@ -56,6 +58,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, width: float) -
         [value],
         time_slice(F.col(value), width),
         {"_upto": F.col("_n")},
+        hot_rows=hot_rows,
     )
     sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_all"))
     # Keys are never NULL-matched by a plain join, so compare them null-safe.

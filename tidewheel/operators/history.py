@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.operators.upserts import insert_new, upsert
-from tidewheel.operators.windows import carried
+from tidewheel.operators.windows import HOT_ROWS, carried
 
 
 def keep_first(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -98,6 +98,7 @@ def version_at(
     row_id: str,
     attrs: Sequence[str],
     slice_by: Column,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """For each fact the attributes that were valid at its time; NULL where none was.
 
@@ -109,7 +110,9 @@ def version_at(
         *keys, F.col("effective_from").cast(facts.schema[at].dataType).alias(at), payload.alias("_version")
     ).withColumn("_kind", F.lit(0))
     both = facts.withColumn("_kind", F.lit(1)).unionByName(events, allowMissingColumns=True)
-    seen = carried(both, keys, [at, "_kind", row_id], slice_by, {"_valid": F.col("_version")})
+    order = [at, "_kind", row_id]
+    newest = {"_valid": F.col("_version")}
+    seen = carried(both, keys, order, slice_by, newest, hot_rows=hot_rows)
     ended = F.col(at) >= F.col("_valid.effective_to")
     return (
         seen.where("_kind = 1")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions.text import clean
 from tidewheel.functions.times import epoch_seconds, time_slice
-from tidewheel.operators.windows import latest, rolling_sums
+from tidewheel.operators.windows import HOT_ROWS, latest, rolling_sums
 
 _MARKS = "source STRING, mark TIMESTAMP_NTZ"
 
@@ -70,6 +70,7 @@ def spend_of_new(
     mark: dt.datetime | None,
     reach: int = 86_400,
     slice_width: int = 3_600,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rolling spend (``spend``) for rows after ``mark``.
 
@@ -88,6 +89,7 @@ def spend_of_new(
         amount,
         reach,
         prefix="_spend",
+        hot_rows=hot_rows,
     ).withColumn("spend", F.round("_spend_sum", 2))
     if mark is not None:
         rolled = rolled.where(F.col(at) > F.lit(mark).cast("timestamp_ntz"))

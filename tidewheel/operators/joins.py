@@ -74,10 +74,10 @@ def hot_split_join(
 
     At most ``1 / share`` dimension rows are broadcast, whatever the size of the tables.
     """
-    flagged = flag_hot(fact, keys, share, "_hot")
+    flagged = flag_hot(fact, keys, share, flag="_hot")
     hot_dim = dim.join(F.broadcast(hot_keys(fact, keys, share)), list(keys), "left_semi")
     hot = flagged.where("_hot").drop("_hot").join(F.broadcast(hot_dim), list(keys))
-    rest = flagged.where("NOT _hot").drop("_hot").join(dim, list(keys))
+    rest = flagged.where("_hot IS NULL").drop("_hot").join(dim, list(keys))
     return hot.unionByName(rest)
 
 

@@ -41,9 +41,18 @@ def compact(
     df.repartition(max(1, -(-size // file_bytes))).write.mode("overwrite").parquet(target)
 
 
-def _rank(column: str) -> Column:
-    """How many of the column's quantile bounds lie below its value."""
-    return F.size(F.filter(f"_b_{column}", lambda bound: bound < F.col(column)))
+def _with_rank(df: DataFrame, column: str, bits: int) -> DataFrame:
+    """Add ``_r_<column>``: how many of the quantile bounds lie below the value.
+
+    A binary search, one bit per step; each step is a column, so that none is computed twice.
+    """
+    rank = f"_r_{column}"
+    df = df.withColumn(rank, F.lit(0))
+    for bit in reversed(range(bits)):
+        bound = F.get(F.col(f"_b_{column}"), F.col(rank) + ((1 << bit) - 1))
+        step = F.when(bound < F.col(column), 1 << bit).otherwise(0)
+        df = df.withColumn(rank, F.col(rank) + step)
+    return df
 
 
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
@@ -55,18 +64,21 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
     cells = 1 << bits
     points = [i / cells for i in range(1, cells)]
     out = df
-    ranks = []
     for c in columns:
         bounds = df.agg(F.percentile_approx(c, points).alias("b")).scalar()
         out = out.withColumn(f"_b_{c}", bounds)
-        ranks.append(_rank(c))
+        out = _with_rank(out, c, bits)
     terms = [
-        F.shiftleft(F.shiftright(rank, i).bitwiseAND(F.lit(1)).cast("bigint"), i * len(columns) + j)
-        for j, rank in enumerate(ranks)
+        F.shiftleft(
+            F.shiftright(f"_r_{c}", i).bitwiseAND(F.lit(1)).cast("bigint"), i * len(columns) + j
+        )
+        for j, c in enumerate(columns)
         for i in range(bits)
     ]
     z = reduce(lambda a, b: a.bitwiseOR(b), terms)
-    return out.withColumn("_z", z).drop(*[f"_b_{c}" for c in columns])
+    return out.withColumn("_z", z).drop(
+        *[f"_b_{c}" for c in columns], *[f"_r_{c}" for c in columns]
+    )
 
 
 def clustered(df: DataFrame, columns: Sequence[str], row_id: Sequence[str], n: int, bits: int = 6) -> DataFrame:

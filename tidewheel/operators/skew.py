@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,19 +16,29 @@ def key_shares(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counts.withColumn("share", F.col("n_rows") / total)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.001) -> DataFrame:
-    """Keys with at least ``share`` of all rows: never more than ``1 / share`` of them."""
-    return key_shares(df, keys).where(F.col("share") >= share).select(*keys)
-
-
-def flag_hot(df: DataFrame, keys: Sequence[str], share: float = 0.001, flag: str = "is_hot") -> DataFrame:
-    """Mark rows of hot keys. The broadcast side has at most ``1 / share`` rows."""
-    hot = hot_keys(df, keys, share).withColumn(flag, F.lit(True))
-    for key in keys:
-        hot = hot.where(F.col(key).isNotNull())
-    return df.join(F.broadcast(hot), list(keys), "left").withColumn(
-        flag, F.coalesce(F.col(flag), F.lit(False))
-    )
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], share: float = 0.001, min_rows: int = 1
+) -> DataFrame:
+    """Keys with at least ``share`` of all rows (and ``min_rows``): at most ``1 / share`` of them."""
+    hot = (F.col("share") >= share) & (F.col("n_rows") >= min_rows)
+    return key_shares(df, keys).where(hot).select(*keys)
+
+
+def flag_hot(
+    df: DataFrame,
+    keys: Sequence[str],
+    share: float = 0.001,
+    min_rows: int = 1,
+    flag: str = "is_hot",
+) -> DataFrame:
+    """``flag`` is true on rows of hot keys and NULL on others; a NULL key can be hot too.
+
+    The broadcast side has at most ``1 / share`` rows, whatever the size of ``df``.
+    """
+    names = {k: f"_hot_{k}" for k in keys}
+    hot = hot_keys(df, keys, share, min_rows).withColumnsRenamed(names).withColumn(flag, F.lit(True))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(h)) for k, h in names.items()))
+    return df.join(F.broadcast(hot), same, "left").drop(*names.values())
 
 
 def salt_of(row_id: Sequence[str], n: int) -> Column:

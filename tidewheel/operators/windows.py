@@ -1,13 +1,18 @@
 """Ordered computations over groups that may be very large.
 
-A plain window puts a whole key in one task. Here the order column is cut into slices, each
-(key, slice) is a window of its own, and what the earlier slices contribute arrives as one
-*seed row* at the head of the slice. Seeds come from a small aggregate per (key, slice) that
-combines before its shuffle; only that aggregate is windowed over the whole key. A key with a
-third of all rows is thereby spread over as many tasks as it has slices.
-
-``slice_by`` must never fall when the order columns rise, and rows that compare equal must
-share a slice. Order columns must be unique within a key where a function counts rows.
+A plain window puts a whole key in one task. That is fine for most keys and fatal for a key with
+a third of all rows. Here the rows per key are counted first. Keys below ``hot_rows`` get the
+plain window. The order column of the others is cut into slices: each (key, slice) is a window
+of its own, and what the earlier slices contribute arrives as one *seed row* at the head of the
+slice. Seeds come from an aggregate per (hot key, slice), which combines before its shuffle.
+
+``slice_by`` must never fall when the order columns rise, and rows that compare equal must share
+a slice. It is only applied to hot keys, so it can be fine: choose it so that the busiest key has
+at most some million rows in a slice. Order columns must be unique within a key where a function
+counts rows.
+
+A key is hot from ``hot_rows`` rows on or, on very large inputs, from a millionth of all rows on.
+The broadcast list of hot keys therefore never exceeds a million keys.
 """
 
 from __future__ import annotations
@@ -17,6 +22,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewheel.operators.skew import flag_hot
+
+HOT_ROWS = 1_000_000
+_HOT_SHARE = 1e-6
 _DEC = "decimal(28,6)"
 
 
@@ -24,8 +33,14 @@ def _ordered(order: Sequence[str], backwards: bool) -> list[Column]:
     return [F.col(c).desc() if backwards else F.col(c).asc() for c in order]
 
 
+def _sliced(df: DataFrame, keys: Sequence[str], slice_by: Column, hot_rows: int) -> DataFrame:
+    """Add ``_hot`` and ``_slice``; a key that is not hot is one slice."""
+    flagged = flag_hot(df, keys, _HOT_SHARE, hot_rows, "_hot")
+    return flagged.withColumn("_slice", F.when(F.col("_hot"), slice_by))
+
+
 def _with_seeds(sliced: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Data rows (``_seq`` 1) with one seed row (``_seq`` 0) per (key, slice)."""
+    """Data rows (``_seq`` 1) with one seed row (``_seq`` 0) per (hot key, slice)."""
     return sliced.withColumn("_seq", F.lit(1)).unionByName(
         seeds.withColumn("_seq", F.lit(0)), allowMissingColumns=True
     )
@@ -46,13 +61,14 @@ def running_sums(
     slice_by: Column,
     sums: dict[str, Column],
     backwards: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Running total per key for each entry of ``sums``, current row included."""
     names = list(sums)
-    sliced = df.withColumns(
-        {"_slice": slice_by, **{f"_v_{n}": expr for n, expr in sums.items()}}
+    sliced = _sliced(df, keys, slice_by, hot_rows).withColumns(
+        {f"_v_{n}": expr for n, expr in sums.items()}
     )
-    per_slice = sliced.groupBy(*keys, "_slice").agg(
+    per_slice = sliced.where("_hot").groupBy(*keys, "_slice").agg(
         *[F.sum(f"_v_{n}").alias(f"_v_{n}") for n in names]
     )
     before = _earlier(keys, backwards)
@@ -71,7 +87,7 @@ def running_sums(
         _with_seeds(sliced, seeds)
         .withColumns({n: F.sum(f"_v_{n}").over(w) for n in names})
         .where("_seq = 1")
-        .drop("_seq", "_slice", *[f"_v_{n}" for n in names])
+        .drop("_seq", "_hot", "_slice", *[f"_v_{n}" for n in names])
     )
 
 
@@ -83,15 +99,16 @@ def carried(
     values: dict[str, Column],
     include_current: bool = True,
     backwards: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Last non-NULL value of each entry, up to the current row (or the one before it)."""
     names = list(values)
-    sliced = df.withColumns(
-        {"_slice": slice_by, **{f"_v_{n}": expr for n, expr in values.items()}}
+    sliced = _sliced(df, keys, slice_by, hot_rows).withColumns(
+        {f"_v_{n}": expr for n, expr in values.items()}
     )
     newest = F.min_by if backwards else F.max_by
     at = F.struct(*order)
-    per_slice = sliced.groupBy(*keys, "_slice").agg(
+    per_slice = sliced.where("_hot").groupBy(*keys, "_slice").agg(
         *[
             newest(F.col(f"_v_{n}"), F.when(F.col(f"_v_{n}").isNotNull(), at)).alias(f"_v_{n}")
             for n in names
@@ -112,7 +129,7 @@ def carried(
         _with_seeds(sliced, seeds)
         .withColumns({n: F.last(f"_v_{n}", ignorenulls=True).over(w) for n in names})
         .where("_seq = 1")
-        .drop("_seq", "_slice", *[f"_v_{n}" for n in names])
+        .drop("_seq", "_hot", "_slice", *[f"_v_{n}" for n in names])
     )
 
 
@@ -123,10 +140,11 @@ def neighbour(
     slice_by: Column,
     values: dict[str, Column],
     following: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Value of the row before (or after) each row; a NULL neighbour stays NULL."""
     boxed = {name: F.struct(expr.alias("v")) for name, expr in values.items()}
-    out = carried(df, keys, order, slice_by, boxed, include_current=False, backwards=following)
+    out = carried(df, keys, order, slice_by, boxed, False, following, hot_rows)
     return out.withColumns({name: F.col(f"{name}.v") for name in values})
 
 
@@ -138,6 +156,7 @@ def rolling_sums(
     value: str,
     reach: int,
     prefix: str = "rolling",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Sum and count of ``value`` over ``[at - reach, at]``, both ends and all ties included.
 
@@ -149,7 +168,7 @@ def rolling_sums(
     rows = df.withColumns(
         {"_d": F.col(value).cast(_DEC), "_c": F.col(value).isNotNull().cast("bigint")}
     )
-    return _rolled(rows, keys, at, slice_by, reach, prefix)
+    return _rolled(rows, keys, at, slice_by, reach, prefix, hot_rows)
 
 
 def rolling_totals(
@@ -160,6 +179,7 @@ def rolling_totals(
     value: str,
     reach: int,
     prefix: str = "rolling",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """:func:`rolling_sums` with one output row per (key, ``at``).
 
@@ -169,22 +189,32 @@ def rolling_totals(
     per_time = df.groupBy(*keys, at).agg(
         F.sum(F.col(value).cast(_DEC)).cast(_DEC).alias("_d"), F.count(value).alias("_c")
     )
-    return _rolled(per_time, keys, at, slice_by, reach, prefix)
+    return _rolled(per_time, keys, at, slice_by, reach, prefix, hot_rows)
 
 
 def _rolled(
-    rows: DataFrame, keys: Sequence[str], at: str, slice_by: Column, reach: int, prefix: str
+    rows: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    slice_by: Column,
+    reach: int,
+    prefix: str,
+    hot_rows: int,
 ) -> DataFrame:
-    adds = rows.withColumn("_expiry", F.lit(False))
-    gone = rows.where("_c > 0").select(
+    flagged = flag_hot(rows, keys, _HOT_SHARE, hot_rows, "_hot")
+    adds = flagged.withColumn("_expiry", F.lit(False))
+    gone = flagged.where("_c > 0").select(
         *keys,
+        "_hot",
         (F.col(at) + (reach + 1)).alias(at),
         (-F.col("_d")).alias("_d"),
         (-F.col("_c")).alias("_c"),
         F.lit(True).alias("_expiry"),
     )
-    changes = adds.unionByName(gone, allowMissingColumns=True).withColumn("_slice", slice_by)
-    per_slice = changes.groupBy(*keys, "_slice").agg(
+    changes = adds.unionByName(gone, allowMissingColumns=True).withColumn(
+        "_slice", F.when(F.col("_hot"), slice_by)
+    )
+    per_slice = changes.where("_hot").groupBy(*keys, "_slice").agg(
         F.sum("_d").alias("_d"), F.sum("_c").alias("_c")
     )
     before = _earlier(keys, False)
@@ -209,7 +239,7 @@ def _rolled(
             }
         )
         .where("NOT _expiry")
-        .drop("_d", "_c", "_expiry", "_slice", "_at")
+        .drop("_d", "_c", "_expiry", "_hot", "_slice", "_at")
     )
 
 
@@ -221,8 +251,9 @@ def rolling_average(
     value: str,
     reach: int,
     name: str,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    out = rolling_sums(df, keys, at, slice_by, value, reach, prefix="_r")
+    out = rolling_sums(df, keys, at, slice_by, value, reach, "_r", hot_rows)
     return out.withColumn(name, F.col("_r_sum") / F.col("_r_n")).drop("_r_sum", "_r_n")
 
 
@@ -234,12 +265,12 @@ def runs(
     previous: Column,
     starts: Column,
     name: str,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Number the runs of each key: ``starts`` (over ``_prev`` = ``previous`` one row up) opens one."""
-    seen = neighbour(df, keys, order, slice_by, {"_prev": previous})
-    return running_sums(
-        seen, keys, order, slice_by, {name: F.when(starts, 1).otherwise(0)}
-    ).drop("_prev")
+    seen = neighbour(df, keys, order, slice_by, {"_prev": previous}, hot_rows=hot_rows)
+    opened = {name: F.when(starts, 1).otherwise(0)}
+    return running_sums(seen, keys, order, slice_by, opened, hot_rows=hot_rows).drop("_prev")
 
 
 def sessions(
@@ -250,17 +281,25 @@ def sessions(
     slice_by: Column,
     gap: int,
     name: str = "session_id",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Session number per key; more than ``gap`` after the last row opens a new one."""
     opens = F.col("_prev").isNull() | (F.col(at) - F.col("_prev") > gap)
-    return runs(df, keys, [at, tie], slice_by, F.col(at), opens, name)
+    return runs(df, keys, [at, tie], slice_by, F.col(at), opens, name, hot_rows)
 
 
 def session_totals(
-    df: DataFrame, keys: Sequence[str], at: str, tie: str, slice_by: Column, gap: int, value: str
+    df: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    tie: str,
+    slice_by: Column,
+    gap: int,
+    value: str,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per session: its start and the sum of ``value``."""
-    numbered = sessions(df, keys, at, tie, slice_by, gap, "_session")
+    numbered = sessions(df, keys, at, tie, slice_by, gap, "_session", hot_rows)
     return (
         numbered.groupBy(*keys, "_session")
         .agg(F.min(at).alias("session_start"), F.sum(value).alias("amount"))
@@ -275,10 +314,11 @@ def ranks(
     tie: str,
     slice_by: Column,
     backwards: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``row_number``, ``rank`` and ``dense_rank`` of ``by`` per key, over all rows."""
-    sliced = df.withColumn("_slice", slice_by)
-    per_slice = sliced.groupBy(*keys, "_slice").agg(
+    sliced = _sliced(df, keys, slice_by, hot_rows)
+    per_slice = sliced.where("_hot").groupBy(*keys, "_slice").agg(
         F.count("*").alias("_rows"), F.count_distinct(by).alias("_steps")
     )
     before = _earlier(keys, backwards)
@@ -292,19 +332,21 @@ def ranks(
     by_value = group.orderBy("_seq", *_ordered([by], backwards))
     by_row = group.orderBy("_seq", *_ordered([by], backwards), F.col(tie).asc())
     head = by_row.rowsBetween(Window.unboundedPreceding, 0)
-    rows_before, steps_before = F.first("_rows").over(head), F.first("_steps").over(head)
-    # The seed row is the first of its slice, hence the -1.
+    # The seed row is itself the first of its slice, and must not count.
+    seed = F.when(F.col("_hot"), 1).otherwise(0)
+    rows_before = F.coalesce(F.first("_rows").over(head), F.lit(0)) - seed
+    steps_before = F.coalesce(F.first("_steps").over(head), F.lit(0)) - seed
     return (
         _with_seeds(sliced, seeds)
         .withColumns(
             {
-                "row_number": (F.row_number().over(by_row) - 1 + rows_before).cast("int"),
-                "rank": (F.rank().over(by_value) - 1 + rows_before).cast("int"),
-                "dense_rank": (F.dense_rank().over(by_value) - 1 + steps_before).cast("int"),
+                "row_number": (F.row_number().over(by_row) + rows_before).cast("int"),
+                "rank": (F.rank().over(by_value) + rows_before).cast("int"),
+                "dense_rank": (F.dense_rank().over(by_value) + steps_before).cast("int"),
             }
         )
         .where("_seq = 1")
-        .drop("_seq", "_slice", "_rows", "_steps")
+        .drop("_seq", "_hot", "_slice", "_rows", "_steps")
     )
 
 
@@ -320,13 +362,20 @@ def latest(df: DataFrame, keys: Sequence[str], at: str, tie: str) -> DataFrame:
 
 
 def moving_average(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column, value: str, n: int, name: str
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    slice_by: Column,
+    value: str,
+    n: int,
+    name: str,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Average over the current and the ``n - 1`` rows before it.
 
     The position of a row is its running count; a frame of ``n`` rows is then a range of
     positions, which :func:`rolling_sums` spreads over slices of positions.
     """
-    placed = running_sums(df, keys, order, slice_by, {"_pos": F.lit(1)})
-    by_pos = F.floor(F.col("_pos") / 100_000)
-    return rolling_average(placed, keys, "_pos", by_pos, value, n - 1, name).drop("_pos")
+    placed = running_sums(df, keys, order, slice_by, {"_pos": F.lit(1)}, hot_rows=hot_rows)
+    by_pos = F.floor(F.col("_pos") / max(1, hot_rows // 2))
+    return rolling_average(placed, keys, "_pos", by_pos, value, n - 1, name, hot_rows).drop("_pos")
