@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.operators.upserts import insert_new, upsert
 from tidewheel.operators.windows import HOT_ROWS, carried
+from tidewheel.sources.sinks import broadcast_hint
 
 
 def keep_first(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,8 +45,10 @@ def load_history(
     columns = [*keys, *tracked, "effective_from", "effective_to", "is_current"]
     closed = history.where(~F.col("is_current"))
     open_rows = history.where("is_current")
+    hint = broadcast_hint(batch)
+    incoming = batch.select(*keys, F.struct(*tracked, "effective_from").alias("b"))
     joined = open_rows.select(*keys, F.struct(*columns).alias("o")).join(
-        batch.select(*keys, F.struct(*tracked, "effective_from").alias("b")), list(keys), "left"
+        hint(incoming), list(keys), "left"
     )
     differs = reduce(
         lambda a, b: a | b, (~F.col(f"o.{c}").eqNullSafe(F.col(f"b.{c}")) for c in tracked)
@@ -73,7 +76,7 @@ def load_history(
         .otherwise(stays)
     )
     carried_on = joined.select(F.explode(versions).alias("v")).select("v.*")
-    known = open_rows.select(*keys).join(batch.select(*keys), list(keys), "left_semi")
+    known = open_rows.select(*keys).join(hint(batch.select(*keys)), list(keys), "left_semi")
     fresh = batch.join(known, list(keys), "left_anti").select(
         *keys,
         *tracked,

@@ -9,9 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.operators.skew import copies, flag_hot, hot_keys, salt_of
-from tidewheel.sources.sinks import estimate_bytes
-
-BROADCAST_LIMIT = 64 << 20
+from tidewheel.sources.sinks import BROADCAST_LIMIT, broadcast_hint
 
 
 def small_side_join(
@@ -26,9 +24,7 @@ def small_side_join(
     The shuffle join is left to adaptive execution, which splits skewed partitions.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if estimate_bytes(dim) <= limit:
-        dim = F.broadcast(dim)
-    return fact.join(dim, keys, how)
+    return fact.join(broadcast_hint(dim, limit)(dim), keys, how)
 
 
 def salted_join(

@@ -1,29 +1,36 @@
 """Merges on plain Parquet: each takes the table and a batch and returns the next table.
 
 A batch is usually far smaller than its table, so no form shuffles the table for a small batch:
-the table meets the batch in a left join (the batch side is broadcast by Spark while its size
-allows), and new keys are found against the few table keys that the batch touches.
+the table meets the batch in a left join whose batch side is broadcast if its measured size allows,
+and new keys are found against the few table keys that the batch touches. A big batch gets shuffle
+joins, with skewed partitions split by adaptive execution.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.operators.windows import latest
-from tidewheel.sources.sinks import materialised, replace_slices
+from tidewheel.sources.sinks import broadcast_hint, materialised, replace_slices
 
 
 def _has_key(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
 
 
-def _new_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _new_keys(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    hint: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
     """Rows of ``source`` whose key the target lacks. Only target keys are read for it."""
-    known = target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct()
+    wanted = hint(source.select(*keys))
+    known = target.select(*keys).join(wanted, list(keys), "left_semi").distinct()
     return source.join(known, list(keys), "left_anti")
 
 
@@ -54,8 +61,9 @@ def upsert(
         source = keyed.unionByName(source.where(~_has_key(keys)))
     columns = target.columns
     batch = source.where(_has_key(keys))
+    hint = broadcast_hint(batch)
     joined = _boxed(target.where(_has_key(keys)), keys, "t").join(
-        _boxed(batch, keys, "s"), list(keys), "left"
+        hint(_boxed(batch, keys, "s")), list(keys), "left"
     )
     matched = F.col("s").isNotNull()
     if delete_when is not None:
@@ -72,7 +80,7 @@ def upsert(
     )
     parts = [kept, target.where(~_has_key(keys))]
     if insert:
-        fresh = _new_keys(target, batch, keys).unionByName(source.where(~_has_key(keys)))
+        fresh = _new_keys(target, batch, keys, hint).unionByName(source.where(~_has_key(keys)))
         if insert_when is not None:
             fresh = fresh.where(insert_when)
         lacking = [F.lit(None).cast(target.schema[c].dataType).alias(c) for c in columns if c not in fresh.columns]
@@ -82,7 +90,8 @@ def upsert(
 
 def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert-only merge: existing rows never change."""
-    fresh = _new_keys(target, source.where(_has_key(keys)), keys)
+    batch = source.where(_has_key(keys))
+    fresh = _new_keys(target, batch, keys, broadcast_hint(batch.select(*keys)))
     return target.unionByName(fresh).unionByName(source.where(~_has_key(keys)))
 
 
@@ -159,8 +168,8 @@ def upsert_partitions(
 
     Touched are the partitions of the batch and those where a batch key lies today, so a key
     whose partition value moved is updated, not inserted twice. The new content is written to
-    the shared folder first. Partitions left empty are dropped before the others are replaced;
-    a job that dies in between can simply run again.
+    the shared folder first. Partitions left empty are cleared before the others are replaced; a
+    job that dies in between can simply run again.
     """
     target = spark.table(table)
     home = target.select(part, *keys).join(source.select(*keys), list(keys), "left_semi")
@@ -169,9 +178,17 @@ def upsert_partitions(
     slice_now = target.join(touched, part, "left_semi")
     after = materialised(upsert(slice_now, source, keys), "merge")
     emptied = home.select(part).distinct().join(after.select(part), part, "left_anti")
-    for row in emptied.toLocalIterator():
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part} = '{row[0]}')")
+    after.createOrReplaceTempView("tidewheel_merge")
+    others = ", ".join(c for c in target.columns if c != part)
+    specs = [
+        f"PARTITION ({part} = {'NULL' if row[0] is None else repr(str(row[0]))})"
+        for row in emptied.toLocalIterator()
+    ]
+    for spec in specs:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} {spec} SELECT {others} FROM tidewheel_merge WHERE false")
     folder = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()[1]
     replace_slices(after, folder, [part])
     spark.sql(f"MSCK REPAIR TABLE {table}")
+    for spec in specs:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
     spark.catalog.refreshTable(table)

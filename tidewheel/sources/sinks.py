@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,6 +94,17 @@ def estimate_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()[0]
 
 
+BROADCAST_LIMIT = 64 << 20
+
+
+def broadcast_hint(df: DataFrame, limit: int = BROADCAST_LIMIT) -> Callable[[DataFrame], DataFrame]:
+    """Broadcast mark for ``df`` and projections of it, if its measured size is within ``limit``.
+
+    Beyond the limit the frames are left as they are, for a shuffle join.
+    """
+    return F.broadcast if estimate_bytes(df) <= limit else lambda frame: frame
+
+
 def right_sized(df: DataFrame, file_bytes: int = 128 << 20) -> DataFrame:
     """Fewer partitions for a small result, from its measured size; never fewer than needed."""
     return df.coalesce(max(1, -(-estimate_bytes(df) // file_bytes)))
