@@ -44,33 +44,23 @@ def exact_median(
 ) -> DataFrame:
     """Exact median per key without holding a key's values in one task.
 
-    Equal values are counted first; running counts over value slices of ``width`` give each
-    value its positions, and the one or two middle positions are averaged.
+    Equal values are counted first. Running counts from both ends give each value its positions
+    and the size of its key; the one or two middle positions are averaged. Keys with very many
+    distinct values are cut into value slices of ``width``.
     """
+    cut = time_slice(F.col(value), width)
+    n = {"_upto": F.col("_n")}, {"_down": F.col("_n")}
     counted = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(F.count("*").alias("_n"))
     )
-    running = running_sums(
-        counted,
-        keys,
-        [value],
-        time_slice(F.col(value), width),
-        {"_upto": F.col("_n")},
-        hot_rows=hot_rows,
-    )
-    sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_all"))
-    # Keys are never NULL-matched by a plain join, so compare them null-safe.
-    cond = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-    joined = running.alias("r").join(sizes.alias("s"), cond).select("r.*", "s._all")
-    low = F.floor((F.col("_all") + 1) / 2)
-    high = F.floor((F.col("_all") + 2) / 2)
-    before = F.col("_upto") - F.col("_n")
-    hit = joined.where((low <= F.col("_upto")) & (high > before))
-    return hit.groupBy(*keys).agg(
-        ((F.min(value) + F.max(value)) / 2).alias("median")
-    )
+    placed = running_sums(counted, keys, [value], cut, n[0], hot_rows=hot_rows)
+    placed = running_sums(placed, keys, [value], cut, n[1], backwards=True, hot_rows=hot_rows)
+    size = F.col("_upto") + F.col("_down") - F.col("_n")
+    low, high = F.floor((size + 1) / 2), F.floor((size + 2) / 2)
+    middle = placed.where((low <= F.col("_upto")) & (high > F.col("_upto") - F.col("_n")))
+    return middle.groupBy(*keys).agg(((F.min(value) + F.max(value)) / 2).alias("median"))
 
 
 def counts_where(conditions: dict[str, Column]) -> list[Column]:

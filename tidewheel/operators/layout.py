@@ -49,7 +49,7 @@ def _with_rank(df: DataFrame, column: str, bits: int) -> DataFrame:
     rank = f"_r_{column}"
     df = df.withColumn(rank, F.lit(0))
     for bit in reversed(range(bits)):
-        bound = F.get(F.col(f"_b_{column}"), F.col(rank) + ((1 << bit) - 1))
+        bound = F.get(F.col("_b")[column], F.col(rank) + ((1 << bit) - 1))
         step = F.when(bound < F.col(column), 1 << bit).otherwise(0)
         df = df.withColumn(rank, F.col(rank) + step)
     return df
@@ -59,14 +59,13 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
     """Add ``_z``: interleaved bits of each column's quantile rank (2 ** bits ranks per column).
 
     Ranks from approximate quantiles keep the cells even when values are skewed. The quantiles
-    are one row, read as a scalar subquery.
+    of all columns are one row from one pass, read as a scalar subquery.
     """
     cells = 1 << bits
     points = [i / cells for i in range(1, cells)]
-    out = df
+    bounds = df.agg(F.struct(*[F.percentile_approx(c, points).alias(c) for c in columns]).alias("b"))
+    out = df.withColumn("_b", bounds.scalar())
     for c in columns:
-        bounds = df.agg(F.percentile_approx(c, points).alias("b")).scalar()
-        out = out.withColumn(f"_b_{c}", bounds)
         out = _with_rank(out, c, bits)
     terms = [
         F.shiftleft(
@@ -76,9 +75,7 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
         for i in range(bits)
     ]
     z = reduce(lambda a, b: a.bitwiseOR(b), terms)
-    return out.withColumn("_z", z).drop(
-        *[f"_b_{c}" for c in columns], *[f"_r_{c}" for c in columns]
-    )
+    return out.withColumn("_z", z).drop("_b", *[f"_r_{c}" for c in columns])
 
 
 def clustered(df: DataFrame, columns: Sequence[str], row_id: Sequence[str], n: int, bits: int = 6) -> DataFrame:

@@ -137,9 +137,14 @@ def after_images(log: DataFrame, after: str, op: str, at: str, tie: str, keys: S
 
 
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows that differ between two versions, with ``change_type`` insert, update or delete."""
+    """Rows that differ between two versions, with ``change_type`` insert, update or delete.
+
+    Rows with a NULL key match nothing: they skip the join, where they would meet in one task.
+    """
     values = [c for c in new.columns if c not in keys]
-    joined = _boxed(old, keys, "o").join(_boxed(new, keys, "n"), list(keys), "full_outer")
+    joined = _boxed(old.where(_has_key(keys)), keys, "o").join(
+        _boxed(new.where(_has_key(keys)), keys, "n"), list(keys), "full_outer"
+    )
     same = reduce(
         lambda a, b: a & b,
         (F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in values),
@@ -150,7 +155,7 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
         .when(F.col("n").isNull(), "delete")
         .when(~same, "update")
     )
-    return (
+    changed = (
         joined.withColumn("change_type", kind)
         .where(F.col("change_type").isNotNull())
         .select(
@@ -159,6 +164,10 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
             "change_type",
         )
     )
+    for side, name in ((old, "delete"), (new, "insert")):
+        keyless = side.where(~_has_key(keys)).withColumn("change_type", F.lit(name))
+        changed = changed.unionByName(keyless)
+    return changed
 
 
 def upsert_partitions(

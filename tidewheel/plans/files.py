@@ -127,8 +127,8 @@ def only_new_files(t: Tables) -> DataFrame:
     """Two deliveries, two runs, one checkpoint: every row lands once."""
     root = fresh_dir(t.spark, "ingest")
     orders = plain_orders(t)
-    even = F.col("o_orderkey") % 2 == 0
-    for delivery in (orders.where(even), orders.where(~even)):
+    large = F.col("o_totalprice") > 200000
+    for delivery in (orders.where(large), orders.where(~large)):
         append_files(delivery, f"{root}/inbox")
         source = new_files(t.spark, f"{root}/inbox", _ORDER_DDL)
         ingest_files(t.spark, source, f"{root}/landed", f"{root}/checkpoint")

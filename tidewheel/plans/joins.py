@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.functions.times import epoch_seconds, time_slice
+from tidewheel.functions.sizes import row_bytes
 from tidewheel.operators.history import version_at
 from tidewheel.operators.joins import (
     co_partitioned_join,
@@ -18,12 +18,10 @@ from tidewheel.operators.joins import (
     small_side_join,
     without_match,
 )
-from tidewheel.functions.sizes import row_bytes
+from tidewheel.operators.windows import neighbour
 from tidewheel.plans.registry import Tables, query
 from tidewheel.plans.reports import customer_regions
 
-DAY = 86_400
-
 
 def skewed_lines(t: Tables) -> DataFrame:
     """Order lines in which part 0 takes 40 % of all rows."""
@@ -296,13 +294,12 @@ def size_estimate(t: Tables) -> DataFrame:
 )
 def version_lookup(t: Tables) -> DataFrame:
     """Status of the newest order of a customer at each ship date."""
-    from pyspark.sql import Window
-
     orders = t.orders.select(
         F.col("o_custkey").alias("c"), "o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("effective_from")
     )
-    by_time = Window.partitionBy("c").orderBy("effective_from", "o_orderkey")
-    history = orders.withColumn("effective_to", F.lead("effective_from").over(by_time))
+    history = neighbour(
+        orders, ["c"], ["effective_from", "o_orderkey"], F.year("effective_from"), {"effective_to": F.col("effective_from")}, following=True
+    )
     # Versions that another of the same day replaced were never valid.
     history = history.where(F.col("effective_to").isNull() | (F.col("effective_to") > F.col("effective_from")))
     facts = t.lineitem.select(

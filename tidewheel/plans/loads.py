@@ -22,13 +22,13 @@ from tidewheel.plans.registry import Tables, query
 from tidewheel.session import fresh_dir
 from tidewheel.sources.sinks import create_database, materialised, write_partitioned
 
-# The target holds the orders up to 1999; the batch holds the later orders as new rows and a
-# third of the target's orders again with another status and price.
+# The target holds the orders up to 1999; the batch holds the later orders as new rows, and the
+# finished orders of the target again with another status and price.
 _SPLIT = "TIMESTAMP '1999-01-01'"
 _COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice"
 _TB = f"""WITH tgt AS (SELECT {_COLS} FROM orders WHERE o_orderdate < {_SPLIT}),
   src AS (SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders
-          WHERE o_orderdate >= {_SPLIT} OR o_orderkey % 3 = 0)"""
+          WHERE o_orderdate >= {_SPLIT} OR o_orderstatus = 'F')"""
 
 
 def _early() -> Column:
@@ -40,7 +40,7 @@ def target_orders(t: Tables) -> DataFrame:
 
 
 def batch_orders(t: Tables) -> DataFrame:
-    again = F.col("o_orderkey") % 3 == 0
+    again = F.col("o_orderstatus") == "F"
     return t.orders.where(~_early() | again).select(
         "o_orderkey", "o_custkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice")
     )
@@ -99,12 +99,12 @@ def merge_delete(t: Tables) -> DataFrame:
 
 @query(
     "tbl_05_partition_merge",
-    """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
-         CAST(CASE WHEN o_orderkey % 4 = 0 AND year(o_orderdate) < 1997 THEN 1997 ELSE year(o_orderdate) END AS INTEGER) AS y
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+         CAST(CASE WHEN o_orderstatus = 'F' AND year(o_orderdate) < 1997 THEN 1997 ELSE year(o_orderdate) END AS INTEGER) AS y
        FROM orders""",
 )
 def partition_merge(t: Tables) -> DataFrame:
-    """A quarter of the keys changes; those from before 1997 also move to another partition."""
+    """Finished orders change; those from before 1997 also move to another partition."""
     create_database(t.spark, "tidewheel_db")
     path = fresh_dir(t.spark, "merge-table")
     dated = t.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("y"))
@@ -115,10 +115,10 @@ def partition_merge(t: Tables) -> DataFrame:
         f"CREATE TABLE {name} (o_orderkey BIGINT, o_totalprice DOUBLE, y INT) USING parquet PARTITIONED BY (y) LOCATION '{path}'"
     )
     t.spark.sql(f"MSCK REPAIR TABLE {name}")
-    batch = dated.where(F.col("o_orderkey") % 4 == 0).select(
+    batch = t.orders.where(F.col("o_orderstatus") == "F").select(
         "o_orderkey",
         (F.col("o_totalprice") + 1).alias("o_totalprice"),
-        F.greatest("y", F.lit(1997)).alias("y"),
+        F.greatest(F.year("o_orderdate"), F.lit(1997)).alias("y"),
     )
     upsert_partitions(t.spark, name, batch, ["o_orderkey"], "y")
     return t.spark.table(name)
@@ -237,11 +237,12 @@ def scd3(t: Tables) -> DataFrame:
     return scd.keep_previous(target, batch, ["o_orderkey"], "o_orderstatus", "previous_status")
 
 
-# ---- SCD2: customers with a segment history; a batch moves a third and brings new ones ----
+# ---- SCD2: customers of the first nations have a history; a batch of low balances moves some of
+# them to another segment (or none), repeats others unchanged and brings customers of new nations ----
 
 
 def _history(t: Tables) -> DataFrame:
-    return t.customer.where(F.col("c_custkey") % 10 != 0).select(
+    return t.customer.where(F.col("c_nationkey") < 20).select(
         "c_custkey",
         "c_name",
         "c_mktsegment",
@@ -252,23 +253,22 @@ def _history(t: Tables) -> DataFrame:
 
 
 def _moves(t: Tables) -> DataFrame:
-    """Customers 0, 3, 6 ...: a new segment for every second of them, no segment for every fourth."""
-    key = F.col("c_custkey")
-    segment = F.when(key % 12 == 0, None).when(key % 6 == 0, F.lit("SPECIAL")).otherwise(F.col("c_mktsegment"))
-    return t.customer.where(key % 3 == 0).select(
+    balance = F.col("c_acctbal")
+    segment = F.when(balance < 0, None).when(balance < 1500, "SPECIAL").otherwise(F.col("c_mktsegment"))
+    return t.customer.where(balance < 3000).select(
         "c_custkey", "c_name", segment.alias("c_mktsegment"), F.lit("2024-06-09").cast("date").alias("effective_from")
     )
 
 
-_SCD2_SQL = """WITH h AS (SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey % 10 <> 0),
-  b AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 12 = 0 THEN NULL WHEN c_custkey % 6 = 0 THEN 'SPECIAL' ELSE c_mktsegment END
-        AS c_mktsegment FROM customer WHERE c_custkey % 3 = 0),
+_SCD2_SQL = """WITH h AS (SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_nationkey < 20),
+  b AS (SELECT c_custkey, c_name, CASE WHEN c_acctbal < 0 THEN NULL WHEN c_acctbal < 1500 THEN 'SPECIAL' ELSE c_mktsegment END
+        AS c_mktsegment FROM customer WHERE c_acctbal < 3000),
   ch AS (SELECT b.* FROM b JOIN h USING (c_custkey) WHERE b.c_mktsegment IS DISTINCT FROM h.c_mktsegment),
   full_history AS (
   SELECT *, DATE '2024-01-01' AS effective_from, CASE WHEN c_custkey IN (SELECT c_custkey FROM ch) THEN DATE '2024-06-09' END
     AS effective_to, c_custkey NOT IN (SELECT c_custkey FROM ch) AS is_current FROM h
   UNION ALL SELECT *, DATE '2024-06-09', NULL, TRUE FROM ch
-  UNION ALL SELECT *, DATE '2024-06-09', NULL, TRUE FROM b WHERE c_custkey % 10 = 0)"""
+  UNION ALL SELECT *, DATE '2024-06-09', NULL, TRUE FROM b WHERE c_custkey NOT IN (SELECT c_custkey FROM h))"""
 _TRACKED = ["c_name", "c_mktsegment"]
 
 
@@ -316,26 +316,27 @@ def high_water_mark(t: Tables) -> DataFrame:
 
 def raw_events(t: Tables) -> DataFrame:
     """Events as an outside source would send them: text columns, and dirty and repeated rows."""
-    e, key = t.events, F.col("event_id")
-    amount = F.when(key % 50 == 7, F.concat(F.lit("-"), F.col("value").cast("string"))).when(
-        key % 50 == 8, "n/a"
-    ).otherwise(F.col("value").cast("string"))
-    status = F.when(key % 3 == 0, F.upper("event_type")).when(key % 50 == 9, "").otherwise(
-        F.concat(F.lit(" "), "event_type")
+    value, kind = F.col("value"), F.col("event_type")
+    text = value.cast("string")
+    amount = F.when(value > 150, F.concat(F.lit("-"), text)).when(value < 1, "n/a").otherwise(text)
+    status = (
+        F.when(kind == "view", F.upper(kind))
+        .when(value.between(40, 42), "")
+        .otherwise(F.concat(F.lit(" "), kind))
     )
-    rows = e.select(
-        key.cast("string").alias("row_id"),
+    sent = t.events.select(
+        F.col("event_id").cast("string").alias("row_id"),
         F.col("user_id").cast("string").alias("user_id"),
         amount.alias("amount"),
         status.alias("status"),
         F.col("ts").cast("string").alias("ts"),
     )
-    return rows.unionByName(rows.where(F.col("row_id").cast("bigint") % 20 == 3))
+    return sent.unionByName(sent.where(F.col("status") == " click"))
 
 
 _STATUSES = ["click", "view", "purchase", "signup"]
 _SILVER_SQL = """WITH silver AS (SELECT event_id AS row_id, user_id, value AS amount, event_type AS status, ts FROM events
-  WHERE event_id % 50 NOT IN (7, 8) AND (event_id % 3 = 0 OR event_id % 50 <> 9) AND event_type <> 'error')"""
+  WHERE value BETWEEN 1 AND 150 AND (event_type = 'view' OR value NOT BETWEEN 40 AND 42) AND event_type <> 'error')"""
 
 
 @query("tbl_15_silver", f"{_SILVER_SQL} SELECT * FROM silver")

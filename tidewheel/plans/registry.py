@@ -18,9 +18,12 @@ class Tables:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base
+        self._read: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.base, name)
+        if name not in self._read:
+            self._read[name] = read_table(self.spark, self.base, name)
+        return self._read[name]
 
 
 def query(name: str, sql: str | None = None):
