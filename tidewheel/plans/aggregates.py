@@ -15,6 +15,7 @@ from tidewheel.operators.aggregates import (
 from tidewheel.operators.dedup import duplicate_keys
 from tidewheel.plans.joins import SKEWED, skewed_lines
 from tidewheel.plans.registry import Tables, query
+from tidewheel.plans.reports import net_price
 
 
 @query("ag_01_sum_by_key", "SELECT l_returnflag, round(sum(l_extendedprice), 2) AS revenue FROM lineitem GROUP BY 1")
@@ -194,16 +195,15 @@ def bucket_counts(t: Tables) -> DataFrame:
 @query(
     "ag_18_merged_aggregates",
     """SELECT l_linestatus, count(*) AS n_lines, round(sum(l_quantity), 2) AS quantity, round(sum(l_extendedprice), 2) AS gross,
-         round(sum(l_extendedprice * (1 - l_discount)), 4) AS net, count(DISTINCT l_orderkey) AS n_orders,
+         CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))) AS DOUBLE) AS net, count(DISTINCT l_orderkey) AS n_orders,
          round(avg(l_discount), 6) AS discount FROM lineitem GROUP BY 1""",
 )
 def merged_aggregates(t: Tables) -> DataFrame:
-    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return t.lineitem.groupBy("l_linestatus").agg(
         F.count("*").alias("n_lines"),
         F.round(F.sum("l_quantity"), 2).alias("quantity"),
         F.round(F.sum("l_extendedprice"), 2).alias("gross"),
-        F.round(F.sum(net), 4).alias("net"),
+        F.sum(net_price()).cast("double").alias("net"),
         F.count_distinct("l_orderkey").alias("n_orders"),
         F.round(F.avg("l_discount"), 6).alias("discount"),
     )

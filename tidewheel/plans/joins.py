@@ -262,17 +262,13 @@ def keep_unmatched(t: Tables) -> DataFrame:
 
 @query(
     "jn_20_either_key",
-    """SELECT l_orderkey, l_linenumber, s_suppkey, s_name FROM lineitem JOIN supplier
-       ON l_suppkey = s_suppkey OR l_linenumber = s_nationkey""",
+    """SELECT event_id, user_id, c_custkey, c_name FROM events JOIN customer ON user_id = c_custkey OR event_id = c_custkey""",
 )
 def either_key(t: Tables) -> DataFrame:
-    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey")
-    suppliers = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
-    pairs = [
-        (F.col("l_suppkey"), F.col("s_suppkey")),
-        (F.col("l_linenumber"), F.col("s_nationkey")),
-    ]
-    return either_key_join(lines, suppliers, pairs).select("l_orderkey", "l_linenumber", "s_suppkey", "s_name")
+    events = t.events.select("event_id", "user_id")
+    people = t.customer.select("c_custkey", "c_name")
+    pairs = [(F.col("user_id"), F.col("c_custkey")), (F.col("event_id"), F.col("c_custkey"))]
+    return either_key_join(events, people, pairs)
 
 
 @query(

@@ -23,13 +23,18 @@ def year_range(col: str, year: int) -> Column:
     return (F.col(col) >= first) & (F.col(col) < after)
 
 
+def net_price() -> Column:
+    """Discounted price as a decimal with all its four places: sums are exact in any order."""
+    return (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")
+
+
 def sales(t: Tables, year: int) -> DataFrame:
     """Lines of one year's orders with their customer and revenue."""
     orders = t.orders.where(year_range("o_orderdate", year)).select("o_orderkey", "o_custkey")
     lines = t.lineitem.select(
         "l_orderkey",
         "l_partkey",
-        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
+        net_price().alias("revenue"),
     )
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "l_partkey", "o_custkey", "revenue"
@@ -45,7 +50,7 @@ _SALES_SQL = """
 @query(
     "rp_1_category_revenue",
     f"""SELECT lower(trim(p_type)) AS category,
-               round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue,
+               CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))) AS DOUBLE) AS revenue,
                count(DISTINCT o_custkey) AS customers
         {_SALES_SQL} GROUP BY 1""",
 )
@@ -56,7 +61,7 @@ def category_revenue(t: Tables) -> DataFrame:
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("category")
         .agg(
-            F.round(F.sum("revenue"), 4).alias("revenue"),
+            F.sum("revenue").cast("double").alias("revenue"),
             F.count_distinct("o_custkey").alias("customers"),
         )
         .orderBy(F.desc("revenue"))
@@ -66,7 +71,7 @@ def category_revenue(t: Tables) -> DataFrame:
 @query(
     "rp_2_category_product_revenue",
     f"""SELECT lower(trim(p_type)) AS category, p_name AS product,
-               round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue
+               CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))) AS DOUBLE) AS revenue
         {_SALES_SQL} GROUP BY 1, 2""",
 )
 def category_product_revenue(t: Tables) -> DataFrame:
@@ -75,7 +80,7 @@ def category_product_revenue(t: Tables) -> DataFrame:
         sales(t, 1998)
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("category", "product")
-        .agg(F.round(F.sum("revenue"), 4).alias("revenue"))
+        .agg(F.sum("revenue").cast("double").alias("revenue"))
         .orderBy(F.desc("revenue"))
     )
 
