@@ -140,6 +140,21 @@ def taxed_measures(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "rp_9_filtered_grouped_sorted",
+    """SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS day, max(o_totalprice) AS high, min(o_totalprice) AS low FROM orders
+       WHERE o_orderpriority <> '5-LOW' AND o_orderdate > TIMESTAMP '2001-01-01' GROUP BY 1, 2""",
+)
+def filtered_grouped_sorted(t: Tables) -> DataFrame:
+    """Highs and lows per group after a date, the highest first, as SQL over a view."""
+    t.orders.createOrReplaceTempView("tidewheel_highs")
+    return t.spark.sql(
+        """SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS day, max(o_totalprice) AS high, min(o_totalprice) AS low
+           FROM tidewheel_highs WHERE o_orderpriority <> '5-LOW' AND o_orderdate > TIMESTAMP_NTZ '2001-01-01'
+           GROUP BY ALL ORDER BY high DESC"""
+    )
+
+
 # ---- SQL drills over orders, with the customer's region as the region of an order ----
 
 

@@ -241,6 +241,21 @@ def coalesce_when(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "fn_5_casts",
+    """SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(12, 2)) AS exact, CAST(o_orderkey AS VARCHAR) AS text,
+         CAST(o_orderdate AS DATE) AS day, TRY_CAST(o_orderpriority AS INTEGER) AS level FROM orders""",
+)
+def casts_between_types(t: Tables) -> DataFrame:
+    return t.orders.select(
+        "o_orderkey",
+        F.col("o_totalprice").cast("decimal(12,2)").alias("exact"),
+        F.col("o_orderkey").cast("string").alias("text"),
+        F.col("o_orderdate").cast("date").alias("day"),
+        F.col("o_orderpriority").try_cast("int").alias("level"),
+    )
+
+
 @query(
     "fn_6_dates",
     """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, strftime(o_orderdate, '%Y-%m') AS month_text,

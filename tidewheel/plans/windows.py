@@ -225,3 +225,56 @@ def rank_of_aggregate(t: Tables) -> DataFrame:
     """One row per market segment remains, so a window without keys is harmless here."""
     per = t.customer.groupBy("c_mktsegment").agg(F.round(F.sum("c_acctbal"), 2).alias("total"))
     return per.withColumn("place", F.rank().over(Window.orderBy(F.desc("total"))))
+
+
+# ---- the same work when one user has 40 % of all events: that user is cut into slices ----
+
+_HOT = f"""WITH e AS (SELECT event_id, CASE WHEN event_id % 10 < 4 THEN 0 ELSE user_id END AS user_id, ts, value,
+  {_SEC} AS sec FROM events)"""
+_BUSY = 1_000
+
+
+def hot_user_events(t: Tables) -> DataFrame:
+    hot = F.pmod("event_id", F.lit(10)) < 4
+    return timed_events(t).withColumn("user_id", F.when(hot, 0).otherwise(F.col("user_id")))
+
+
+@query(
+    "wn_04_running_total_skewed",
+    f"""{_HOT} SELECT event_id, user_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
+          ROWS UNBOUNDED PRECEDING), 2) AS running FROM e""",
+)
+def running_total_skewed(t: Tables) -> DataFrame:
+    out = running_sums(
+        hot_user_events(t),
+        ["user_id"],
+        ["ts", "event_id"],
+        time_slice("sec", DAY),
+        {"running": F.col("value")},
+        hot_rows=_BUSY,
+    )
+    return out.select("event_id", "user_id", F.round("running", 2).alias("running"))
+
+
+@query(
+    "wn_07_spend_24h_skewed",
+    f"""{_HOT} SELECT event_id, user_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY sec
+          RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW), 2) AS spend_24h FROM e""",
+)
+def spend_24h_skewed(t: Tables) -> DataFrame:
+    events = hot_user_events(t)
+    out = rolling_sums(events, ["user_id"], "sec", time_slice("sec", HOUR), "value", DAY, "spend", _BUSY)
+    return out.select("event_id", "user_id", F.round("spend_sum", 2).alias("spend_24h"))
+
+
+@query(
+    "wn_10_sessions_skewed",
+    f"""{_HOT}, f AS (SELECT *, CASE WHEN sec - lag(sec) OVER w <= 600 THEN 0 ELSE 1 END AS opens FROM e
+          WINDOW w AS (PARTITION BY user_id ORDER BY sec, event_id))
+        SELECT event_id, user_id, CAST(sum(opens) OVER (PARTITION BY user_id ORDER BY sec, event_id
+          ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session_id FROM f""",
+)
+def sessions_skewed(t: Tables) -> DataFrame:
+    events = hot_user_events(t)
+    out = sessions(events, ["user_id"], "sec", "event_id", time_slice("sec", DAY), 600, hot_rows=_BUSY)
+    return out.select("event_id", "user_id", "session_id")
