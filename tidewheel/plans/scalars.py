@@ -175,7 +175,7 @@ def typed_filter(t: Tables) -> DataFrame:
 
 @query("flt_8_sample")
 def sample(t: Tables) -> DataFrame:
-    return t.lineitem.sample(0.1, seed=7).select("l_orderkey", "l_linenumber")
+    return t.lineitem.sample(fraction=0.1, seed=7).select("l_orderkey", "l_linenumber")
 
 
 @query(
