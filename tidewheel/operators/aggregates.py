@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.functions.times import time_slice
-from tidewheel.operators.skew import salt_of
-from tidewheel.operators.windows import HOT_ROWS, running_sums
+from tidewheel.operators.skew import flag_hot, salt_of
+from tidewheel.operators.windows import HOT_ROWS, HOT_SHARE, running_sums
 
 
 def salted_totals(
@@ -55,8 +55,9 @@ def exact_median(
         .groupBy(*keys, value)
         .agg(F.count("*").alias("_n"))
     )
-    placed = running_sums(counted, keys, [value], cut, n[0], hot_rows=hot_rows)
-    placed = running_sums(placed, keys, [value], cut, n[1], backwards=True, hot_rows=hot_rows)
+    counted = flag_hot(counted, keys, HOT_SHARE, hot_rows, "_hot")
+    placed = running_sums(counted, keys, [value], cut, n[0])
+    placed = running_sums(placed, keys, [value], cut, n[1], backwards=True)
     size = F.col("_upto") + F.col("_down") - F.col("_n")
     low, high = F.floor((size + 1) / 2), F.floor((size + 2) / 2)
     middle = placed.where((low <= F.col("_upto")) & (high > F.col("_upto") - F.col("_n")))

@@ -19,13 +19,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidewheel.operators.skew import flag_hot
 
 HOT_ROWS = 1_000_000
-_HOT_SHARE = 1e-6
+HOT_SHARE = 1e-6
 _DEC = "decimal(28,6)"
 
 
@@ -35,15 +35,31 @@ def _ordered(order: Sequence[str], backwards: bool) -> list[Column]:
 
 def _sliced(df: DataFrame, keys: Sequence[str], slice_by: Column, hot_rows: int) -> DataFrame:
     """Add ``_hot`` and ``_slice``; a key that is not hot is one slice."""
-    flagged = flag_hot(df, keys, _HOT_SHARE, hot_rows, "_hot")
-    return flagged.withColumn("_slice", F.when(F.col("_hot"), slice_by))
+    return _flagged(df, keys, hot_rows).withColumn("_slice", F.when(F.col("_hot"), slice_by))
+
+
+def _flagged(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Add ``_hot``, unless an earlier step of the same work has done so."""
+    if "_hot" in df.columns:
+        return df
+    return flag_hot(df, keys, HOT_SHARE, hot_rows, "_hot")
+
+
+def _groups(keys: Sequence[str]) -> WindowSpec:
+    """One window per (key, slice). ``_hot`` follows from the key; naming it lets a later filter
+    on hot rows pass below the window."""
+    return Window.partitionBy(*keys, "_hot", "_slice")
+
+
+def _without(df: DataFrame, given: DataFrame, *columns: str) -> DataFrame:
+    """Drop helper columns, but leave a ``_hot`` that came with the input."""
+    return df.drop(*[c for c in columns if c not in given.columns])
 
 
 def _with_seeds(sliced: DataFrame, seeds: DataFrame) -> DataFrame:
     """Data rows (``_seq`` 1) with one seed row (``_seq`` 0) per (hot key, slice)."""
-    return sliced.withColumn("_seq", F.lit(1)).unionByName(
-        seeds.withColumn("_seq", F.lit(0)), allowMissingColumns=True
-    )
+    heads = seeds.withColumns({"_seq": F.lit(0), "_hot": F.lit(True)})
+    return sliced.withColumn("_seq", F.lit(1)).unionByName(heads, allowMissingColumns=True)
 
 
 def _earlier(keys: Sequence[str], backwards: bool):
@@ -79,16 +95,16 @@ def running_sums(
     types = {f.name: f.dataType for f in seeds.schema.fields}
     sliced = sliced.withColumns({f"_v_{n}": F.col(f"_v_{n}").cast(types[f"_v_{n}"]) for n in names})
     w = (
-        Window.partitionBy(*keys, "_slice")
+        _groups(keys)
         .orderBy("_seq", *_ordered(order, backwards))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    return (
+    out = (
         _with_seeds(sliced, seeds)
         .withColumns({n: F.sum(f"_v_{n}").over(w) for n in names})
         .where("_seq = 1")
-        .drop("_seq", "_hot", "_slice", *[f"_v_{n}" for n in names])
     )
+    return _without(out, df, "_seq", "_hot", "_slice", *[f"_v_{n}" for n in names])
 
 
 def carried(
@@ -121,16 +137,16 @@ def carried(
         *[F.last(f"_v_{n}", ignorenulls=True).over(before).alias(f"_v_{n}") for n in names],
     )
     w = (
-        Window.partitionBy(*keys, "_slice")
+        _groups(keys)
         .orderBy("_seq", *_ordered(order, backwards))
         .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
     )
-    return (
+    out = (
         _with_seeds(sliced, seeds)
         .withColumns({n: F.last(f"_v_{n}", ignorenulls=True).over(w) for n in names})
         .where("_seq = 1")
-        .drop("_seq", "_hot", "_slice", *[f"_v_{n}" for n in names])
     )
+    return _without(out, df, "_seq", "_hot", "_slice", *[f"_v_{n}" for n in names])
 
 
 def neighbour(
@@ -201,7 +217,7 @@ def _rolled(
     prefix: str,
     hot_rows: int,
 ) -> DataFrame:
-    flagged = flag_hot(rows, keys, _HOT_SHARE, hot_rows, "_hot")
+    flagged = _flagged(rows, keys, hot_rows)
     adds = flagged.withColumn("_expiry", F.lit(False))
     gone = flagged.where("_c > 0").select(
         *keys,
@@ -220,27 +236,24 @@ def _rolled(
     before = _earlier(keys, False)
     seeds = per_slice.select(
         *keys, "_slice", F.sum("_d").over(before).alias("_d"), F.sum("_c").over(before).alias("_c")
-    ).withColumn("_expiry", F.lit(True))
+    ).withColumns({"_expiry": F.lit(True), "_hot": F.lit(True)})
     # The seed has no time of its own: place it before every row of its slice.
     placed = changes.withColumn("_at", F.col(at)).unionByName(
         seeds.withColumn("_at", F.lit(-(1 << 62)).cast("bigint")), allowMissingColumns=True
     )
     w = (
-        Window.partitionBy(*keys, "_slice")
+        _groups(keys)
         .orderBy("_at")
         .rangeBetween(Window.unboundedPreceding, 0)
     )
     n = F.sum("_c").over(w)
-    return (
-        placed.withColumns(
-            {
-                f"{prefix}_n": F.coalesce(n, F.lit(0)),
-                f"{prefix}_sum": F.when(n > 0, F.sum("_d").over(w).cast("double")),
-            }
-        )
-        .where("NOT _expiry")
-        .drop("_d", "_c", "_expiry", "_hot", "_slice", "_at")
-    )
+    out = placed.withColumns(
+        {
+            f"{prefix}_n": F.coalesce(n, F.lit(0)),
+            f"{prefix}_sum": F.when(n > 0, F.sum("_d").over(w).cast("double")),
+        }
+    ).where("NOT _expiry")
+    return _without(out.drop("_d", "_c"), rows, "_expiry", "_hot", "_slice", "_at")
 
 
 def rolling_average(
@@ -268,9 +281,10 @@ def runs(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Number the runs of each key: ``starts`` (over ``_prev`` = ``previous`` one row up) opens one."""
-    seen = neighbour(df, keys, order, slice_by, {"_prev": previous}, hot_rows=hot_rows)
+    base = _flagged(df, keys, hot_rows)
+    seen = neighbour(base, keys, order, slice_by, {"_prev": previous})
     opened = {name: F.when(starts, 1).otherwise(0)}
-    return running_sums(seen, keys, order, slice_by, opened, hot_rows=hot_rows).drop("_prev")
+    return _without(running_sums(seen, keys, order, slice_by, opened), df, "_prev", "_hot")
 
 
 def sessions(
@@ -328,7 +342,7 @@ def ranks(
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows"),
         F.coalesce(F.sum("_steps").over(before), F.lit(0)).alias("_steps"),
     )
-    group = Window.partitionBy(*keys, "_slice")
+    group = _groups(keys)
     by_value = group.orderBy("_seq", *_ordered([by], backwards))
     by_row = group.orderBy("_seq", *_ordered([by], backwards), F.col(tie).asc())
     head = by_row.rowsBetween(Window.unboundedPreceding, 0)
@@ -376,6 +390,8 @@ def moving_average(
     The position of a row is its running count; a frame of ``n`` rows is then a range of
     positions, which :func:`rolling_sums` spreads over slices of positions.
     """
-    placed = running_sums(df, keys, order, slice_by, {"_pos": F.lit(1)}, hot_rows=hot_rows)
+    base = _flagged(df, keys, hot_rows)
+    placed = running_sums(base, keys, order, slice_by, {"_pos": F.lit(1)})
     by_pos = F.floor(F.col("_pos") / max(1, hot_rows // 2))
-    return rolling_average(placed, keys, "_pos", by_pos, value, n - 1, name, hot_rows).drop("_pos")
+    out = rolling_average(placed, keys, "_pos", by_pos, value, n - 1, name)
+    return _without(out, df, "_pos", "_hot")

@@ -380,5 +380,5 @@ def spend_load(t: Tables) -> DataFrame:
     silver_0 = materialised(old, "silver")
     first = materialised(inc.spend_of_new(silver_0, "user_id", "ts", "value", None), "gold")
     mark = inc.next_mark(silver_0, "ts")
-    silver_1 = insert_new(silver_0, inc.since(events, "ts", mark), ["event_id"])
+    silver_1 = materialised(insert_new(silver_0, inc.since(events, "ts", mark), ["event_id"]), "silver")
     return first.unionByName(inc.spend_of_new(silver_1, "user_id", "ts", "value", mark))
