@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewheel.functions.times import time_slice
 from tidewheel.operators.skew import flag_hot, salt_of
 from tidewheel.operators.windows import HOT_ROWS, HOT_SHARE, running_sums
+from tidewheel.sources.sinks import materialised
 
 
 def salted_totals(
@@ -55,7 +56,8 @@ def exact_median(
         .groupBy(*keys, value)
         .agg(F.count("*").alias("_n"))
     )
-    counted = flag_hot(counted, keys, HOT_SHARE, hot_rows, "_hot")
+    # Read several times below, and far smaller than the rows: computed once.
+    counted = flag_hot(materialised(counted, "median"), keys, HOT_SHARE, hot_rows, "_hot")
     placed = running_sums(counted, keys, [value], cut, n[0])
     placed = running_sums(placed, keys, [value], cut, n[1], backwards=True)
     size = F.col("_upto") + F.col("_down") - F.col("_n")

@@ -21,6 +21,7 @@ from tidewheel.operators.joins import (
 from tidewheel.operators.windows import neighbour
 from tidewheel.plans.registry import Tables, query
 from tidewheel.plans.reports import customer_regions
+from tidewheel.sources.sinks import materialised
 
 
 def skewed_lines(t: Tables) -> DataFrame:
@@ -298,6 +299,7 @@ def version_lookup(t: Tables) -> DataFrame:
     )
     # Versions that another of the same day replaced were never valid.
     history = history.where(F.col("effective_to").isNull() | (F.col("effective_to") > F.col("effective_from")))
+    history = materialised(history, "history")
     facts = t.lineitem.select(
         "l_orderkey", "l_linenumber", (F.col("l_suppkey") % 1000).alias("c"), F.col("l_shipdate").alias("at")
     )
