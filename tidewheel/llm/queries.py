@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import rules
+from tidewheel.llm import ans, decontam, hosts, licences, packing, rules, shards
+from tidewheel.session import fresh_dir
 from tidewheel.sources.readers import read_table
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -33,3 +37,62 @@ def quality_rules(spark: SparkSession, base: str) -> DataFrame:
         "doc_id", *[f"{m}.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")],
         F.col("_kept").alias("kept"),
     )
+
+
+@register("op3_byte_shards")
+def byte_shards(spark: SparkSession, base: str) -> DataFrame:
+    placed = shards.shard_by_bytes(read_table(spark, base, "documents").select("doc_id", "text"))
+    return placed.select(
+        "doc_id",
+        shards.row_size().alias("size"),
+        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@register("op8_best_fit_packing")
+def best_fit_packing(spark: SparkSession, base: str) -> DataFrame:
+    docs = read_table(spark, base, "documents").select("doc_id", "text")
+    placed = packing.packed(docs, TOKENIZER, size=2048, end_id=0)
+    return placed.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
+@register("op4_rans_files")
+def rans_files(spark: SparkSession, base: str) -> DataFrame:
+    path = fresh_dir(spark, "rans")
+    ans.write_encoded(read_table(spark, base, "documents").select("doc_id", "text"), path, TOKENIZER, end_id=2)
+    return ans.read_encoded(spark, path).select(
+        "doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
+HOST_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+
+
+@register("op10_host_graph")
+def host_graph(spark: SparkSession, base: str) -> DataFrame:
+    return hosts.judged(read_table(spark, base, "pages").select("page_id", "url", "html"), HOST_RULES).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
+@register("op1_licence_scan")
+def licence_scan(spark: SparkSession, base: str) -> DataFrame:
+    return licences.scan(read_table(spark, base, "documents").select("doc_id", "text"))
+
+
+@register("op7_template_leaks")
+def template_leaks(spark: SparkSession, base: str) -> DataFrame:
+    docs = read_table(spark, base, "documents").select("doc_id", "text")
+    return decontam.leaks(docs, read_table(spark, base, "benchmark"))
