@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import ans, decontam, hosts, licences, packing, rules, shards
+from tidewheel.llm import ans, decontam, hosts, jaccard, langid, licences, packing, rules, shards
 from tidewheel.session import fresh_dir
 from tidewheel.sources.readers import read_table
 
@@ -96,3 +96,17 @@ def licence_scan(spark: SparkSession, base: str) -> DataFrame:
 def template_leaks(spark: SparkSession, base: str) -> DataFrame:
     docs = read_table(spark, base, "documents").select("doc_id", "text")
     return decontam.leaks(docs, read_table(spark, base, "benchmark"))
+
+
+@register("op5_jaccard_regions")
+def jaccard_regions(spark: SparkSession, base: str) -> DataFrame:
+    return jaccard.classes(read_table(spark, base, "documents").select("doc_id", "text"), percent=75)
+
+
+@register("op6_language_id")
+def language_id(spark: SparkSession, base: str) -> DataFrame:
+    docs = read_table(spark, base, "documents").select("doc_id", "text", "lang")
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0)) % 4 == 2
+    model = langid.fit(docs.where(~fold).select("text", "lang"))
+    found = langid.predict(docs.select("doc_id", fold.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
