@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import ans, decontam, hosts, jaccard, langid, licences, packing, rules, shards
+from tidewheel.llm import ans, decontam, hosts, jaccard, langid, licences, packing, pii, rules, shards
 from tidewheel.session import fresh_dir
 from tidewheel.sources.readers import read_table
 
@@ -110,3 +110,14 @@ def language_id(spark: SparkSession, base: str) -> DataFrame:
     model = langid.fit(docs.where(~fold).select("text", "lang"))
     found = langid.predict(docs.select("doc_id", fold.alias("held_out"), "text"), model)
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@register("op9_context_pii")
+def context_pii(spark: SparkSession, base: str) -> DataFrame:
+    found = pii.found(read_table(spark, base, "documents").select("doc_id", "text"))
+    spans = F.col("_spans")
+    count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[count(kind) for kind in pii.KINDS],
+        F.sha2(pii.spelled(pii.base_only(spans)), 256).alias("base_sha256"), pii.spelled(spans).alias("spans"),
+    )
