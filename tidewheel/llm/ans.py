@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.tokens import WordEncoder
+from tidewheel.llm.tokens import shared_encoder, slices
 from tidewheel.llm.words import has_column
 
 SCALE = 20
@@ -142,8 +142,8 @@ def write_encoded(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> No
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
     def count(batches):
-        encoder, seen = WordEncoder(tokenizer), np.zeros(0, np.int64)
-        for batch in batches:
+        encoder, seen = shared_encoder(tokenizer), np.zeros(0, np.int64)
+        for batch in slices(batches):
             for ids in encoder.encode(batch.column(0).to_pylist()):
                 found = np.bincount(np.frombuffer(ids + end, "<u4"))
                 if len(found) > len(seen):
@@ -161,7 +161,7 @@ def write_encoded(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> No
     spark.createDataFrame([(SCALE, freq.astype("<u4").tobytes())], "scale int, freq binary").coalesce(1).write.parquet(f"{path}/model")
 
     def blocks(batches):
-        coder, encoder, part = Coder(freq), WordEncoder(tokenizer), TaskContext.get().partitionId()
+        coder, encoder, part = Coder(freq), shared_encoder(tokenizer), TaskContext.get().partitionId()
         held: list[tuple] = []
         size, start, number = 0, 0, 0
 
@@ -177,7 +177,7 @@ def write_encoded(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> No
                 names=["part", "block", "start", "n_ids", "docs", "ids_crc", "coded_crc", "coded"],
             )
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
                 held.append((doc, ids + end))
                 size += len(ids) // 4 + 1

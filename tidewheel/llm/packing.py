@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.tokens import WordEncoder
+from tidewheel.llm.tokens import shared_encoder, slices
 from tidewheel.llm.words import has_column
 from tidewheel.sources.sinks import materialised
 
@@ -172,9 +172,9 @@ def packed(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0) -
     end = int(end_id).to_bytes(4, "little")
 
     def pieces(batches):
-        encoder = WordEncoder(tokenizer)
-        for batch in batches:
-            docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        encoder = shared_encoder(tokenizer)
+        for part in slices(batches):
+            docs, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
             for doc, ids in zip(docs, encoder.encode(texts), strict=True):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids) // 4, size)):

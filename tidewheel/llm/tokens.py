@@ -1,78 +1,94 @@
-"""Token ids of texts from a tokenizer file, with a bounded memory of words seen before.
+"""Token ids of texts from a tokenizer file, with a bounded memory of pieces seen before.
 
-A vocabulary that never joins across white space gives every run of other characters the same ids
-wherever it stands, so a run is encoded once and its ids are joined as bytes afterwards. Runs of
-plain Latin letters go straight to the library's model; any other run goes through the whole
-library pipeline. The memory is emptied when it is full: that costs time, never a result.
+A pre-tokenizer cuts a text into pieces that get the same ids wherever they stand, so a piece is
+encoded once and its ids are joined as bytes afterwards. Texts of ASCII and Latin letters are cut
+here and their pieces go to the library's model; runs between spaces of any other text go through
+the whole library. The memory lives as long as the worker process; when it is full it is emptied,
+which costs time, never a result.
 """
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
-import numpy as np
 from tokenizers import Tokenizer
 
-REMEMBERED = 600_000
-_PLAIN = re.compile(rb"[a-z]+")
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one thread a task
+
+REMEMBERED = 400_000
+# letters that lower-case and compose to themselves one by one, so Python's rules are the library's
+_LETTERS = "a-zA-ZÀ-ÖØ-öø-įĲ-ňŊ-ſ"
+_SIMPLE = re.compile(rf"[\x20-\x7e\t-\r{_LETTERS}]*")
+# Fixed value: the pre-tokenizer's pattern, for such texts after lower-casing.
+_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\x20\t-\r{_LETTERS}0-9]+")
+# how byte-level vocabularies spell bytes: printable ones as themselves, the others from U+0100 on
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_SPELLED = {b: chr(256 + k) for k, b in enumerate(sorted({*range(256)} - {*_PRINTED}))}
 
 
 class WordEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers.
 
-    Only for tokenizers that drop ASCII white space and lower-case their input (``spaced`` checks
-    this on the file); others are encoded text by text.
+    Cuts texts itself only if the file's tokenizer gives the same ids for a set of probes; others
+    are encoded text by text.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        probe = "Ab cd\n\tEf, 12"
-        whole = self.tokenizer.encode(probe, add_special_tokens=False).ids
-        parts = [i for p in probe.lower().split() for i in self.tokenizer.encode(p, add_special_tokens=False).ids]
-        self.spaced = whole == parts
-
-    def _learn(self, runs: list[bytes]) -> None:
-        model, known = self.tokenizer.model, self.known
-        rest = []
-        for run in runs:
-            stem = run.rstrip(b",.")
-            if stem != run and _PLAIN.fullmatch(stem):
-                tail = known.get(run[len(stem):])
-                if tail is None:
-                    tail = self._whole([run[len(stem):].decode()])[0]
-                    known[run[len(stem):]] = tail
-                known[run] = self._word(model, stem) + tail
-            elif _PLAIN.fullmatch(run):
-                known[run] = self._word(model, run)
-            else:
-                rest.append(run)
-        if rest:
-            for run, ids in zip(rest, self._whole([r.decode() for r in rest]), strict=True):
-                known[run] = ids
-
-    @staticmethod
-    def _word(model, run: bytes) -> bytes:
-        return b"".join(t.id.to_bytes(4, "little") for t in model.tokenize(run.decode()))
+        self.model = self.tokenizer.model
+        self.known: dict[str, bytes] = {}
+        self.written = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        probes = ["Ab cd\n\tEf, (gh) 12", "it's 'tis WE'LL x''s ''", "Été straße!! | ***\x0b\x0c~", "a.b_c-d@e 3.14"]
+        self.cuts = all("<|" in t.content for t in self.tokenizer.get_added_tokens_decoder().values()) and all(
+            self._cut(p) == w for p, w in zip(probes, self._whole(probes), strict=True)
+        )
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        written = self.written
+        return [b"".join([written[i] for i in e.ids]) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _cut(self, text: str) -> bytes:
+        pieces = _PIECE.findall(text.lower())
+        try:
+            return b"".join(map(self.known.__getitem__, pieces))
+        except KeyError:
+            known, written, tokenize = self.known, self.written, self.model.tokenize
+            for piece in pieces:
+                if piece not in known:
+                    spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_SPELLED)
+                    known[piece] = b"".join([written[t.id] for t in tokenize(spelled)])
+            return b"".join(map(known.__getitem__, pieces))
+
+    def _runs(self, text: str) -> bytes:
+        """Run by run between ASCII spaces; a run's key cannot be a piece's, which has no NUL in front."""
+        runs = ["\0" + r.decode() for r in text.encode().split()]
+        fresh = [r for r in dict.fromkeys(runs) if r not in self.known]
+        self.known.update(zip(fresh, self._whole([r[1:] for r in fresh]), strict=True))
+        return b"".join(map(self.known.__getitem__, runs))
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text; NULL is the empty text."""
-        if not self.spaced:
+        if not self.cuts:
             yield from self._whole([t or "" for t in texts])
             return
         for text in texts:
-            raw = (text or "").encode()
-            # a special token's own spelling is case-sensitive
-            runs = raw.split() if b"<|" in raw else raw.lower().split()
-            known = self.known
-            if len(known) > REMEMBERED:
-                known.clear()
-            try:
-                yield b"".join([known[r] for r in runs])
-            except KeyError:
-                self._learn([r for r in dict.fromkeys(runs) if r not in known])
-                yield b"".join([known[r] for r in runs])
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            text = text or ""
+            yield self._cut(text) if "<|" not in text and _SIMPLE.fullmatch(text) else self._runs(text)
+
+
+@lru_cache(maxsize=2)
+def shared_encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a worker process."""
+    return WordEncoder(path)
+
+
+def slices(batches, rows: int = 256):
+    """The same rows in smaller batches, so that few texts at a time become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
