@@ -95,3 +95,12 @@ def test_gate(people):
 def test_reconcile(people):
     out = q.reconcile({"all": people, "with email": people.where("email IS NOT NULL")}, ["id"])
     assert bag(out) == [("all", 3, 2), ("with email", 2, 2)]
+
+
+def test_a_rule_on_the_wrong_type_fails_alone(spark):
+    from tidewheel.operators.quality import check, in_range, not_null
+
+    df = spark.createDataFrame([("5", 1), ("x@y", 2), (None, None)], "email STRING, id INT")
+    lines = {r.rule: r for r in check(df, [in_range("email", 0, 120), not_null("id"), in_range("id", 0, 1)]).collect() if r.rule != "InRange" or r.column == "email"}
+    assert lines["InRange"].failed_count == -1 and not lines["InRange"].passed and "raised" in lines["InRange"].message
+    assert lines["NotNull"].failed_count == 1

@@ -108,6 +108,31 @@ def test_partition_merge_moves_keys_and_drops_empty_partitions(spark, folder):
     assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == ["d=1", "d=3", "d=4"]
 
 
+@pytest.mark.parametrize("kind", ["INT", "STRING"])
+def test_null_partitions_keep_their_rows(spark, folder, kind):
+    create_database(spark, "parts_" + kind.lower())
+    name, one, two = f"parts_{kind.lower()}.t", *((1, 2) if kind == "INT" else ("a", "b"))
+    schema = f"k INT, v INT, p {kind}"
+    start = [(1, 10, None), (2, 20, None), (3, 30, one), (4, 40, two)]
+    spark.createDataFrame(start, schema).write.partitionBy("p").saveAsTable(name)
+    steps = [
+        ([(1, 11, one)], [(1, 11, one), (2, 20, None), (3, 30, one), (4, 40, two)]),  # out of the NULL partition
+        ([(4, 41, None)], [(1, 11, one), (2, 20, None), (3, 30, one), (4, 41, None)]),  # into it; another one empties
+        ([(2, 21, one), (4, 42, one)], [(1, 11, one), (2, 21, one), (3, 30, one), (4, 42, one)]),  # it empties itself
+        ([(9, 90, None)], [(1, 11, one), (2, 21, one), (3, 30, one), (4, 42, one), (9, 90, None)]),
+    ]
+    for batch, want in steps:
+        for _ in range(2):
+            upsert_partitions(spark, name, spark.createDataFrame(batch, schema), ["k"], "p")
+            assert bag(spark.table(name), "k", "v", "p") == want
+
+
+def test_a_batch_that_repeats_a_key_is_refused(spark):
+    target, batch = table(spark, [(1, "a")]), table(spark, [(1, "x"), (1, "y"), (None, "n"), (None, "n")])
+    with pytest.raises(Exception, match="repeats a key"):
+        upsert(target, batch, ["k"]).collect()
+
+
 def at(hour, minute=0):
     return dt.datetime(2024, 1, 1, hour, minute)
 

@@ -6,6 +6,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import bag
@@ -197,3 +198,34 @@ def test_latest_and_top_n(df, rows):
     assert dict(bag(latest(df, ["k"], "at", "id"), "k", "id")) == want
     three = top_n(df, ["k"], [F.asc("at"), F.asc("id")], 3)
     assert bag(three, "id") == sorted((r[0],) for g in by_key(rows).values() for r in g[:3])
+
+
+HARD = [
+    (1, "a", 1, None), (2, "a", 2, None), (3, "a", 3, 1e-7), (4, "a", 4, 2e-7), (5, "a", 20, 1e25), (6, "a", 21, 4e-7),
+    (7, "a", 40, float("nan")), (8, "a", 41, 5.0), (9, "a", 90, 7.0), (10, "b", 1, None), (11, None, 5, 2e-7),
+]
+
+
+@pytest.mark.parametrize("hot_rows", LIMITS)
+def test_rolling_sums_of_tiny_large_and_nan_values(spark, hot_rows):
+    hard = spark.createDataFrame(HARD, "id INT, k STRING, at BIGINT, v DOUBLE")
+    plain = Window.partitionBy("k").orderBy("at").rangeBetween(-9, 0)
+    want = bag(hard.select("id", F.sum("v").over(plain).cast("string"), F.count("v").over(plain)))
+    out = rolling_sums(hard, ["k"], "at", cut(), "v", 9, "w", hot_rows)
+    assert bag(out.select("id", F.col("w_sum").cast("string"), "w_n")) == want
+
+
+@pytest.mark.parametrize("backwards", [False, True])
+def test_ranks_with_nulls_hot_and_cold(spark, backwards):
+    rows = [(i, "a", v) for i, v in enumerate([None, None, 5, 7, 7, 12, 31, 31, None])]
+    df = spark.createDataFrame(rows, "id INT, k STRING, v BIGINT")
+    by = F.floor(F.coalesce(F.col("v"), F.lit(-1)) / 10)
+    hot, cold = (bag(ranks(df, ["k"], "v", "id", by, backwards, n), "id", "row_number", "rank", "dense_rank") for n in (1, 1_000_000))
+    assert hot == cold
+    order = F.col("v").desc() if backwards else F.col("v").asc()
+    assert [(i, d) for i, _, _, d in hot] == bag(df.select("id", F.dense_rank().over(Window.partitionBy("k").orderBy(order))))
+
+
+def test_median_of_a_key_without_values(spark):
+    df = spark.createDataFrame([("a", None), ("a", None), ("b", 1.0), ("b", 4.0), (None, 2.0)], "k STRING, v DOUBLE")
+    assert bag(exact_median(df, ["k"], "v", 10.0)) == [(None, 2.0), ("a", None), ("b", 2.5)]

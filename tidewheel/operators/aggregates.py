@@ -63,7 +63,10 @@ def exact_median(
     size = F.col("_upto") + F.col("_down") - F.col("_n")
     low, high = F.floor((size + 1) / 2), F.floor((size + 2) / 2)
     middle = placed.where((low <= F.col("_upto")) & (high > F.col("_upto") - F.col("_n")))
-    return middle.groupBy(*keys).agg(((F.min(value) + F.max(value)) / 2).alias("median"))
+    found = middle.groupBy(*keys).agg(((F.min(value) + F.max(value)) / 2).alias("median"))
+    # a key with NULLs only has no value to order, and a median of NULL
+    bare = df.groupBy(*keys).agg(F.count(value).alias("_n")).where("_n = 0")
+    return found.unionByName(bare.select(*keys, F.lit(None).cast(found.schema["median"].dataType).alias("median")))
 
 
 def counts_where(conditions: dict[str, Column]) -> list[Column]:

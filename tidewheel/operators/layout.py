@@ -29,16 +29,24 @@ def compact(
     where: Column | None = None,
     file_bytes: int = 128 << 20,
 ) -> None:
-    """Rewrite a table (or the part ``where`` selects) in files of about ``file_bytes``.
+    """Rewrite a table in files of about ``file_bytes``; with ``where``, only the rows it selects.
 
-    The number of files comes from the bytes on disk. The result goes to a new folder; readers
-    of the old one are not disturbed.
+    The number of files comes from the bytes on disk and the rows rewritten; other rows are copied
+    in the files they come in, so ``target`` is always the whole table. Readers of the old folder
+    are not disturbed.
     """
     df = spark.read.parquet(source)
+    rest = None
     if where is not None:
-        df = df.where(where)
-    size = file_detail(df).first()["bytes"] or 0
+        inside = F.coalesce(where, F.lit(False))
+        df, rest = df.where(inside), df.where(~inside)
+    whole = file_detail(spark.read.parquet(source)).first()
+    kept = df.count() if where is not None else whole["n_rows"]
+    # the share of the bytes on disk that the rewritten rows have
+    size = (whole["bytes"] or 0) * kept // max(1, whole["n_rows"])
     df.repartition(max(1, -(-size // file_bytes))).write.mode("overwrite").parquet(target)
+    if rest is not None:
+        rest.write.mode("append").parquet(target)
 
 
 def _with_rank(df: DataFrame, column: str, bits: int) -> DataFrame:

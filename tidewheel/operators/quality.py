@@ -39,7 +39,10 @@ def unique(column: str, severity: str = "error") -> Rule:
 
 
 def in_range(column: str, low: float, high: float, severity: str = "error") -> Rule:
-    failed = F.count_if(~F.coalesce(F.col(column).between(low, high), F.lit(False)))
+    number = F.col(column).try_cast("double")
+    failed = F.count_if(~F.coalesce(number.between(low, high), F.lit(False)))
+    # a value that is there and no number makes the rule itself fail, not the run
+    failed = F.when(F.count_if(F.col(column).isNotNull() & number.isNull()) > 0, F.lit(-1)).otherwise(failed)
     return Rule("InRange", column, failed, f"values of '{column}' outside [{low}, {high}]", severity)
 
 
@@ -112,7 +115,9 @@ def check(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for i, rule in enumerate(rules):
         if problems[i] is None:
             n = F.col(f"n{i}")
-            lines.append(_line(rule, n, F.concat(n.cast("string"), F.lit(f" {rule.wording}")), n == 0))
+            told = F.concat(n.cast("string"), F.lit(f" {rule.wording}"))
+            cannot = F.lit(f"rule raised: '{rule.column}' holds values that cannot be compared")
+            lines.append(_line(rule, n, F.when(n < 0, cannot).otherwise(told), n == 0))
         else:
             text = F.lit(f"rule raised: {problems[i]}")
             lines.append(_line(rule, F.lit(-1), text, F.lit(False)))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewheel.operators.windows import latest
@@ -34,6 +34,13 @@ def _new_keys(
     return source.join(known, list(keys), "left_anti")
 
 
+def one_per_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``batch``, with a check inside the plan that no key occurs twice."""
+    twice = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1))) > 1
+    message = F.concat(F.lit("merge batch repeats a key: "), F.to_json(F.struct(*keys)))
+    return batch.withColumn("_once", F.when(twice, F.raise_error(message).cast("int"))).where("_once IS NULL").drop("_once")
+
+
 def _boxed(df: DataFrame, keys: Sequence[str], box: str) -> DataFrame:
     return df.select(*keys, F.struct(*df.columns).alias(box))
 
@@ -56,9 +63,9 @@ def upsert(
     over ``t`` and ``s`` on matched rows, ``insert_when`` one over the columns of new batch rows.
     A NULL key matches nothing.
     """
-    if newest:
-        keyed = latest(source.where(_has_key(keys)), keys, *newest)
-        source = keyed.unionByName(source.where(~_has_key(keys)))
+    keyed = source.where(_has_key(keys))
+    keyed = latest(keyed, keys, *newest) if newest else one_per_key(keyed, keys)
+    source = keyed.unionByName(source.where(~_has_key(keys)))
     columns = target.columns
     batch = source.where(_has_key(keys))
     hint = broadcast_hint(batch)
@@ -170,34 +177,42 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     return changed
 
 
+def _in_partitions(target: DataFrame, touched: DataFrame, part: str) -> DataFrame:
+    """Rows of the listed partitions; NULL is a partition like others. Equality keeps the pruning."""
+    out = target.join(touched.where(F.col(part).isNotNull()), part, "left_semi")
+    if touched.where(F.col(part).isNull()).isEmpty():
+        return out
+    return out.unionByName(target.where(F.col(part).isNull()))
+
+
 def upsert_partitions(
     spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str], part: str
 ) -> None:
     """Merge into a partitioned catalog table and rewrite only the partitions it touches.
 
     Touched are the partitions of the batch and those where a batch key lies today, so a key
-    whose partition value moved is updated, not inserted twice. The new content is written to
-    the shared folder first. Partitions left empty are cleared before the others are replaced; a
-    job that dies in between can simply run again.
+    whose partition value moved is updated, not inserted twice; NULL is a partition like others.
+    The new content is written to the shared folder first and then replaces its partitions; only
+    after that are partitions dropped that have no row left. A job that dies in between leaves a
+    key in its old and its new partition at worst, and running it again mends that.
     """
     target = spark.table(table)
-    home = target.select(part, *keys).join(source.select(*keys), list(keys), "left_semi")
-    touched = home.select(part).union(source.select(part)).distinct()
+    home = target.select(part, *keys).join(source.where(_has_key(keys)).select(*keys), list(keys), "left_semi")
     # Partition values are folder names: metadata-sized, whatever the table holds.
-    slice_now = target.join(touched, part, "left_semi")
-    after = materialised(upsert(slice_now, source, keys), "merge")
-    emptied = home.select(part).distinct().join(after.select(part), part, "left_anti")
-    after.createOrReplaceTempView("tidewheel_merge")
-    others = ", ".join(c for c in target.columns if c != part)
-    specs = [
-        f"PARTITION ({part} = {'NULL' if row[0] is None else repr(str(row[0]))})"
-        for row in emptied.toLocalIterator()
-    ]
-    for spec in specs:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} {spec} SELECT {others} FROM tidewheel_merge WHERE false")
+    touched = materialised(home.select(part).union(source.select(part)).distinct(), "touched")
+    after = materialised(upsert(_in_partitions(target, touched, part), source, keys), "merge")
+    emptied = [row[0] for row in touched.subtract(after.select(part)).toLocalIterator()]
     folder = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()[1]
     replace_slices(after, folder, [part])
     spark.sql(f"MSCK REPAIR TABLE {table}")
-    for spec in specs:
+    after.createOrReplaceTempView("tidewheel_merge")
+    others = ", ".join(c for c in target.columns if c != part)
+    for value in emptied:  # emptied first: dropping leaves the files of an external table
+        spec = f"PARTITION ({part} = {'NULL' if value is None else repr(str(value))})"
+        if value is None:  # no statement can overwrite the NULL partition of a numeric column
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{part}=__HIVE_DEFAULT_PARTITION__")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        else:
+            spark.sql(f"INSERT OVERWRITE TABLE {table} {spec} SELECT {others} FROM tidewheel_merge WHERE false")
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
     spark.catalog.refreshTable(table)

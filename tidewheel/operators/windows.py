@@ -18,6 +18,7 @@ The broadcast list of hot keys therefore never exceeds a million keys.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -26,7 +27,6 @@ from tidewheel.operators.skew import flag_hot
 
 HOT_ROWS = 1_000_000
 HOT_SHARE = 1e-6
-_DEC = "decimal(28,6)"
 
 
 def _ordered(order: Sequence[str], backwards: bool) -> list[Column]:
@@ -176,15 +176,24 @@ def rolling_sums(
 ) -> DataFrame:
     """Sum and count of ``value`` over ``[at - reach, at]``, both ends and all ties included.
 
-    Every row adds its value at ``at`` and takes it away at ``at + reach + 1``; the rolling sum
-    is the running total of both. That is linear in the rows (a sliding frame re-adds the whole
-    frame for each row) and, through slices, spread for hot keys. ``slice_by`` is an expression
-    over ``at``. Values are added as decimals with six places, so taking away is exact.
+    Values are added as they are: sums, NaN and large values come out as from a plain window. Keys
+    that are not hot get that window. Rows of hot keys are added up per time first; each slice of
+    times takes in the earlier times its frames reach back to, and the rows fetch the result of
+    their time. ``slice_by`` is an expression over ``at``.
     """
-    rows = df.withColumns(
-        {"_d": F.col(value).cast(_DEC), "_c": F.col(value).isNotNull().cast("bigint")}
+    flagged = _flagged(df, keys, hot_rows)
+    w = Window.partitionBy(*keys).orderBy(at).rangeBetween(-reach, 0)
+    cold = flagged.where("_hot IS NULL").withColumns(
+        {f"{prefix}_n": F.count(value).over(w), f"{prefix}_sum": F.sum(value).over(w).cast("double")}
     )
-    return _rolled(rows, keys, at, slice_by, reach, prefix, hot_rows)
+    busy = flagged.where("_hot")
+    per_time = busy.groupBy(*keys, at).agg(F.sum(value).alias("_d"), F.count(value).alias("_c"))
+    rolled = _framed(per_time, keys, at, slice_by, reach, prefix)
+    names = {c: f"_t_{c}" for c in [*keys, at]}
+    rolled = rolled.select(*[F.col(c).alias(n) for c, n in names.items()], f"{prefix}_n", f"{prefix}_sum")
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()))
+    hot = busy.join(rolled, same).drop(*names.values())
+    return _without(cold.unionByName(hot), df, "_hot")
 
 
 def rolling_totals(
@@ -202,58 +211,36 @@ def rolling_totals(
     Rows of one time are added up before the shuffle, so even a key whose rows all share a few
     times (days, say) costs only its number of times.
     """
-    per_time = df.groupBy(*keys, at).agg(
-        F.sum(F.col(value).cast(_DEC)).cast(_DEC).alias("_d"), F.count(value).alias("_c")
-    )
-    return _rolled(per_time, keys, at, slice_by, reach, prefix, hot_rows)
+    per_time = df.groupBy(*keys, at).agg(F.sum(value).alias("_d"), F.count(value).alias("_c"))
+    flagged = _flagged(per_time, keys, hot_rows)
+    w = Window.partitionBy(*keys).orderBy(at).rangeBetween(-reach, 0)
+    cold = flagged.where("_hot IS NULL").withColumns(_totals(w, prefix))
+    hot = _framed(flagged.where("_hot").drop("_hot"), keys, at, slice_by, reach, prefix)
+    return cold.drop("_hot", "_d", "_c").unionByName(hot)
 
 
-def _rolled(
-    rows: DataFrame,
-    keys: Sequence[str],
-    at: str,
-    slice_by: Column,
-    reach: int,
-    prefix: str,
-    hot_rows: int,
+def _totals(w: WindowSpec, prefix: str) -> dict[str, Column]:
+    return {
+        f"{prefix}_n": F.coalesce(F.sum("_c").over(w), F.lit(0)),
+        f"{prefix}_sum": F.sum("_d").over(w).cast("double"),
+    }
+
+
+def _framed(
+    per_time: DataFrame, keys: Sequence[str], at: str, slice_by: Column, reach: int, prefix: str
 ) -> DataFrame:
-    flagged = _flagged(rows, keys, hot_rows)
-    adds = flagged.withColumn("_expiry", F.lit(False))
-    gone = flagged.where("_c > 0").select(
-        *keys,
-        "_hot",
-        (F.col(at) + (reach + 1)).alias(at),
-        (-F.col("_d")).alias("_d"),
-        (-F.col("_c")).alias("_c"),
-        F.lit(True).alias("_expiry"),
-    )
-    changes = adds.unionByName(gone, allowMissingColumns=True).withColumn(
-        "_slice", F.when(F.col("_hot"), slice_by)
-    )
-    per_slice = changes.where("_hot").groupBy(*keys, "_slice").agg(
-        F.sum("_d").alias("_d"), F.sum("_c").alias("_c")
-    )
-    before = _earlier(keys, False)
-    seeds = per_slice.select(
-        *keys, "_slice", F.sum("_d").over(before).alias("_d"), F.sum("_c").over(before).alias("_c")
-    ).withColumns({"_expiry": F.lit(True), "_hot": F.lit(True)})
-    # The seed has no time of its own: place it before every row of its slice.
-    placed = changes.withColumn("_at", F.col(at)).unionByName(
-        seeds.withColumn("_at", F.lit(-(1 << 62)).cast("bigint")), allowMissingColumns=True
-    )
-    w = (
-        _groups(keys)
-        .orderBy("_at")
-        .rangeBetween(Window.unboundedPreceding, 0)
+    """Frames over one row per time, slice by slice. A slice borrows the times it reaches back to."""
+    sliced = per_time.withColumn("_slice", slice_by)
+    firsts = sliced.groupBy(*keys, "_slice").agg(F.min(at).alias("_from"))
+    renamed = firsts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_into"), "_from")
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    reaches = (F.col(at) < F.col("_from")) & (F.col(at) >= F.col("_from") - reach)
+    borrowed = sliced.join(renamed, reduce(lambda a, b: a & b, [*same, reaches])).select(
+        *keys, at, "_d", "_c", F.col("_into").alias("_slice"), F.lit(True).alias("_borrowed")
     )
-    n = F.sum("_c").over(w)
-    out = placed.withColumns(
-        {
-            f"{prefix}_n": F.coalesce(n, F.lit(0)),
-            f"{prefix}_sum": F.when(n > 0, F.sum("_d").over(w).cast("double")),
-        }
-    ).where("NOT _expiry")
-    return _without(out.drop("_d", "_c"), rows, "_expiry", "_hot", "_slice", "_at")
+    rows = sliced.withColumn("_borrowed", F.lit(False)).unionByName(borrowed)
+    w = Window.partitionBy(*keys, "_slice").orderBy(at).rangeBetween(-reach, 0)
+    return rows.withColumns(_totals(w, prefix)).where("NOT _borrowed").select(*keys, at, f"{prefix}_n", f"{prefix}_sum")
 
 
 def rolling_average(
@@ -333,7 +320,9 @@ def ranks(
     """``row_number``, ``rank`` and ``dense_rank`` of ``by`` per key, over all rows."""
     sliced = _sliced(df, keys, slice_by, hot_rows)
     per_slice = sliced.where("_hot").groupBy(*keys, "_slice").agg(
-        F.count("*").alias("_rows"), F.count_distinct(by).alias("_steps")
+        F.count("*").alias("_rows"),
+        # NULL is a step of its own, which a distinct count leaves out
+        (F.count_distinct(by) + F.max(F.col(by).isNull().cast("int"))).alias("_steps"),
     )
     before = _earlier(keys, backwards)
     seeds = per_slice.select(

@@ -103,7 +103,7 @@ def compacted(t: Tables) -> DataFrame:
     return t.spark.read.parquet(target)
 
 
-@query("tbl_18_compacted_range", f"{_LINES} WHERE l_quantity >= 40")
+@query("tbl_18_compacted_range", _LINES)
 def compacted_range(t: Tables) -> DataFrame:
     source, target = _fragments(t), fresh_dir(t.spark, "compacted")
     layout.compact(t.spark, source, target, where=F.col("l_quantity") >= 40)

@@ -105,9 +105,12 @@ def broadcast_hint(df: DataFrame, limit: int = BROADCAST_LIMIT) -> Callable[[Dat
     return F.broadcast if estimate_bytes(df) <= limit else lambda frame: frame
 
 
-def right_sized(df: DataFrame, file_bytes: int = 128 << 20) -> DataFrame:
-    """Fewer partitions for a small result, from its measured size; never fewer than needed."""
-    return df.coalesce(max(1, -(-estimate_bytes(df) // file_bytes)))
+def right_sized(df: DataFrame) -> DataFrame:
+    """Files of about the session's advisory partition size, whatever the number of tasks before.
+
+    The rebalance happens after the work, so a scan and its filters keep their width.
+    """
+    return df.hint("rebalance")
 
 
 def materialised(df: DataFrame, purpose: str) -> DataFrame:
