@@ -10,11 +10,13 @@ link to it and need no comparison for their class to be known.
 3. *Regions.* Of two linked sets, the ``n / 4 + 1`` rarest members of each share one. Each such
    member spans a region of the sets that have it among theirs. In a region the set whose members
    are most widely shared is the pivot, and distances to it are exact. Its cell, the sets within
-   ``r``, is one class. Sets outside go into the region of the next pivot, together with *border*
-   sets of the cell whose distance lies within the window of the triangle inequality; two border
-   sets are not compared again. Small regions are joined directly. A large group of near copies so
-   takes one comparison per copy, never all pairs.
-4. *Classes.* Connected components of the links by label propagation with pointer jumping.
+   ``r``, joins one class. The other sets go into the region of the next pivot, together with
+   *border* sets of the pivot's class whose distance lies within the window of the triangle
+   inequality. Sets known to be of one class are not compared again, and a region of one class is
+   done. Small regions are joined directly. A large group of near copies so takes few comparisons
+   per copy, never all pairs.
+4. *Classes.* After each round, connected components of the classes that it linked, by label
+   propagation with pointer jumping.
 
 Members are 48-bit hashes: two texts' sets are compared by their hashes, within one pair a collision
 has a chance below 1e-7. Every stage is a Spark shuffle or join; number of parts follows the number
@@ -41,8 +43,7 @@ from tidewheel.llm.words import has_column
 from tidewheel.sources.sinks import materialised
 
 PART = 1_000_000  # members in one part of a shuffle
-LEAF_OUTSIDE = 8
-LEAF = 64
+LEAF = 16
 BLOB = "part int, body binary"
 _BLOB = pa.schema([("part", pa.int32()), ("body", pa.binary())])
 
@@ -238,54 +239,70 @@ def _survivors(blobs: DataFrame, parts: int, percent: int) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``x, p, both, either``: exact sizes of intersection and union of each pair."""
+    """``pairs`` (``x, p`` and more) with ``both, either``: exact sizes of intersection and union."""
     side = lambda k: sets.select(F.col("set").alias(k), F.col("n").alias(f"n_{k}"), F.col("shared").alias(f"s_{k}"))
     both = F.size(F.array_intersect("s_x", "s_p")).cast("long")
-    met = pairs.join(side("x"), "x").join(side("p"), "p").select("x", "p", both.alias("both"), (F.col("n_x") + F.col("n_p")).alias("_n"))
-    return met.select("x", "p", "both", (F.col("_n") - F.col("both")).alias("either"))
+    met = pairs.join(side("x"), "x").join(side("p"), "p").select(*pairs.columns, both.alias("both"), (F.col("n_x") + F.col("n_p")).alias("_n"))
+    return met.select(*pairs.columns, "both", (F.col("_n") - F.col("both")).alias("either"))
 
 
-def _links(sets: DataFrame, percent: int) -> DataFrame | None:
-    """``x, p``: links that connect every class of two or more sets."""
+def _roots(sets: DataFrame, percent: int) -> DataFrame:
+    """``node, root``: the class of every set that can link, named by its least set.
+
+    ``class`` is what is known of a set's class so far. Only sets of different classes are ever
+    compared, but for distances to pivots; a region whose sets are of one class is done.
+    """
     r = 1 - percent / 100
     linked = F.col("both") * 100 >= F.col("either") * percent
-    every = sets.select(F.explode("rare").alias("s"), F.col("set").alias("x"), "spread", F.lit(False).alias("border"))
+    every = sets.select(
+        F.explode("rare").alias("s"), F.col("set").alias("x"), F.col("set").alias("class"), "spread", F.lit(True).alias("open")
+    )
     regions = materialised(every, "regions")
-    found: list[DataFrame] = []
+    roots = sets.select(F.col("set").alias("node"), F.col("set").alias("root"))
     depth = 0
     while True:
-        outside = F.when(~F.col("border"), F.lit(1)).otherwise(0)
-        head = regions.groupBy("s").agg(
-            F.sum(outside).alias("n_out"), F.count("*").alias("n_all"),
-            F.max(F.when(~F.col("border"), F.struct("spread", F.col("x").alias("p"))))["p"].alias("p"),
-        ).where("n_out > 0 AND n_all > 1")
+        head = (
+            regions.groupBy("s")
+            .agg(
+                F.count("*").alias("n_all"), F.min("class").alias("_lo"), F.max("class").alias("_hi"),
+                # sets outside all cells come first, then the most widely shared
+                F.max(F.struct("open", "spread", F.col("x").alias("p"), F.col("class").alias("c"))).alias("best"),
+            )
+            .where("_lo <> _hi")
+            .select("s", "best.p", F.col("best.c").alias("p_class"), (F.col("n_all") <= LEAF << depth).alias("leaf"))
+        )
         # deeper regions have resisted their pivots: they are joined directly at twice the size each time
-        small = (F.col("n_out") <= LEAF_OUTSIDE << depth) & (F.col("n_all") <= LEAF << depth)
         depth = min(depth + 1, 6)
-        members = materialised(regions.join(head.withColumn("leaf", small), "s"), "members")
-        leaf = members.where("leaf").groupBy("s").agg(F.collect_list(F.struct("x", "border")).alias("m"))
-        leaf = leaf.select("m", F.explode(F.filter("m", lambda a: ~a["border"])).alias("a"))
-        leaf = leaf.select(F.col("a.x").alias("a"), F.explode("m").alias("b")).where("a < b.x OR (b.border AND a <> b.x)")
-        leaf_pairs = leaf.select(F.least("a", "b.x").alias("x"), F.greatest("a", "b.x").alias("p"))
+        members = materialised(regions.join(head, "s"), "members")
+        if members.isEmpty():
+            return roots
+        leaf = members.where("leaf").groupBy("s").agg(F.collect_list(F.struct("x", "class")).alias("m"))
+        leaf = leaf.select("m", F.explode("m").alias("a")).select("a", F.explode("m").alias("b"))
+        leaf = leaf.where("a.x < b.x AND a.class <> b.class").select(
+            F.col("a.x").alias("x"), F.col("b.x").alias("p"), F.col("a.class").alias("class"), F.col("b.class").alias("p_class")
+        )
         wide = members.where("NOT leaf AND x <> p")
-        pairs = leaf_pairs.unionByName(wide.select("x", "p")).distinct()
+        pairs = leaf.unionByName(wide.select("x", "p", "class", "p_class")).distinct()
         seen = materialised(_compared(pairs, sets), "distances")
-        found.append(seen.where(linked).select("x", "p"))
+        joins = materialised(seen.where(linked & (F.col("class") != F.col("p_class"))).select(F.col("class").alias("x"), F.col("p_class").alias("p")).distinct(), "joins")
         far = (1 - F.col("both") / F.col("either")).alias("d")
-        measured = wide.join(seen, ["x", "p"]).select("s", "x", "spread", "border", linked.alias("near"), far)
-        edge = measured.where("NOT near AND NOT border").groupBy("s").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+        measured = wide.join(seen.select("x", "p", linked.alias("near"), far), ["x", "p"])
+        measured = measured.select("s", "x", "class", "p_class", "spread", (F.col("open") & ~F.col("near")).alias("open"), "d")
+        if not joins.isEmpty():
+            merged = components(joins)
+            known = lambda c: merged.select(F.col("node").alias(c), F.col("root").alias(f"{c}_to"))
+            roots = materialised(roots.join(known("root"), "root", "left").select("node", F.coalesce("root_to", "root").alias("root")), "roots")
+            for c in ("class", "p_class"):
+                measured = measured.join(known(c), c, "left").withColumn(c, F.coalesce(f"{c}_to", c)).drop(f"{c}_to")
+        measured = materialised(measured, "measured")
+        # of the pivot's own class stay those that the others' window reaches
+        edge = measured.where("class <> p_class").groupBy("s").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
         regions = materialised(
             measured.join(edge, "s")
-            .where(f"(NOT near AND NOT border) OR (d >= lo - {r} - 1e-9 AND d <= hi + {r} + 1e-9)")
-            .select("s", "x", "spread", (F.col("border") | F.col("near")).alias("border")),
+            .where(f"class <> p_class OR (d >= lo - {r} - 1e-9 AND d <= hi + {r} + 1e-9)")
+            .select("s", "x", "class", "spread", "open"),
             "regions",
         )
-        if regions.isEmpty():
-            break
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -313,7 +330,7 @@ def classes(docs: DataFrame, percent: int = 75, key: str = "doc_id") -> DataFram
     parts = max(1, -(-members // PART))
     blobs = _members(docs, parts)
     sets = materialised(_survivors(_support(blobs, parts), parts, percent), "survivors")
-    roots = components(_links(sets, percent))
+    roots = _roots(sets, percent)
     least = named.where("n > 0").groupBy("set").agg(F.min(key).alias("least"))
     rooted = materialised(
         least.join(roots, least.set == roots.node, "left").select("set", F.coalesce("root", "set").alias("root"), "least"), "rooted"
