@@ -86,13 +86,13 @@ def running_total(t: Tables) -> DataFrame:
 
 @query(
     "wn_05_rolling_average_8_days",
-    f"""{_EV} SELECT event_id, user_id, CAST(sum(CAST(value AS DECIMAL(18, 2))) OVER w AS DOUBLE) / count(value) OVER w
+    f"""{_EV} SELECT event_id, user_id, round(avg(value) OVER w, 6)
           AS avg_7d FROM e WINDOW w AS (PARTITION BY user_id ORDER BY sec RANGE BETWEEN 604800 PRECEDING AND CURRENT ROW)""",
 )
 def rolling_average(t: Tables) -> DataFrame:
     """Seven times 86 400 seconds back, both ends in: the same second of day - 7 counts."""
     out = rolling_sums(timed_events(t), ["user_id"], "sec", time_slice("sec", DAY), "value", 7 * DAY, "w")
-    return out.select("event_id", "user_id", (F.col("w_sum") / F.col("w_n")).alias("avg_7d"))
+    return out.select("event_id", "user_id", F.round(F.col("w_sum") / F.col("w_n"), 6).alias("avg_7d"))
 
 
 @query(
@@ -120,14 +120,14 @@ def spend_24h(t: Tables) -> DataFrame:
 
 @query(
     "wn_08_moving_average_7_rows",
-    """SELECT event_id, user_id, CAST(sum(CAST(value AS DECIMAL(18, 2))) OVER w AS DOUBLE) / count(value) OVER w AS avg_7
+    """SELECT event_id, user_id, round(avg(value) OVER w, 6) AS avg_7
        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
 )
 def moving_average_7(t: Tables) -> DataFrame:
     out = moving_average(
         timed_events(t), ["user_id"], ["ts", "event_id"], time_slice("sec", DAY), "value", 7, "avg_7"
     )
-    return out.select("event_id", "user_id", "avg_7")
+    return out.select("event_id", "user_id", F.round("avg_7", 6).alias("avg_7"))
 
 
 @query(
