@@ -6,12 +6,13 @@ link to it and need no comparison for their class to be known.
 
 1. *Sets.* Each text becomes a set of hashed shingles; equal sets are one set from here on.
 2. *Support.* Set members are dealt by hash, compressed, and counted. A set links only if three
-   quarters of its members occur in another set; others are done. Nothing else about members moves.
+   quarters of its members occur in other sets of like size; others are done. Nothing else about
+   members moves.
 3. *Regions.* Of two linked sets, the ``n / 4 + 1`` rarest members of each share one. Each such
-   member spans a region of the sets that have it among theirs. In a region the set whose members
+   member spans a region of the sets of like size that have it among theirs. In a region the set whose members
    are most widely shared is the pivot, and distances to it are exact. Its cell, the sets within
-   ``r``, joins one class. The other sets go into the region of the next pivot, together with
-   *border* sets of the pivot's class whose distance lies within the window of the triangle
+   ``r``, joins one class. The other sets go into the region of the next pivots, more of them each
+   round, together with *border* sets of the first pivot's class whose distance lies within the window of the triangle
    inequality. Sets known to be of one class are not compared again, and a region of one class is
    done. Small regions are joined directly. A large group of near copies so takes few comparisons
    per copy, never all pairs.
@@ -30,12 +31,13 @@ columns stay in ``deduplicated`` and are not read in ``classes``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.llm.shingles import shingle_sets
@@ -44,6 +46,7 @@ from tidewheel.sources.sinks import materialised
 
 PART = 1_000_000  # members in one part of a shuffle
 LEAF = 16
+PIVOTS, MOST_PIVOTS = 1, 1024  # of a region, in the first round and later
 BLOB = "part int, body binary"
 _BLOB = pa.schema([("part", pa.int32()), ("body", pa.binary())])
 
@@ -155,8 +158,8 @@ def _by_part(blobs: DataFrame, parts: int, work):
     return blobs.repartition(parts, "part").sortWithinPartitions("part"), run
 
 
-def _support(blobs: DataFrame, parts: int) -> DataFrame:
-    """Members that two or more sets have, with how many, dealt by set."""
+def _support(blobs: DataFrame, parts: int, percent: int) -> DataFrame:
+    """Members that a set shares with one it may link to by size, with how many sets have them, dealt by set."""
 
     def count(bodies: list[bytes]) -> Iterator[pa.RecordBatch]:
         h, name, size = [], [], []
@@ -178,7 +181,11 @@ def _support(blobs: DataFrame, parts: int) -> DataFrame:
             h, name, size = h[one], name[one], size[one]
         starts, lengths = _runs(h)
         times = np.repeat(lengths, lengths)
-        many = times > 1
+        # a member counts for a set if another set near enough in size has it: the next smaller or larger
+        order = np.lexsort((size, h))
+        h, name, size = h[order], name[order], size[order]
+        near = (h[1:] == h[:-1]) & (100 * size[:-1] >= np.uint64(percent) * size[1:])
+        many = np.concatenate([[False], near]) | np.concatenate([near, [False]]) if len(h) else np.zeros(0, bool)
         h, name, size, times = h[many], name[many], size[many], times[many].astype(np.uint64)
         part = name % np.uint64(parts)
         order = np.lexsort((name, part))
@@ -254,55 +261,67 @@ def _roots(sets: DataFrame, percent: int) -> DataFrame:
     """
     r = 1 - percent / 100
     linked = F.col("both") * 100 >= F.col("either") * percent
-    every = sets.select(
-        F.explode("rare").alias("s"), F.col("set").alias("x"), F.col("set").alias("class"), "spread", F.lit(True).alias("open")
+    # linked sets are at most one step of this scale apart in size: each goes to its step and the one below
+    step = F.floor(F.ln("n") / math.log(100 / percent * 1.0001))
+    every = sets.select(F.explode("rare").alias("h"), step.alias("b"), "set", "spread").select(
+        "h", F.explode(F.array("b", F.col("b") - 1)).alias("b"), "set", "spread"
     )
+    every = every.select(F.xxhash64("h", "b").alias("s"), F.col("set").alias("x"), F.col("set").alias("class"), "spread")
     regions = materialised(every, "regions")
     roots = sets.select(F.col("set").alias("node"), F.col("set").alias("root"))
-    depth = 0
+    pivots = PIVOTS
     while True:
-        head = (
-            regions.groupBy("s")
-            .agg(
-                F.count("*").alias("n_all"), F.min("class").alias("_lo"), F.max("class").alias("_hi"),
-                # sets outside all cells come first, then the most widely shared
-                F.max(F.struct("open", "spread", F.col("x").alias("p"), F.col("class").alias("c"))).alias("best"),
-            )
-            .where("_lo <> _hi")
-            .select("s", "best.p", F.col("best.c").alias("p_class"), (F.col("n_all") <= LEAF << depth).alias("leaf"))
-        )
-        # deeper regions have resisted their pivots: they are joined directly at twice the size each time
-        depth = min(depth + 1, 6)
-        members = materialised(regions.join(head, "s"), "members")
+        # the largest class of each region, if it has two sets or more, takes no pivot: the others face it
+        sizes = regions.groupBy("s", "class").agg(F.count("*").alias("c"))
+        head = sizes.groupBy("s").agg(
+            F.sum("c").alias("n_all"), F.count("*").alias("n_classes"), F.max(F.when(F.col("c") > 1, F.struct("c", "class")))["class"].alias("major")
+        ).where("n_classes > 1")
+        members = materialised(regions.join(head.select("s", "n_all", "major"), "s"), "members")
         if members.isEmpty():
             return roots
-        leaf = members.where("leaf").groupBy("s").agg(F.collect_list(F.struct("x", "class")).alias("m"))
+        leaf = members.where(F.col("n_all") <= LEAF).groupBy("s").agg(F.collect_list(F.struct("x", "class")).alias("m"))
         leaf = leaf.select("m", F.explode("m").alias("a")).select("a", F.explode("m").alias("b"))
         leaf = leaf.where("a.x < b.x AND a.class <> b.class").select(
             F.col("a.x").alias("x"), F.col("b.x").alias("p"), F.col("a.class").alias("class"), F.col("b.class").alias("p_class")
         )
-        wide = members.where("NOT leaf AND x <> p")
-        pairs = leaf.unionByName(wide.select("x", "p", "class", "p_class")).distinct()
+        wide = members.where(F.col("n_all") > LEAF)
+        rank = F.row_number().over(Window.partitionBy("s").orderBy(F.desc("spread"), "x"))
+        picks = materialised(wide.where("major IS NULL OR class <> major").withColumn("rank", rank).where(F.col("rank") <= pivots), "pivots")
+        outs = picks.groupBy("s").agg(F.sort_array(F.collect_list(F.struct("rank", "x", "class"))).alias("outs"))  # at most ``pivots``
+        faced = materialised(wide.select("s", "x", "class", "spread").join(outs, "s"), "faced")
+        # the regions of a set mostly have the same pivots: equal lists, then equal pivots, are one
+        lists = faced.groupBy("x", "class").agg(F.collect_set("outs").alias("outs"))
+        far_pairs = lists.select("x", "class", F.explode(F.array_distinct(F.flatten(F.transform("outs", _bare)))).alias("o"))
+        far_pairs = far_pairs.select("x", F.col("o.x").alias("p"), "class", F.col("o.class").alias("p_class")).where("class <> p_class")
+        firsts = faced.select("x", F.col("outs")[0]["x"].alias("p"), "class", F.col("outs")[0]["class"].alias("p_class")).where("x <> p")
+        pairs = leaf.unionByName(far_pairs).unionByName(firsts).distinct()
         seen = materialised(_compared(pairs, sets), "distances")
-        joins = materialised(seen.where(linked & (F.col("class") != F.col("p_class"))).select(F.col("class").alias("x"), F.col("p_class").alias("p")).distinct(), "joins")
-        far = (1 - F.col("both") / F.col("either")).alias("d")
-        measured = wide.join(seen.select("x", "p", linked.alias("near"), far), ["x", "p"])
-        measured = measured.select("s", "x", "class", "p_class", "spread", (F.col("open") & ~F.col("near")).alias("open"), "d")
+        joins = seen.where(linked & (F.col("class") != F.col("p_class"))).select(F.col("class").alias("x"), F.col("p_class").alias("p")).distinct()
+        joins = materialised(joins, "joins")
+        far = seen.select("x", "p", (1 - F.col("both") / F.col("either")).alias("d"))
+        left = faced.select("s", "x", "class", "spread", F.col("outs")[0]["x"].alias("p"), F.col("outs")[0]["class"].alias("p_class"))
+        left = left.join(picks.select("s", "x"), ["s", "x"], "left_anti").join(far, ["x", "p"]).drop("p")
         if not joins.isEmpty():
             merged = components(joins)
             known = lambda c: merged.select(F.col("node").alias(c), F.col("root").alias(f"{c}_to"))
             roots = materialised(roots.join(known("root"), "root", "left").select("node", F.coalesce("root_to", "root").alias("root")), "roots")
             for c in ("class", "p_class"):
-                measured = measured.join(known(c), c, "left").withColumn(c, F.coalesce(f"{c}_to", c)).drop(f"{c}_to")
-        measured = materialised(measured, "measured")
-        # of the pivot's own class stay those that the others' window reaches
-        edge = measured.where("class <> p_class").groupBy("s").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+                left = left.join(known(c), c, "left").withColumn(c, F.coalesce(f"{c}_to", c)).drop(f"{c}_to")
+        left = materialised(left, "measured")
+        # of the first pivot's own class stay those that the others' window reaches
+        edge = left.where("class <> p_class").groupBy("s").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
         regions = materialised(
-            measured.join(edge, "s")
+            left.join(edge, "s")
             .where(f"class <> p_class OR (d >= lo - {r} - 1e-9 AND d <= hi + {r} + 1e-9)")
-            .select("s", "x", "class", "spread", "open"),
+            .select("s", "x", "class", "spread"),
             "regions",
         )
+        pivots = min(4 * pivots, MOST_PIVOTS)  # sets that resist are few or far from all: face them together
+
+
+def _bare(outs):
+    """A list of pivots without their ranks, which differ from region to region."""
+    return F.transform(outs, lambda o: F.struct(o["x"].alias("x"), o["class"].alias("class")))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -329,7 +348,7 @@ def classes(docs: DataFrame, percent: int = 75, key: str = "doc_id") -> DataFram
     members = named.where("n > 0").select("set", "n").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = max(1, -(-members // PART))
     blobs = _members(docs, parts)
-    sets = materialised(_survivors(_support(blobs, parts), parts, percent), "survivors")
+    sets = materialised(_survivors(_support(blobs, parts, percent), parts, percent), "survivors")
     roots = _roots(sets, percent)
     least = named.where("n > 0").groupBy("set").agg(F.min(key).alias("least"))
     rooted = materialised(
