@@ -151,7 +151,7 @@ def test_hosts(spark):
 def test_licences(spark, docs, none):
     assert licences.scan(docs).count() == 0 and licences.scan(none).count() == 0
     more = spark.createDataFrame(
-        [(1, "text\nReleased under the MIT License.\nmore"), (2, "released  under the mit licence."), (3, "All rights reserved."), (3, "All rights reserved.")],
+        [(1, "some text before it\nReleased under the MIT License.\nand more after it"), (2, "released  under the mit licence."), (3, "All rights reserved."), (3, "All rights reserved.")],
         "doc_id long, text string",
     )
     assert bag(licences.scan(more), "doc_id", "part", "place", "licence") == [(1, "line", 1, "MIT"), (3, "line", 0, "Proprietary"), (3, "line", 0, "Proprietary")]
