@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import ans, decontam, hosts, jaccard, langid, licences, packing, pii, rules, shards
+from tidewheel.llm import ans, decontam, hosts, jaccard, langid, licences, oracles, packing, pii, rules, shards
 from tidewheel.session import fresh_dir
 from tidewheel.sources.readers import read_table
 
@@ -28,7 +28,7 @@ def register(name: str, sql: str | None = None):
     return add
 
 
-@register("op2_quality_rules")
+@register("op2_quality_rules", oracles.quality_sql())
 def quality_rules(spark: SparkSession, base: str) -> DataFrame:
     docs = read_table(spark, base, "documents").select("doc_id", "text", "lang")
     scored = rules.judged(docs, read_table(spark, base, "labels"))
@@ -80,7 +80,7 @@ HOST_RULES = (
 )
 
 
-@register("op10_host_graph")
+@register("op10_host_graph", oracles.hosts_sql(HOST_RULES))
 def host_graph(spark: SparkSession, base: str) -> DataFrame:
     return hosts.judged(read_table(spark, base, "pages").select("page_id", "url", "html"), HOST_RULES).select(
         "page_id", "host", "path", "rule", "verdict"
