@@ -23,12 +23,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.llm.tokens import shared_encoder, slices
 from tidewheel.llm.words import has_column
+from tidewheel.sources.sinks import materialised
 
 SCALE = 20
 LOW = np.uint64(1 << 31)
@@ -122,6 +124,8 @@ class Coder:
             ids[(t - first) * lanes : (t - first) * lanes + m] = s
             x = self.freq[s] * (x >> scale) + slot - self.cum[s]
             low = np.flatnonzero(x < LOW)
+            if pos + len(low) > n_words:
+                raise Corrupt("the words end before the ids")
             x[low] = (x[low] << word) | words[pos : pos + len(low)]
             pos += len(low)
             state[:m] = x
@@ -133,49 +137,24 @@ class Coder:
 def write_encoded(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
     """Encode all of ``docs`` and write the files.
 
-    The first pass counts ids, at most one row per id and task; the table it gives is as long as the
-    vocabulary, whatever the input. The second pass moves the texts into order once and codes them.
+    Texts move into order once and become blocks of plain ids, packed and written to the shared
+    folder. Counting reads these: at most one row per id and task, and the table it gives is as long
+    as the vocabulary, whatever the input. Then every block is coded by itself.
     """
     has_column(docs, "doc_id", "text")
     spark = docs.sparkSession
     end = int(end_id).to_bytes(4, "little")
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
-    def count(batches):
-        encoder, seen = shared_encoder(tokenizer), np.zeros(0, np.int64)
-        for batch in slices(batches):
-            for ids in encoder.encode(batch.column(0).to_pylist()):
-                found = np.bincount(np.frombuffer(ids + end, "<u4"))
-                if len(found) > len(seen):
-                    seen = np.concatenate([seen, np.zeros(len(found) - len(seen), np.int64)])
-                if len(found):
-                    seen[: len(found)] += found
-        used = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(seen[used], pa.int64())], names=["id", "n"])
-
-    counted = texts.select("text").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    table = np.zeros(max([r["id"] for r in counted], default=-1) + 1, np.int64)
-    for r in counted:
-        table[r["id"]] = r["n"]
-    freq = frequencies(table)
-    spark.createDataFrame([(SCALE, freq.astype("<u4").tobytes())], "scale int, freq binary").coalesce(1).write.parquet(f"{path}/model")
-
     def blocks(batches):
-        coder, encoder, part = Coder(freq), shared_encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = shared_encoder(tokenizer), TaskContext.get().partitionId()
         held: list[tuple] = []
         size, start, number = 0, 0, 0
 
         def close():
             raw = b"".join(ids for _, ids in held)
-            coded = coder.encode(np.frombuffer(raw, "<u4"))
-            row = (
-                part, number, start, size, [{"doc_id": d, "n": len(i) // 4} for d, i in held],
-                zlib.crc32(raw), zlib.crc32(coded), coded,
-            )
-            return pa.RecordBatch.from_arrays(
-                [pa.array([v], t) for v, t in zip(row, _BLOCK_TYPES, strict=True)],
-                names=["part", "block", "start", "n_ids", "docs", "ids_crc", "coded_crc", "coded"],
-            )
+            docs = [{"doc_id": d, "n": len(i) // 4} for d, i in held]
+            return _row(part, number, start, size, docs, zlib.crc32(raw), 0, _squeezed(raw))
 
         for batch in slices(batches):
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
@@ -188,14 +167,56 @@ def write_encoded(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> No
             yield close()
 
     order = ["doc_id", "_hash", "_place"]
-    (
+    plain = (
         texts.withColumns({"_hash": F.xxhash64("text"), "_place": F.monotonically_increasing_id()})
         .repartitionByRange(*order)  # the place splits even copies of one row
         .sortWithinPartitions(*order)
         .select("doc_id", "text")
         .mapInArrow(blocks, BLOCKS)
-        .write.parquet(f"{path}/blocks")
     )
+    plain = materialised(plain, "ids")
+
+    def count(batches):
+        seen = np.zeros(0, np.int64)
+        for batch in batches:
+            for body in batch.column(0).to_pylist():
+                found = np.bincount(np.frombuffer(_spread(body), "<u4"), minlength=len(seen))
+                found[: len(seen)] += seen
+                seen = found
+        used = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(seen[used], pa.int64())], names=["id", "n"])
+
+    counted = plain.select("coded").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    table = np.zeros(max([r["id"] for r in counted], default=-1) + 1, np.int64)
+    for r in counted:
+        table[r["id"]] = r["n"]
+    freq = frequencies(table)
+    spark.createDataFrame([(SCALE, freq.astype("<u4").tobytes())], "scale int, freq binary").coalesce(1).write.parquet(f"{path}/model")
+
+    def code(batches):
+        coder = Coder(freq)
+        for batch in batches:
+            for part, number, start, size, docs, crc, _, body in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                coded = coder.encode(np.frombuffer(_spread(body), "<u4"))
+                yield _row(part, number, start, size, docs, crc, zlib.crc32(coded), coded)
+
+    plain.mapInArrow(code, BLOCKS).write.parquet(f"{path}/blocks")
+
+
+def _row(*values) -> pa.RecordBatch:
+    names = ["part", "block", "start", "n_ids", "docs", "ids_crc", "coded_crc", "coded"]
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _BLOCK_TYPES, strict=True)], names=names)
+
+
+def _squeezed(raw: bytes) -> bytes:
+    """Ids with their byte planes apart, compressed."""
+    planes = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _spread(body: bytes) -> bytes:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).tobytes()
 
 
 def read_encoded(spark: SparkSession, path: str) -> DataFrame:
