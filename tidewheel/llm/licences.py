@@ -1,6 +1,6 @@
 """Licence scan: passages against licence templates by Dice coefficient over word bigrams.
 
-Passages of a text are its lines, its paragraphs (lines between empty lines) and the whole text.
+Passages of a text are its lines, its paragraphs (between lines without a word) and the whole text.
 Both sides are normalised alike: lower case, anything but letters, digits and ``+`` becomes a space,
 and a full stop stays only inside a version number. A passage of ``a`` distinct bigrams can reach a
 coefficient ``t`` only with templates of ``a * t / (2 - t)`` to ``a * (2 - t) / t`` bigrams; passages
@@ -100,9 +100,13 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 }
 
 
-def normalised(text: Column) -> Column:
-    flat = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}.+]+|\.(?![0-9])", " ")
-    return F.filter(F.split(flat, " +", -1), lambda w: w != "")
+def flattened(text: Column) -> Column:
+    """Lower case, anything but letters, digits, ``+`` and line breaks a space; dots only before digits."""
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}.+\n]+|\.(?![0-9])", " ")
+
+
+def words(flat: Column) -> Column:
+    return F.filter(F.split(flat, "[ \n]+", -1), lambda w: w != "")
 
 
 def bigrams(words: Column) -> Column:
@@ -116,7 +120,7 @@ def template_bigrams(spark: SparkSession, templates: dict[str, tuple[str, ...]])
     """``licence, template, size, bigram``."""
     rows = [(name, n, text) for name, texts in templates.items() for n, text in enumerate(texts)]
     frame = spark.createDataFrame(rows, "licence string, template int, text string")
-    frame = frame.withColumn("_w", normalised(F.col("text"))).withColumn("_b", bigrams(F.col("_w")))
+    frame = frame.withColumn("_w", words(flattened(F.col("text")))).withColumn("_b", bigrams(F.col("_w")))
     return frame.select("licence", "template", F.size("_b").alias("size"), F.explode("_b").alias("bigram"))
 
 
@@ -130,12 +134,12 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, thr
     t = template_bigrams(docs.sparkSession, templates)
     sizes = [r["size"] for r in t.select("size").distinct().collect()]  # as many as templates at most
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-    texts = docs.where(F.col("text") != "").select("doc_id", "text", F.monotonically_increasing_id().alias("_row"))
+    texts = docs.where(F.col("text") != "").select("doc_id", flattened(F.col("text")).alias("text"), F.monotonically_increasing_id().alias("_row"))
     most = max(sizes) * high
     parts = texts.select(
         "doc_id", "_row",
         F.split("text", "\n", -1).alias("_lines"),
-        F.when(F.col("text").rlike(r"\n[\x20\x09\x0D]*\n"), F.split("text", r"\n[\x20\x09\x0D]*\n\s*", -1)).alias("_paragraphs"),
+        F.when(F.col("text").rlike("\n *\n"), F.split("text", "\n *\n[ \n]*", -1)).alias("_paragraphs"),
         F.when(F.col("text").contains("\n"), F.array("text")).alias("_text"),
     )
 
@@ -146,13 +150,17 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, thr
         )
 
     listed = F.concat(numbered("line", "_lines"), numbered("paragraph", "_paragraphs"), numbered("text", "_text"))
-    passages = parts.select("doc_id", "_row", F.explode(listed).alias("p")).select("doc_id", "_row", "p.*")
+    passages = parts.select("doc_id", "_row", F.explode_outer(listed).alias("p")).select("doc_id", "_row", "p.*")
     # lines are all formed; longer parts hold lines, and only those with a line break are new
     passages = passages.where((F.col("part") == "line") | F.col("passage").contains("\n")).where("passage <> ''")
-    worded = passages.select("doc_id", "_row", "part", "place", normalised(F.col("passage")).alias("_w"))
-    paired = worded.select("doc_id", "_row", "part", "place", F.when(F.size("_w") > 0, bigrams(F.col("_w"))).alias("_b"))
+    worded = passages.select("doc_id", "_row", "part", "place", words(F.col("passage")).alias("_w"))
+    # n different words make at least n - 1 different bigrams
+    may = (F.size("_w") > 0) & (F.size(F.array_distinct("_w")) - 1 <= most)
+    paired = worded.select("doc_id", "_row", "part", "place", F.when(may, bigrams(F.col("_w"))).alias("_b"))
     fits = (F.size("_b") >= min(sizes) * low) & (F.size("_b") <= most)
-    paired = paired.select("doc_id", "_row", "part", "place", F.size("_b").alias("_a"), F.when(fits, F.col("_b")).alias("_b"))
+    # a size that cannot be NULL: no NULL check of it is pushed down, to form all bigrams once more
+    size = F.coalesce(F.size("_b"), F.lit(0))
+    paired = paired.select("doc_id", "_row", "part", "place", size.alias("_a"), F.when(fits, F.col("_b")).alias("_b"))
     # explode_outer: the filter that plain explode pushes down would form all bigrams twice
     hits = (
         paired.select("doc_id", "_row", "part", "place", "_a", F.explode_outer("_b").alias("bigram"))
