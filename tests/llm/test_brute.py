@@ -237,6 +237,24 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert sum("context" in s for s in found.values()) in (0, 201 - len(base))  # all or none of the badges outside the base
 
 
+def test_contexts_discover_identifiers_of_other_shapes(spark):
+    """Phones and addresses lead to other shapes after the same words, and these to the words they stand after elsewhere."""
+    new = ["078-05-1120", "219-09-9999", "X1234567", "Y2345678", "AB-123456", "CD-345678"]
+    texts = {i: f"you can reach +1 (437) 555-{1000 + i} today" for i in range(100)}
+    texts |= {150 + i: f"you can reach {x} soon" for i, x in enumerate(new)}  # one hop
+    texts |= {200 + i: f"our passport {x}, and" for i, x in enumerate(new)} | {300: "his passport K7654321 or", 301: "old passport: L7654322."}  # two hops
+    keys = ["3f786850e387550fdab836ed7e6dc881de23001b", "89e6c98d92887913cadf06b2adb97f26cde4849b"]
+    texts |= {400 + i: f"token = user{i}@example.com" for i in range(5)} | {500: f"token = {keys[0]}", 501: f"token={keys[1]}"}
+    texts |= {600: "you can reach 2024-05-06 again", 601: "price 1234567 paid", 602: "it had 78-05-11201 in it"}
+    want = {}
+    for i, x in [*((150 + i, x) for i, x in enumerate(new)), *((200 + i, x) for i, x in enumerate(new)), (300, "K7654321"), (301, "L7654322"), (500, keys[0]), (501, keys[1])]:
+        want[i] = f"context:{texts[i].index(x)}:{texts[i].index(x) + len(x)}"
+    out = pii.found(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).select("doc_id", pii.spelled(F.col("_spans")).alias("s"))
+    got = {r.doc_id: r.s for r in out.collect()}
+    assert {k: v for k, v in got.items() if v and not v.startswith(("phone", "email"))} == want
+    assert sum(v.startswith(("phone", "email")) for v in got.values()) == 105
+
+
 def test_reworded_questions_are_caught(spark):
     item = "A train leaves Boston at 40 miles per hour and meets Anna after 3 hours while Anna walks 40 miles on foot"
     new = "In short: A train leaves Denver at 55 miles per hour and meets Carl after 9 hours while Carl walks 55 miles on foot. Done."

@@ -4,15 +4,21 @@ Base kinds (e-mail, IPv4 address, payment card, phone) are regular expressions w
 of one kind do not overlap, kinds may. Places come from cutting the text at the matches: a match
 starts where the lengths of all cuts and matches before it add up to.
 
-Bootstrapping looks at *tokens* (runs between spaces, ends trimmed of punctuation) that hold a
-digit, a lone ``@`` or are a long mixed code, and at their *patterns*: the word before and the shape
-of the token (letters ``a``, digits ``9``, runs cut to three). Seeds are instances (token texts) that
-are base matches. Patterns and instances form a two-sided graph, and scores travel along it for a
-fixed number of rounds: a pattern's score is the share of its instances' scores, smoothed, over its
-different instances; an instance's score is the best of its patterns. Seeds stay at one, and tokens
-that are plain numbers, versions or years stay at zero. Instances of a pattern above ``threshold`` with
-``support`` different seed instances are identifiers of kind ``context``, wherever they occur after
-that pattern.
+Bootstrapping looks at *tokens* (runs between spaces, ends trimmed of punctuation, a glued ``name=``
+or ``name:`` cut off) of six code points or more that hold a digit or a lone ``@``, and at their
+*patterns*: the word before, the two words before, the words on both sides, and the two words after.
+``=`` is a word of its own, other punctuation is none; words count within ``REACH`` code points.
+Patterns do not know the shape of a token, so base matches of any kind can lead to identifiers of
+other shapes; shape is only a filter: dates, times, versions and numbers with separators (``PLAIN``)
+are never identifiers, but count against a pattern.
+
+Patterns and instances (token texts) form a two-sided graph. Base matches are known with score one. A
+pattern's score is the share of its instances' scores, smoothed, over its different instances; it is
+confident from ``threshold`` on, with ``support`` different known instances. Instances of confident
+patterns become known with the best of their patterns' scores, and then support further patterns.
+That repeats until no instance becomes known; scores fall with each hop, and known ones do not
+change, so it ends. Tokens of a confident pattern are identifiers of kind ``context``, wherever they
+occur in that pattern.
 
 Only tokens with an identifier's look leave a row; pairs are counted in each task first, and the
 graph has one edge per different pair.
@@ -47,7 +53,16 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 
 TOKEN = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]*+(?<=[^\x20\x09-\x0D]{6}))[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
-SPANS = "array<struct<start:int,stop:int,text:string,before:string>>"
+# A name and its sign before a value without a space; not a URL, and no part of a chain of colons.
+GLUED = r"^(?:[^0-9@]*=|[^0-9@:=]++:(?![^:]*+:))(?!//)"
+# Not identifiers, whatever stands around them: separated numbers, dates, times, versions.
+PLAIN = (
+    r"^(?i)(?:[0-9]{1,3}(?:[.,'][0-9]{3})+(?:[.,][0-9]+)?|[0-9]+[.,][0-9]+|[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}(?:t[0-9:.]+z?)?"
+    r"|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{2,4}|[0-9]{4}[-/\u2013][0-9]{2,4}|[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?(?:[.,][0-9]+)?(?:am|pm|z)?"
+    r"|v?[0-9]+(?:\.[0-9]+)+(?:[-+.]?[a-z][a-z0-9.]*)?)%?$"
+)
+REACH = 100
+SPANS = "array<struct<start:int,stop:int,text:string,before:string,after:string>>"
 
 
 def _digits(text: Column) -> Column:
@@ -80,43 +95,68 @@ def _holds(kind: str, text: Column) -> Column:
 
 
 def _located(text: Column, pattern: str) -> Column:
-    """All matches as ``start, stop, text, before``; ``before`` is the word left of a match.
+    """All matches as ``start, stop, text, before, after``: what stands left and right, up to the next match.
 
-    Cuts and matches alternate, a cut first. Texts without a match are only searched once.
+    Cuts and matches alternate, a cut first and last. Texts without a match are only searched once.
     """
     cuts = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), 0)
-    pairs = F.zip_with(found, F.slice(cuts, 1, F.greatest(F.lit(0), F.size(cuts) - 1)), lambda m, c: F.struct(c.alias("c"), m.alias("m")))
+    n = F.greatest(F.lit(0), F.size(cuts) - 1)
+    around = F.zip_with(F.slice(cuts, 1, n), F.slice(cuts, 2, n), lambda c, d: F.struct(c.alias("c"), d.alias("d")))
+    pairs = F.zip_with(found, around, lambda m, x: F.struct(x["c"].alias("c"), m.alias("m"), x["d"].alias("d")))
     zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
 
     def step(a, x):
         start = a["at"] + F.length(x["c"])
         stop = start + F.length(x["m"])
-        last = F.substring_index(F.rtrim(F.translate(x["c"], "\t\n\x0b\x0c\r", "     ")), " ", -1)
-        word = F.lower(F.regexp_replace(last, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
-        one = F.struct(start.alias("start"), stop.alias("stop"), x["m"].alias("text"), word.alias("before"))
+        before, after = F.substring(x["c"], -REACH, REACH), F.substring(x["d"], 1, REACH)
+        one = F.struct(start.alias("start"), stop.alias("stop"), x["m"].alias("text"), before.alias("before"), after.alias("after"))
         return F.struct(stop.alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
 
     return F.when(text.rlike(pattern), F.aggregate(pairs, zero, step)["out"]).otherwise(F.array().cast(SPANS))
 
 
-def _shape(text: Column) -> Column:
-    letters = F.regexp_replace(F.regexp_replace(text, r"\p{L}", "a"), "[0-9]", "9")
-    cut = F.regexp_replace(letters, r"(.)\1{2,}", "$1$1$1")
-    return F.when(text.rlike("^[0-9a-fA-F]{16,}$") & text.rlike("[a-fA-F]"), F.lit("hex")).otherwise(cut)
+def _words(text: Column) -> Column:
+    """Lower-case words with one space between them; ``=`` is a word, other punctuation around words is not."""
+    out = F.regexp_replace(F.replace(F.lower(text), F.lit("="), F.lit(" = ")), r"[^\p{L}\p{N}=]*[\x20\x09-\x0D][^\p{L}\p{N}=]*", " ")
+    return F.regexp_replace(out, r"^[^\p{L}\p{N}=]+|[^\p{L}\p{N}=]+$", "")
+
+
+def _patterns(x: Column) -> Column:
+    """The patterns a match or token stands in."""
+    before, after = x["before"], x["after"]
+    last, first = F.substring_index(before, " ", -1), F.substring_index(after, " ", 1)
+    listed = F.array(
+        F.when((last != "") & (last != "="), F.concat(F.lit("b "), last)),
+        F.when(F.contains(before, F.lit(" ")), F.concat(F.lit("bb "), before)),
+        F.when((last != "") & (first != ""), F.concat_ws(" ", F.lit("ba"), last, first)),
+        F.when(F.contains(after, F.lit(" ")), F.concat(F.lit("aa "), after)),
+    )
+    return F.filter(listed, lambda p: p.isNotNull())
 
 
 def _trimmed(token: Column) -> Column:
-    """``start, stop, text, before`` without punctuation at the ends."""
-    head = F.length(F.regexp_extract(token["text"], r"^[^\p{L}\p{N}]*", 0))
-    tail = F.length(F.regexp_extract(token["text"], r"[^\p{L}\p{N}]*$", 0))
-    size = F.greatest(F.lit(0), F.length(token["text"]) - head - tail)
+    """``start, stop, text, before, after`` without a glued name and punctuation at the ends."""
+    name = F.regexp_extract(token["text"], GLUED, 0)
+    value = F.substring(token["text"], F.length(name) + 1, F.length(token["text"]))
+    head = F.length(F.regexp_extract(value, r"^[^\p{L}\p{N}]*", 0))
+    tail = F.length(F.regexp_extract(value, r"[^\p{L}\p{N}]*$", 0))
+    size = F.greatest(F.lit(0), F.length(value) - head - tail)
+    start = token["start"] + F.length(name) + head
     return F.struct(
-        (token["start"] + head).alias("start"), (token["start"] + head + size).alias("stop"),
-        F.substring(token["text"], head + 1, size).alias("text"), token["before"].alias("before"),
+        start.alias("start"), (start + size).alias("stop"), F.substring(value, head + 1, size).alias("text"),
+        _before(F.concat_ws(" ", token["before"], name)).alias("before"), _after(token["after"]).alias("after"),
     )
 
 
+def _before(text: Column) -> Column:
+    return F.substring_index(_words(text), " ", -2)
+
+
+def _after(text: Column) -> Column:
+    return F.substring_index(_words(text), " ", 2)
+
+
 def spotted(docs: DataFrame) -> DataFrame:
     """``docs`` with ``_pii``: base spans per kind, and identifier-like tokens outside them. Row by row."""
     has_column(docs, "text")
@@ -149,38 +189,38 @@ def _keeps(kind: str):
 def _entry(kind: str, order: int):
     return lambda x: F.struct(
         x["start"].alias("start"), F.lit(order).alias("order"), x["stop"].alias("stop"), F.lit(kind).alias("kind"),
-        x["text"].alias("text"), x["before"].alias("before"),
+        x["text"].alias("text"), _before(x["before"]).alias("before"), _after(x["after"]).alias("after"),
     )
 
 
-def confident_patterns(spots: DataFrame, rounds: int = 3, threshold: float = 0.6, support: int = 3) -> DataFrame:
-    """``before, shape`` of patterns that tell of identifiers, with ``score``. ``spots``: ``_row, _pii``."""
-    base = spots.select(F.explode("_pii.base").alias("x")).select("x.before", "x.text", F.lit(1.0).alias("seed"))
-    tokens = spots.select(F.explode("_pii.tokens").alias("x")).select("x.before", "x.text", F.lit(0.0).alias("seed"))
+def confident_patterns(spots: DataFrame, threshold: float = 0.6, support: int = 3) -> DataFrame:
+    """``pattern`` of those that tell of identifiers, with ``score``. ``spots``: ``_pii``."""
+    base = spots.select(F.explode("_pii.base").alias("x")).select("x", F.lit(True).alias("seed"), F.lit(True).alias("may"))
+    tokens = spots.select(F.explode("_pii.tokens").alias("x")).select("x", F.lit(False).alias("seed"), _may(F.col("x.text")).alias("may"))
+    seen = [s.select(F.explode(_patterns(F.col("x"))).alias("pattern"), F.xxhash64("x.text").alias("instance"), "seed", "may") for s in (base, tokens)]
     # an instance is the same wherever it stands; one that is a seed anywhere is a seed
-    edges = (
-        base.unionByName(tokens)
-        .where("before <> ''")
-        .select("before", _shape(F.col("text")).alias("shape"), F.xxhash64("text").alias("instance"), "seed")
-        .groupBy("before", "shape", "instance")
-        .agg(F.max("seed").alias("seed"))
-    )
+    edges = seen[0].unionByName(seen[1]).groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.max("may").alias("may"))
     edges = materialised(edges, "pii-edges")
-    scores = edges.groupBy("instance").agg(F.max("seed").alias("score"))
-    patterns = None
-    for _ in range(rounds):
-        joined = edges.select("before", "shape", "instance", "seed").join(scores, "instance")
-        patterns = materialised(
-            joined.groupBy("before", "shape").agg(
-                (F.sum("score") / (F.count("*") + 1)).alias("score"), F.sum(F.when(F.col("score") >= 1.0, 1).otherwise(0)).alias("seeds")
-            ),
-            "pii-patterns",
-        )
-        reached = edges.join(patterns.select("before", "shape", F.col("score").alias("by")), ["before", "shape"])
-        scores = materialised(
-            reached.groupBy("instance").agg(F.when(F.max("seed") > 0, F.lit(1.0)).otherwise(F.max("by")).alias("score")), "pii-instances"
+    known = materialised(edges.where("seed").select("instance", F.lit(1.0).alias("score")).distinct(), "pii-known")
+    while True:
+        good = (
+            edges.select("pattern", "instance")
+            .join(known, "instance", "left")
+            .groupBy("pattern")
+            .agg((F.sum(F.coalesce("score", F.lit(0.0))) / (F.count("*") + 1)).alias("score"), F.count("score").alias("n_known"))
+            .where((F.col("score") >= threshold) & (F.col("n_known") >= support))
+            .select("pattern", "score")
         )
-    return patterns.where((F.col("score") >= threshold) & (F.col("seeds") >= support)).select("before", "shape", "score")
+        good = materialised(good, "pii-patterns")
+        reached = edges.where("may").join(good, "pattern").groupBy("instance").agg(F.max("score").alias("score"))
+        fresh = materialised(reached.join(known, "instance", "left_anti"), "pii-reached")
+        if fresh.isEmpty():
+            return good
+        known = materialised(known.unionByName(fresh), "pii-known")
+
+
+def _may(text: Column) -> Column:
+    return ~text.rlike(PLAIN)
 
 
 def found(docs: DataFrame, **options) -> DataFrame:
@@ -188,13 +228,13 @@ def found(docs: DataFrame, **options) -> DataFrame:
     own = [F.col(f"`{c}`") for c in docs.columns if c not in ("_pii", "_spans")]
     spots = materialised(spotted(docs.select(*own, F.monotonically_increasing_id().alias("_pii_row"))), "pii")
     good = confident_patterns(spots.select("_pii"), **options)
-    tokens = spots.select("_pii_row", F.explode("_pii.tokens").alias("x")).select(
-        "_pii_row", "x.before", _shape(F.col("x.text")).alias("shape"), "x.start", "x.stop"
+    tokens = spots.select("_pii_row", F.explode("_pii.tokens").alias("x")).where(_may(F.col("x.text"))).select(
+        "_pii_row", F.explode(_patterns(F.col("x"))).alias("pattern"), "x.start", "x.stop"
     )
     more = (
-        tokens.join(good, ["before", "shape"])
+        tokens.join(good.select("pattern"), "pattern")
         .groupBy("_pii_row")
-        .agg(F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("order"), "stop", F.lit(CONTEXT).alias("kind"))).alias("_more"))
+        .agg(F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("order"), "stop", F.lit(CONTEXT).alias("kind"))).alias("_more"))
     )  # at most the tokens of one text
     base = F.transform("_pii.base", lambda b: F.struct(b["start"], b["order"], b["stop"], b["kind"]))
     spans = F.sort_array(F.concat(base, F.coalesce("_more", F.array().cast("array<struct<start:int,order:int,stop:int,kind:string>>"))))
