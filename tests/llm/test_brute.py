@@ -204,6 +204,43 @@ def test_bin_completion_finds_the_fewest():
     assert len(packing.bin_completion(hard, 100)) == 3
 
 
+def test_fillings_are_all_that_no_other_betters():
+    got = {tuple(x for x, n in f for _ in range(n)) for _, f in packing.Pieces([50, 45, 25, 25]).fillings(100, 100)}
+    assert got == {(50, 45), (50, 25, 25)}
+    rng = random.Random(5)
+    for _ in range(200):
+        lengths = [rng.randint(1, 40) for _ in range(rng.randint(1, 9))]
+        room = rng.randint(1, 80)
+        fits = lambda c: sum(c) <= room
+        sets = {tuple(sorted(c, reverse=True)) for k in range(len(lengths) + 1) for c in itertools.combinations(lengths, k) if fits(c)}
+        got = {tuple(x for x, n in f for _ in range(n)) for _, f in packing.Pieces(lengths).fillings(room, room)}
+        assert got <= sets
+        for c in sets - got:  # each set left out is bettered by one that is listed, piece for one or more pieces
+            assert any(betters(g, c) for g in got), (lengths, room, c)
+
+
+def betters(big: tuple, small: tuple) -> bool:
+    """Whether the pieces of ``small`` fit into bins as long as those of ``big``."""
+
+    def go(i, rooms):
+        return i == len(small) or any(r >= small[i] and go(i + 1, rooms[:k] + [r - small[i]] + rooms[k + 1 :]) for k, r in enumerate(rooms))
+
+    return go(0, list(big))
+
+
+def test_bin_completion_searches_large_groups():
+    """3000 pieces cut from full sequences: fewer than best fit."""
+    rng = random.Random(8)
+    lengths = []
+    for _ in range(1000):
+        a = rng.randint(700, 1000)
+        b = rng.randint(500, 690)
+        lengths += [a, b, 2048 - a - b]
+    bins = packing.bin_completion(lengths, 2048)
+    assert sorted(i for b in bins for i in b) == list(range(3000)) and all(sum(lengths[i] for i in b) <= 2048 for b in bins)
+    assert len(bins) < len(packing.best_fit(lengths, 2048))
+
+
 def test_patterns_match_their_plain_forms(spark):
     rng = random.Random(6)
     plain = {

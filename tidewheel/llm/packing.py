@@ -2,10 +2,12 @@
 
 Documents are encoded and cut only where longer than a sequence. Pieces are packed in groups of a
 bounded number, inside the task that encoded them, so ids do not move. A group starts from a
-best-fit-decreasing solution (the incumbent). If that uses more sequences than the tokens need, the
-group is searched by branch and bound: take the largest piece left, list the fillings of the rest of
-its sequence that no other filling dominates, and give up a branch once its waste is above what the
-incumbent leaves. The search of a group ends at a fixed number of steps and keeps the incumbent.
+best-fit-decreasing solution (the incumbent). If that uses more sequences than a lower bound, the
+group is searched by branch and bound: take the largest piece left, go through the fillings of the
+rest of its sequence that no exchange betters, and give up a branch once its waste is above what one
+sequence less than the incumbent leaves. The search holds counts per length, so a step costs the same
+in a large group, and forms fillings as they are asked for, so none is left out. It ends after a number of steps that grows with
+the sequences of the group, and keeps the incumbent.
 Sequences that stay too empty at the end of a task are opened, and their pieces packed again in
 larger groups across tasks, once.
 
@@ -16,8 +18,10 @@ Repeated rows are packed like others. An empty table gives no rows. Extra column
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import accumulate, islice
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -56,83 +60,136 @@ def best_fit(lengths: list[int], size: int) -> list[list[int]]:
     return bins
 
 
-def fillings(lengths: list[int], room: int, limit: int = 64) -> list[tuple[int, ...]]:
-    """Undominated sets of at most three places of ``lengths`` (descending) that fit into ``room``.
+def least_bins(lengths: list[int], size: int) -> int:
+    """A lower bound: tokens by size, and pieces above a half with what of the rest cannot go beside them."""
+    asc = sorted(lengths)
+    sums = [0, *accumulate(asc)]
+    n, half = len(asc), bisect_right(asc, size // 2)
+    least = -(-sums[n] // size)
+    for small in {0, *asc[:half]}:
+        low, high = bisect_left(asc, small), max(half, bisect_right(asc, size - small))
+        room = (high - half) * size - (sums[high] - sums[half])  # beside pieces that leave room for a small one
+        least = max(least, n - half + max(0, -(-(sums[half] - sums[low] - room) // size)))
+    return least
 
-    A filling dominates another if its pieces, one for one or several for one, need no less room:
-    so for one piece only the longest that fits counts, and a pair or triple must fill more than it.
-    Fullest first.
-    """
-    asc = [-x for x in lengths]  # descending lengths as ascending negatives
 
-    def longest(most: int, start: int) -> int:
-        return bisect_left(asc, -most, start) if most > 0 else len(lengths)
+class Pieces:
+    """Counts of the lengths left, and a bit for each length that occurs."""
 
-    one = longest(room, 0)
-    if one >= len(lengths):
-        return [()]
-    found = {(one,): lengths[one]}
-    least = lengths[one]
-    last = None
-    for a in range(one, len(lengths)):
-        if lengths[a] == last:
-            continue
-        last = lengths[a]
-        if 3 * last < least or len(found) >= limit:
-            break
-        b = longest(room - last, a + 1)
-        if b >= len(lengths):
-            continue
-        if last + lengths[b] > least:
-            found[(a, b)] = last + lengths[b]
-        c = longest(room - last - lengths[b], b + 1)
-        if c < len(lengths):
-            found[(a, b, c)] = last + lengths[b] + lengths[c]
-    return [k for k, _ in sorted(found.items(), key=lambda x: (-x[1], len(x[0])))]
+    def __init__(self, lengths: list[int]):
+        self.count = Counter(lengths)
+        self.bits = sum(1 << x for x in self.count)
+        self.steps = 0
+
+    def longest(self, most: int) -> int:
+        """The longest length left up to ``most``; 0 if there is none."""
+        return (self.bits & ((2 << most) - 1)).bit_length() - 1 if most > 0 and self.bits & ((2 << most) - 1) else 0
+
+    def take(self, length: int, n: int) -> None:
+        self.count[length] -= n
+        if self.count[length] == 0:
+            self.bits &= ~(1 << length)
+
+    def put(self, length: int, n: int) -> None:
+        self.count[length] += n
+        self.bits |= 1 << length
+
+    def fillings(self, room: int, spare: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+        """``left, [(length, n)]``: fillings that leave at most ``spare`` of ``room``, longest pieces first.
+
+        Left out are only those that another is as good as: where a piece more fits, where a longer
+        piece fits in place of one, or where one piece fits in place of all that follow it.
+        """
+        if not self.longest(room):
+            if room <= spare:
+                yield room, []
+            return
+        yield from self._fillings(room, room, spare, 0, [])
+
+    def _fillings(self, room: int, most: int, spare: int, skipped: int, chosen: list[tuple[int, int]]):
+        least = (self.bits & -self.bits).bit_length() - 1
+        x = self.longest(min(room, most))
+        while x:
+            have, fit = self.count[x], room // x
+            may = spare if not skipped else min(spare, skipped - x - 1)  # else the skipped one in place of x
+            for n in range(min(have, fit), 0, -1):
+                self.steps += 1
+                left = room - n * x
+                more = n < have and left >= x  # one more x would fit
+                allowed = min(may, left - x - 1) if more else may
+                if allowed < 0:
+                    continue
+                chosen.append((x, n))
+                below = min(left, x - 1)
+                if self.longest(below):
+                    after = min(below, left - least) if more else below
+                    if self.longest(after):
+                        yield from self._fillings(left, after, allowed, x if n < have else skipped, chosen)
+                elif not more and left <= allowed and not (skipped and skipped <= left):
+                    yield left, list(chosen)
+                chosen.pop()
+            spare = min(spare, room - x - 1)  # what follows must hold more than x alone
+            if spare < 0:
+                return
+            skipped = x
+            x = self.longest(min(x - 1, room - least))
+
+
+def _fullest(found: Iterator, n: int = 8) -> Iterator:
+    """All of ``found``, ``n`` at a time with the fullest first."""
+    while part := sorted(islice(found, n), key=lambda f: (f[0], sum(k for _, k in f[1]))):
+        yield from part
 
 
 def bin_completion(lengths: list[int], size: int, steps: int = STEPS) -> list[list[int]]:
-    """As few bins as found: best fit, then branch and bound while that is above the token bound."""
+    """As few bins as found: best fit, then branch and bound while that is above the lower bound."""
     best = best_fit(lengths, size)
-    need = -(-sum(lengths) // size)
+    need = least_bins(lengths, size)
     if len(best) <= need:
         return best
-    order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
-    total = sum(lengths)
-    # depth-first over (places left, bins so far, waste so far); fullest filling first
-    stack: list[tuple[list[int], list[list[int]], int]] = [(order, [], 0)]
-    while stack and steps > 0:
-        steps -= 1
-        left, bins, waste = stack.pop()
-        if not left:
-            if len(bins) < len(best):
-                best = bins
-                if len(best) <= need:
-                    return best
+    total, fewest, solution = sum(lengths), len(best), None
+    pieces = Pieces(lengths)
+    most = 50 * steps + 256 * fewest  # formed fillings; a first descent takes a share for each bin
+    path: list[tuple[int, Iterator]] = []  # per open bin its longest piece and the fillings not yet tried
+    filled: list[tuple[int, list[tuple[int, int]]]] = []
+    waste = 0
+
+    def opened() -> None:
+        head = pieces.longest(size)
+        pieces.take(head, 1)
+        path.append((head, _fullest(pieces.fillings(size - head, (fewest - 1) * size - total - waste))))
+
+    opened()
+    while path and pieces.steps < most:
+        if len(filled) == len(path):  # back from a branch: undo its filling
+            left, chosen = filled.pop()
+            waste -= left
+            for x, n in chosen:
+                pieces.put(x, n)
+        step = next(path[-1][1], None)
+        if step is None:
+            pieces.put(path.pop()[0], 1)
+            continue
+        left, chosen = step
+        pieces.steps += 1
+        filled.append(step)
+        waste += left
+        for x, n in chosen:
+            pieces.take(x, n)
+        if waste > (fewest - 1) * size - total:
             continue
-        if waste > (len(best) - 1) * size - total:
+        if pieces.bits:
+            opened()
             continue
-        head, rest = left[0], left[1:]
-        room = size - lengths[head]
-        branches = []
-        for places in fillings([lengths[i] for i in rest], room, 8)[:3]:
-            picked = [rest[p] for p in places]
-            taken = set(places)
-            tail = [i for p, i in enumerate(rest) if p not in taken]
-            lost = room - sum(lengths[i] for i in picked)
-            if lost and tail and lengths[tail[-1]] <= lost:  # fill what still fits, longest first
-                more = []
-                for i in tail:
-                    if lengths[i] <= lost:
-                        more.append(i)
-                        lost -= lengths[i]
-                gone = set(more)
-                picked, tail = picked + more, [i for i in tail if i not in gone]
-            branches.append((tail, [*bins, [head, *picked]], waste + lost))
-        stack.extend(reversed(branches))
-        if len(stack) > 64:
-            del stack[: len(stack) - 64]
-    return best
+        fewest, solution = len(path), [[(h, 1), *f] for (h, _), (_, f) in zip(path, filled, strict=True)]
+        if fewest <= need:
+            break
+    if solution is None:
+        return best
+    places = defaultdict(list)
+    for i in range(len(lengths) - 1, -1, -1):
+        places[lengths[i]].append(i)
+    return [[places[x].pop() for x, n in b for _ in range(n)] for b in solution]
 
 
 def _pack(rows: list[tuple], size: int, base: int) -> tuple[pa.RecordBatch, int]:
@@ -140,9 +197,7 @@ def _pack(rows: list[tuple], size: int, base: int) -> tuple[pa.RecordBatch, int]
     lengths = [r[3] for r in rows]
     full = [i for i, n in enumerate(lengths) if n == size]
     part = [i for i, n in enumerate(lengths) if n < size]
-    # the search copies its list of places at every step: only small groups are worth it
-    solve = bin_completion if len(part) <= 1024 else best_fit
-    bins = [[i] for i in full] + [[part[k] for k in b] for b in solve([lengths[i] for i in part], size)]
+    bins = [[i] for i in full] + [[part[k] for k in b] for b in bin_completion([lengths[i] for i in part], size)]
     out: list[tuple] = []
     for b in bins:
         at, loose = 0, sum(lengths[i] for i in b) < size * FULL
