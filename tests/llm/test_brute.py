@@ -301,6 +301,19 @@ def test_reworded_questions_are_caught(spark):
     assert got == {1: False, 2: True}
 
 
+def test_copies_with_edited_values_are_caught(spark):
+    item = "the farmer brings 3 apples to the old market and also sells 5 pears to a friend who waits there"
+    long = " ".join(f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(90))
+    items = [(1, item), (2, f"in 1990 they met {long} and again in 1990 they left")]
+    texts = [
+        "x y z " + item.replace("3", "4").replace("5", "4"), "x y z " + item.replace("3", "5"),
+        items[1][1].replace("again in 1990", "again in 1991"), items[1][1],
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.reworded for r in decontam.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(0, 1): True, (1, 1): True, (2, 2): True, (3, 2): False}
+
+
 def test_held_out_language_accuracy(spark):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{BASE}/documents.parquet").collect()}
     held = [r for r in QUERIES["op6_language_id"](spark, BASE).collect() if r.held_out and r.lang_pred != "und"]

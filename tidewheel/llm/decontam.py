@@ -4,10 +4,12 @@ Canonical form: numbers, units after a number and names (capitalised words insid
 typed placeholders; the other words are lower-cased and lose punctuation. Windows of eight canonical
 words are hashed and joined with the benchmark's by hash. A document is suspect of an item if it holds
 at least ``NEEDED`` different windows of it (thirteen words in a row give six), or all of a shorter
-one. Then the slots of the matched windows are compared: read side by side, each value of the item
-must stand for one value of the document and the other way round, per type. A question with new
-numbers or names passes this (it is caught, with ``reworded`` true); chance matches of empty
-templates do not.
+one. Then the slots of the matched windows are compared side by side. A pair is kept if, per type, at
+least ``AGREEING`` of the slots hold the value that their item value mostly stands for and at most two
+item values stand for one value; or if at least ``EQUAL`` of the numbers and names are the item's own;
+or if at least ``LITERAL`` of the item's words are in the document as they are. A question with new
+numbers or names passes this (it is caught, with ``reworded`` true), and so does a copy with some values
+edited; chance matches of empty templates do not.
 
 Documents are read once for the windows; only (place, hash) leaves a row, and only matches are
 shuffled. The texts of suspects alone are cut into words again for the slots.
@@ -30,6 +32,7 @@ from tidewheel.sources.sinks import materialised
 WINDOW = 8
 NEEDED = 6
 BROADCAST_ROWS = 1_000_000
+AGREEING, EQUAL, LITERAL = 0.75, 0.5, 0.8
 MARK = "\u0001"
 
 # Units that may follow a number.
@@ -160,14 +163,30 @@ def _slots(suspects: DataFrame, numbered: DataFrame, items: DataFrame) -> DataFr
     lines = across.join(
         doc_slots, (across["_row"] == doc_slots["_row"]) & (across["_in"] + across["_shift"] == doc_slots["_at"])
     ).select(across["_row"], "_item", "_shift", "_iv", "_dv")
+    place = ["_row", "_item", "_shift"]
+    values = lines.groupBy(*place, F.substring("_iv", 2, 1).alias("type"), "_iv", "_dv").agg(F.count("*").alias("n"))
+    of_item = values.groupBy(*place, "type", "_iv").agg(
+        F.sum("n").alias("n"), F.max("n").alias("most"), F.sum(F.when(F.col("_iv") == F.col("_dv"), F.col("n")).otherwise(0)).alias("same")
+    )
+    doc_values = values.groupBy(*place, "type").agg(F.countDistinct("_dv").alias("dv"))
+    types = of_item.groupBy(*place, "type").agg(
+        F.sum("n").alias("n"), F.sum("most").alias("most"), F.sum("same").alias("same"), F.count("*").alias("iv")
+    ).join(doc_values, [*place, "type"])
+    fit = (F.col("most") >= AGREEING * F.col("n")) & (2 * F.col("dv") >= F.col("iv"))
+    own = F.col("type") != "u"
+    judged = types.groupBy(*place).agg(
+        F.sum("n").alias("n"), F.sum("same").alias("same"), F.min(fit).alias("fit"),
+        F.sum(F.when(own, F.col("n")).otherwise(0)).alias("n_own"), F.sum(F.when(own, F.col("same")).otherwise(0)).alias("same_own"),
+    )
+    words = covered.groupBy(*place).agg(F.count("*").alias("n_words")).join(items.select("_item", F.size("_iw").alias("_all")), "_item")
+    ok = (
+        F.col("fit")
+        | ((F.col("n_own") > 0) & (F.col("same_own") >= EQUAL * F.col("n_own")))
+        | (F.col("n_words") - F.col("n") + F.col("same") >= LITERAL * F.col("_all"))
+    )
     return (
-        lines.groupBy("_row", "_item", "_shift")
-        .agg(
-            F.count("*").alias("n"),
-            F.countDistinct("_iv", "_dv").alias("both"), F.countDistinct("_iv").alias("iv"), F.countDistinct("_dv").alias("dv"),
-            F.max(F.col("_iv") != F.col("_dv")).alias("new"),
-        )
-        .select("_row", "_item", "n", ((F.col("both") == F.col("iv")) & (F.col("both") == F.col("dv"))).alias("ok"), "new")
+        judged.join(words, place)
+        .select("_row", "_item", "n", ok.alias("ok"), (F.col("same") < F.col("n")).alias("new"))
         .groupBy("_row", "_item")
         .agg(
             F.sum("n").alias("n_slots"), F.max("ok").alias("consistent"),
