@@ -314,6 +314,16 @@ def test_copies_with_edited_values_are_caught(spark):
     assert got == {(0, 1): True, (1, 1): True, (2, 2): True, (3, 2): False}
 
 
+def test_short_items_are_caught_after_any_text(spark):
+    items = [(6, "What is the capital of France?"), (12, "Name every river that flows into the great northern sea today here."), (1, "Hello")]
+    before = ["", "Question: ", "Q: ", "so, ", "as text "]
+    texts = {10 * k + i: b + t for i, b in enumerate(before) for k, t in items if k > 1}
+    texts |= {900: "well, Which is the capital of France?", 901: "so, Peter and Paul met"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(10 * k + i, k) for i in range(5) for k, _ in items if k > 1}
+
+
 def test_held_out_language_accuracy(spark):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{BASE}/documents.parquet").collect()}
     held = [r for r in QUERIES["op6_language_id"](spark, BASE).collect() if r.held_out and r.lang_pred != "und"]

@@ -11,6 +11,10 @@ or if at least ``LITERAL`` of the item's words are in the document as they are.
 numbers or names passes this (it is caught, with ``reworded`` true), and so does a copy with some values
 edited; chance matches of empty templates do not.
 
+The first word of an item has nothing before it that tells a name; a capitalised one is sought as a
+word and as a name, and where it meets a name it is a slot. In items below eight words it must then be
+the same word.
+
 Documents are read once for the windows; only (place, hash) leaves a row, and only matches are
 shuffled. The texts of suspects alone are cut into words again for the slots.
 
@@ -34,6 +38,7 @@ NEEDED = 6
 BROADCAST_ROWS = 1_000_000
 AGREEING, EQUAL, LITERAL = 0.75, 0.5, 0.8
 MARK = "\u0001"
+FIRST_NAME = r"\A\s*(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])"
 
 # Units that may follow a number.
 UNITS = (
@@ -85,6 +90,11 @@ def _windows(df: DataFrame, keep: list[Column], length: int) -> DataFrame:
     return _hashes(df, keep, "_w", length).select(*keep, F.posexplode_outer("_h").alias("_at", "_hash"))
 
 
+def _named(words: str, first: str) -> Column:
+    """``words`` with the first one as a name."""
+    return F.concat(F.array(F.concat(F.lit(f"{MARK}n"), F.col(first))), F.slice(words, 2, F.greatest(F.lit(1), F.size(words))))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, needed: int = NEEDED) -> DataFrame:
     """``doc_id, item_id, n_windows, n_matched, n_slots, reworded``, one row per document and leaked item."""
     return _leaks(_numbered(docs), benchmark, needed).drop("_row")
@@ -97,7 +107,10 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 def _leaks(numbered: DataFrame, benchmark: DataFrame, needed: int) -> DataFrame:
     has_column(benchmark, "item_id", "text")
-    items = benchmark.select("item_id", F.monotonically_increasing_id().alias("_item"), slotted_words(F.col("text")).alias("_iw"))
+    items = benchmark.select(
+        "item_id", F.monotonically_increasing_id().alias("_item"), slotted_words(F.col("text")).alias("_iw"),
+        F.lower(F.regexp_extract(F.coalesce("text", F.lit("")), FIRST_NAME, 1)).alias("_first"),
+    )
     items = materialised(items.where(F.size("_iw") > 0), "items")
     lengths = [r[0] for r in items.select(F.least(F.lit(WINDOW), F.size("_iw")).alias("n")).distinct().collect()]  # 1 to 8
     worded = numbered.where(F.col("text") != "").select("doc_id", "_row", slotted_words(F.col("text")).alias("_w"))
@@ -107,6 +120,9 @@ def _leaks(numbered: DataFrame, benchmark: DataFrame, needed: int) -> DataFrame:
         sought = _hashes(own, [F.col("_item")], "_iw", length).select(
             "_item", F.size("_h").alias("_n"), F.posexplode("_h").alias("_in", "_hash")
         )
+        named = own.where("_first <> ''").select("_item", _named("_iw", "_first").alias("_iw"))
+        named = _hashes(named, [F.col("_item")], "_iw", length).select("_item", F.size("_h").alias("_n"), F.posexplode("_h").alias("_in", "_hash"))
+        sought = sought.unionByName(named.where("_in = 0"))
         if sought.count() <= BROADCAST_ROWS:
             sought = F.broadcast(sought)
         hit = _windows(worded, [F.col("doc_id"), F.col("_row")], length).join(sought, "_hash")
@@ -150,7 +166,8 @@ def _slots(suspects: DataFrame, numbered: DataFrame, items: DataFrame) -> DataFr
     mapped = lambda c: F.filter(
         F.transform(c, lambda w, i: F.struct(i.alias("i"), w.alias("w"))), lambda x: F.startswith(x["w"], F.lit(MARK))
     )
-    item_slots = items.select("_item", F.explode(mapped("_iw")).alias("s")).select("_item", F.col("s.i").alias("_in"), F.col("s.w").alias("_iv"))
+    named = F.when(F.col("_first") != "", _named("_iw", "_first")).otherwise(F.col("_iw"))
+    item_slots = items.withColumn("_iw", named).select("_item", F.explode(mapped("_iw")).alias("s")).select("_item", F.col("s.i").alias("_in"), F.col("s.w").alias("_iv"))
     # item places that matched windows cover, and their place in the document
     covered = suspects.select(
         "_row", "_item", (F.col("_at") - F.col("_in")).alias("_shift"),
@@ -162,28 +179,32 @@ def _slots(suspects: DataFrame, numbered: DataFrame, items: DataFrame) -> DataFr
     doc_slots = texts.select("_row", F.explode(mapped("_w")).alias("s")).select("_row", F.col("s.i").alias("_at"), F.col("s.w").alias("_dv"))
     lines = across.join(
         doc_slots, (across["_row"] == doc_slots["_row"]) & (across["_in"] + across["_shift"] == doc_slots["_at"])
-    ).select(across["_row"], "_item", "_shift", "_iv", "_dv")
+    ).select(across["_row"], "_item", "_shift", "_in", "_iv", "_dv")
     place = ["_row", "_item", "_shift"]
-    values = lines.groupBy(*place, F.substring("_iv", 2, 1).alias("type"), "_iv", "_dv").agg(F.count("*").alias("n"))
+    values = lines.groupBy(*place, F.substring("_iv", 2, 1).alias("type"), "_iv", "_dv").agg(
+        F.count("*").alias("n"), F.max((F.col("_in") == 0) & (F.col("_iv") != F.col("_dv"))).alias("other")
+    )
     of_item = values.groupBy(*place, "type", "_iv").agg(
-        F.sum("n").alias("n"), F.max("n").alias("most"), F.sum(F.when(F.col("_iv") == F.col("_dv"), F.col("n")).otherwise(0)).alias("same")
+        F.sum("n").alias("n"), F.max("n").alias("most"), F.max("other").alias("other"), F.sum(F.when(F.col("_iv") == F.col("_dv"), F.col("n")).otherwise(0)).alias("same")
     )
     doc_values = values.groupBy(*place, "type").agg(F.countDistinct("_dv").alias("dv"))
     types = of_item.groupBy(*place, "type").agg(
-        F.sum("n").alias("n"), F.sum("most").alias("most"), F.sum("same").alias("same"), F.count("*").alias("iv")
+        F.sum("n").alias("n"), F.sum("most").alias("most"), F.sum("same").alias("same"), F.count("*").alias("iv"), F.max("other").alias("other")
     ).join(doc_values, [*place, "type"])
     fit = (F.col("most") >= AGREEING * F.col("n")) & (2 * F.col("dv") >= F.col("iv"))
     own = F.col("type") != "u"
     judged = types.groupBy(*place).agg(
         F.sum("n").alias("n"), F.sum("same").alias("same"), F.min(fit).alias("fit"),
+        F.max("other").alias("other"),
         F.sum(F.when(own, F.col("n")).otherwise(0)).alias("n_own"), F.sum(F.when(own, F.col("same")).otherwise(0)).alias("same_own"),
     )
-    words = covered.groupBy(*place).agg(F.count("*").alias("n_words")).join(items.select("_item", F.size("_iw").alias("_all")), "_item")
+    words = covered.groupBy(*place).agg(F.count("*").alias("n_words")).join(items.select("_item", F.size("_iw").alias("_all"), (F.col("_first") != "").alias("_may")), "_item")
     ok = (
         F.col("fit")
         | ((F.col("n_own") > 0) & (F.col("same_own") >= EQUAL * F.col("n_own")))
         | (F.col("n_words") - F.col("n") + F.col("same") >= LITERAL * F.col("_all"))
     )
+    ok = ok & ~(F.col("other") & F.col("_may") & (F.col("_all") < WINDOW))
     return (
         judged.join(words, place)
         .select("_row", "_item", "n", ok.alias("ok"), (F.col("same") < F.col("n")).alias("new"))
