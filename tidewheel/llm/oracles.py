@@ -81,3 +81,11 @@ WITH u AS (SELECT page_id, html, coalesce(CASE WHEN instr(url, '://') > 0 THEN s
  bad AS (SELECT host FROM w{steps} WHERE distrust > trust)
 SELECT page_id, host, path, x.rule AS rule, coalesce(x.verdict, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END) AS verdict
 FROM ruled"""
+
+
+def copies_sql() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST, r) = 1 AS kept, sha256(t) AS text_sha256 FROM d"""

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import ans, decontam, hosts, jaccard, langid, licences, oracles, packing, pii, rules, shards
+from tidewheel.llm import (
+    ans, decontam, hosts, jaccard, langid, licences, naming, oracles, packing, pii, rules, shards,
+)
 from tidewheel.session import fresh_dir
 from tidewheel.sources.readers import read_table
 
@@ -121,3 +123,9 @@ def context_pii(spark: SparkSession, base: str) -> DataFrame:
         "doc_id", *[count(kind) for kind in pii.KINDS],
         F.sha2(pii.spelled(pii.base_only(spans)), 256).alias("base_sha256"), pii.spelled(spans).alias("spans"),
     )
+
+
+@register("op13_block_names", oracles.copies_sql())
+def block_names(spark: SparkSession, base: str) -> DataFrame:
+    found = naming.named(read_table(spark, base, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
