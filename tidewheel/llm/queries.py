@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.llm import (
-    ans, decontam, hosts, jaccard, langid, licences, naming, oracles, packing, pii, rules, shards,
+    ans, decontam, hosts, jaccard, langid, licences, naming, oracles, packing, periods, pii, rules, shards,
 )
 from tidewheel.session import fresh_dir
 from tidewheel.sources.readers import read_table
@@ -129,3 +129,9 @@ def context_pii(spark: SparkSession, base: str) -> DataFrame:
 def block_names(spark: SparkSession, base: str) -> DataFrame:
     found = naming.named(read_table(spark, base, "documents").select("doc_id", "text"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@register("op12_periodic_runs")
+def periodic_runs(spark: SparkSession, base: str) -> DataFrame:
+    docs = read_table(spark, base, "documents").select("doc_id", "text")
+    return periods.periodic_runs(docs, rewrite=periods.tandem_repeated)
