@@ -89,3 +89,31 @@ def copies_sql() -> str:
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
   row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST, r) = 1 AS kept, sha256(t) AS text_sha256 FROM d"""
+
+
+def trie_sql() -> str:
+    steps = "[ord(x), -1, -1, -1, -1, -1, -1, -1]"  # a byte goes in with the first of its eight shifts
+    crc = f"""xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(c::VARCHAR, ''), lambda x: {steps}))),
+      lambda a, x: xor(xor(a, greatest(x, 0)) >> 1, (xor(a, greatest(x, 0)) & 1) * 3988292384)))"""
+    return f"""
+WITH t AS (SELECT conv_id::BIGINT AS c, turn, sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS h,
+    strlen(coalesce(text, '')) AS z FROM conversations WHERE conv_id IS NOT NULL),
+ o AS MATERIALIZED (SELECT c, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, h) - 1 AS i, h, z FROM t),
+ cs AS MATERIALIZED (SELECT c, ({crc}) % 9 AS most FROM (SELECT DISTINCT c::BIGINT AS c FROM t)),
+ firsts AS (SELECT cs.c, o.i, o.h, o.z FROM cs JOIN o ON o.c = cs.c - cs.c % 5 AND o.i < cs.most),
+ k AS (SELECT cs.c, most, count(firsts.c) AS n FROM cs LEFT JOIN firsts ON cs.c = firsts.c GROUP BY 1, 2),
+ r AS (SELECT * FROM firsts UNION ALL SELECT o.c, o.i - k.most + k.n, o.h, o.z FROM o JOIN k ON o.c = k.c WHERE o.i >= k.most),
+ path AS MATERIALIZED (SELECT c, i + 1 AS d, sha256(string_agg(h, ',') OVER (PARTITION BY c ORDER BY i)) AS key, z FROM r
+    UNION ALL SELECT c, 0, '', 0 FROM cs),
+ node AS MATERIALIZED (SELECT d, key, min(c) AS m, count(*) AS n, any_value(z) AS z FROM path GROUP BY d, key),
+ way AS MATERIALIZED (SELECT path.c, path.d, node.m FROM path JOIN node ON path.d = node.d AND path.key = node.key),
+ ends AS (SELECT w.m, w.d, sha256(string_agg(w.c::VARCHAR, ',' ORDER BY w.c)) AS sha FROM way w
+    JOIN (SELECT c, max(d) AS d FROM way GROUP BY c) l ON w.c = l.c AND w.d = l.d GROUP BY 1, 2),
+ up AS (SELECT node.m, node.d, way.m AS parent FROM node JOIN way ON way.c = node.m AND way.d = node.d - 1),
+ kids AS (SELECT parent AS m, d - 1 AS d, count(*) AS n FROM up GROUP BY 1, 2),
+ sums AS (SELECT way.m, way.d, count(*) FILTER (kids.n IS NULL) AS leaves, sum((node.n - 1) * node.z) AS saved
+    FROM node LEFT JOIN kids ON node.m = kids.m AND node.d = kids.d JOIN way ON way.c = node.m AND way.d <= node.d GROUP BY 1, 2)
+SELECT node.m AS conv_id, node.d::BIGINT AS depth, up.parent AS parent_conv_id, node.n AS n_convs, coalesce(kids.n, 0) AS n_children,
+  sums.leaves AS n_leaves, sums.saved::BIGINT AS saved_tokens, coalesce(ends.sha, sha256('')) AS ends_sha256
+FROM node JOIN sums ON node.m = sums.m AND node.d = sums.d LEFT JOIN up ON node.m = up.m AND node.d = up.d
+  LEFT JOIN kids ON node.m = kids.m AND node.d = kids.d LEFT JOIN ends ON node.m = ends.m AND node.d = ends.d"""

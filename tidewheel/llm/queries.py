@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.llm import (
-    ans, decontam, hosts, jaccard, langid, licences, naming, oracles, packing, periods, pii, rules, shards,
+    ans, decontam, hosts, jaccard, langid, licences, naming, oracles, packing, periods, pii, rules, shards, tries,
 )
 from tidewheel.session import fresh_dir
 from tidewheel.sources.readers import read_table
@@ -135,3 +135,9 @@ def block_names(spark: SparkSession, base: str) -> DataFrame:
 def periodic_runs(spark: SparkSession, base: str) -> DataFrame:
     docs = read_table(spark, base, "documents").select("doc_id", "text")
     return periods.periodic_runs(docs, rewrite=periods.tandem_repeated)
+
+
+@register("op11_prefix_trie", oracles.trie_sql())
+def prefix_trie(spark: SparkSession, base: str) -> DataFrame:
+    turns = tries.numbered_turns(read_table(spark, base, "conversations"))
+    return tries.prefix_trie(*tries.with_shared_openings(turns))
