@@ -91,7 +91,9 @@ def test_percent_of_total(orders):
 
 
 def test_median(orders):
-    assert bag(exact_median(orders, ["region"], "amount", 10), "region", "median") == [("EU", 175.0), ("US", 175.0)]
+    # the drill leaves out NULL amounts first; a key with NULLs only would otherwise have a median of NULL
+    valued = orders.where("amount IS NOT NULL")
+    assert bag(exact_median(valued, ["region"], "amount", 10), "region", "median") == [("EU", 175.0), ("US", 175.0)]
 
 
 def test_pivot(orders):

@@ -90,3 +90,14 @@ def test_null_keys_do_not_meet_in_the_join(spark):
     left = spark.range(10).select("id", F.when(F.col("id") < 3, F.col("id")).alias("k"))
     text = plan(joins.left_join_flagged(left.hint("merge"), spark.range(5).select(F.col("id").alias("k")), ["k"]))
     assert "Union" in text and "Filter (id" in text
+
+
+def test_key_shares_read_their_input_once(spark):
+    """The total comes from the exchange of the counts."""
+    from tidewheel.operators.skew import key_shares
+
+    lines = spark.read.parquet(f"{BASE}/lineitem.parquet")
+    shares = key_shares(lines, ["l_partkey"])
+    shares.collect()
+    text = plan(shares)
+    assert "ReusedExchange" in text

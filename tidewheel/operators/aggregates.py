@@ -51,13 +51,9 @@ def exact_median(
     """
     cut = time_slice(F.col(value), width)
     n = {"_upto": F.col("_n")}, {"_down": F.col("_n")}
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count("*").alias("_n"))
-    )
     # Read several times below, and far smaller than the rows: computed once.
-    counted = flag_hot(materialised(counted, "median"), keys, HOT_SHARE, hot_rows, "_hot")
+    every = materialised(df.groupBy(*keys, value).agg(F.count("*").alias("_n")), "median")
+    counted = flag_hot(every.where(F.col(value).isNotNull()), keys, HOT_SHARE, hot_rows, "_hot")
     placed = running_sums(counted, keys, [value], cut, n[0])
     placed = running_sums(placed, keys, [value], cut, n[1], backwards=True)
     size = F.col("_upto") + F.col("_down") - F.col("_n")
@@ -65,7 +61,7 @@ def exact_median(
     middle = placed.where((low <= F.col("_upto")) & (high > F.col("_upto") - F.col("_n")))
     found = middle.groupBy(*keys).agg(((F.min(value) + F.max(value)) / 2).alias("median"))
     # a key with NULLs only has no value to order, and a median of NULL
-    bare = df.groupBy(*keys).agg(F.count(value).alias("_n")).where("_n = 0")
+    bare = every.groupBy(*keys).agg(F.count(value).alias("_n")).where("_n = 0")
     return found.unionByName(bare.select(*keys, F.lit(None).cast(found.schema["median"].dataType).alias("median")))
 
 

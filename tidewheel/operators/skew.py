@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 
 def key_shares(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per key and each key's share of all rows. Counts combine before the shuffle."""
+    """Rows per key and each key's share of all rows. Counts combine before the shuffle.
+
+    The total is the sum of the counts, over the same exchange, so the input is read once.
+    """
     counts = df.groupBy(*keys).agg(F.count("*").alias("n_rows"))
-    total = df.agg(F.count("*").alias("n")).scalar()
+    total = counts.agg(F.sum("n_rows").alias("n")).scalar()
     return counts.withColumn("share", F.col("n_rows") / total)
 
 

@@ -65,9 +65,10 @@ def upsert(
     """
     keyed = source.where(_has_key(keys))
     keyed = latest(keyed, keys, *newest) if newest else one_per_key(keyed, keys)
-    source = keyed.unionByName(source.where(~_has_key(keys)))
+    # The batch is read three times below: checked and written once, it is also free of the check's shuffle.
+    batch = materialised(keyed, "merge-batch")
+    source = batch.unionByName(source.where(~_has_key(keys)))
     columns = target.columns
-    batch = source.where(_has_key(keys))
     hint = broadcast_hint(batch)
     joined = _boxed(target.where(_has_key(keys)), keys, "t").join(
         hint(_boxed(batch, keys, "s")), list(keys), "left"
