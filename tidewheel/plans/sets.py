@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions.text import squeezed, text_key
 from tidewheel.operators.dedup import drop_copies, smallest_id, union_all
+from tidewheel.operators.similar import drop_similar, similar_groups
 from tidewheel.operators.windows import latest
 from tidewheel.plans.registry import Tables, query
 
@@ -129,3 +130,29 @@ def copy_groups(t: Tables) -> DataFrame:
         .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies"))
         .where("n_copies > 1")
     )
+
+
+_SIMILAR = """WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split(
+      trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' '), lambda x: x <> '') AS w FROM documents),
+  g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w),
+  n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+  both_in AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+  link AS MATERIALIZED (SELECT a, b FROM both_in JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+  way AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+  reach AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT way.b, reach.root FROM reach JOIN way ON way.a = reach.doc_id),
+  grp AS (SELECT doc_id, min(root) AS group_id FROM reach GROUP BY 1)"""
+
+
+@query("st_08_minhash_groups", f"{_SIMILAR} SELECT doc_id, group_id FROM grp")
+def minhash_groups(t: Tables) -> DataFrame:
+    """Texts of Jaccard similarity 0.75 over five-word shingles, and what they are linked with."""
+    return similar_groups(t.documents, "text", "doc_id")
+
+
+@query(
+    "st_08_similar_dropped",
+    f"{_SIMILAR} SELECT documents.doc_id, lang, source FROM documents JOIN grp ON documents.doc_id = grp.doc_id WHERE grp.doc_id = group_id",
+)
+def similar_dropped(t: Tables) -> DataFrame:
+    return drop_similar(t.documents, "text", "doc_id").select("doc_id", "lang", "source")
