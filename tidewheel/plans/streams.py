@@ -13,6 +13,7 @@ from tidewheel.session import fresh_dir
 from tidewheel.sources.readers import table_stream
 from tidewheel.streaming import operators as so
 from tidewheel.streaming.jobs import drain, drained, merge_into_versions, newest_state, to_batch_folders
+from tidewheel.streaming.throttles import throttle_trailing, throttle_trailing_stream
 
 
 def event_stream(t: Tables, delay: str = "10 minutes") -> DataFrame:
@@ -108,6 +109,31 @@ def throttle_stream(t: Tables) -> DataFrame:
     )
 
 
+_SPAN = 21_600_000_000  # six hours of event time in microseconds; the events are sparse
+_TRAILING = f"""WITH RECURSIVE o AS (SELECT event_id, user_id, epoch_us(ts) AS at_us,
+    row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events),
+  walk AS (SELECT event_id, user_id, at_us, k, [at_us] AS held, true AS ok FROM o WHERE k = 1
+    UNION ALL SELECT o.event_id, o.user_id, o.at_us, o.k,
+      CASE WHEN len(list_filter(held, lambda h: h > o.at_us - {_SPAN})) < 2 THEN list_append(list_filter(held, lambda h: h > o.at_us - {_SPAN}), o.at_us)
+        ELSE list_filter(held, lambda h: h > o.at_us - {_SPAN}) END,
+      len(list_filter(held, lambda h: h > o.at_us - {_SPAN})) < 2
+    FROM walk JOIN o ON o.user_id = walk.user_id AND o.k = walk.k + 1)
+  SELECT event_id, user_id, at_us FROM walk WHERE ok"""
+
+
+@query("sm_04_trailing_throttle", _TRAILING)
+def trailing_throttle(t: Tables) -> DataFrame:
+    """At most two accepted events of a user in any trailing six hours, times to the microsecond."""
+    timed = t.events.select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at_us"))
+    return throttle_trailing(timed, "user_id", "at_us", "event_id", 2, _SPAN)
+
+
+@query("sm_04_trailing_throttle_stream", _TRAILING)
+def trailing_throttle_stream(t: Tables) -> DataFrame:
+    out = throttle_trailing_stream(event_stream(t), "user_id", "ts", "event_id", 2, _SPAN)
+    return drained(out, "trailing-throttle").select("event_id", "user_id", F.col("at").alias("at_us"))
+
+
 @query("sm_05_filter", "SELECT event_id, user_id FROM events WHERE event_type = 'purchase' AND value > 20")
 def stream_filter(t: Tables) -> DataFrame:
     big = (F.col("event_type") == "purchase") & (F.col("value") > 20)
