@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from tidewheel.operators.joins import (
 from tidewheel.operators.windows import neighbour
 from tidewheel.plans.registry import Tables, query
 from tidewheel.plans.reports import customer_regions
-from tidewheel.sources.sinks import materialised
+from tidewheel.sources.sinks import materialised, save_bucketed
 
 
 def skewed_lines(t: Tables) -> DataFrame:
@@ -237,6 +239,35 @@ def co_partitioned(t: Tables) -> DataFrame:
     return co_partitioned_join(t.orders.select("o_orderkey", "o_custkey"), lines, ["o_orderkey"], n)
 
 
+def bucketed_orders(t: Tables) -> DataFrame:
+    """Orders with their lines from two tables that share their buckets."""
+    run = uuid.uuid4().hex
+    names = {side: f"bucketed_{side}_{run}" for side in ("orders", "lines")}
+    save_bucketed(t.orders.select("o_orderkey", "o_custkey"), names["orders"], ["o_orderkey"], 16)
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity")
+    save_bucketed(lines, names["lines"], ["o_orderkey"], 16)
+    return t.spark.table(names["orders"]).join(t.spark.table(names["lines"]).hint("merge"), "o_orderkey")
+
+
+@query(
+    "jn_17_bucketed",
+    """SELECT o_orderkey, o_custkey, l_linenumber, l_quantity FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
+)
+def bucketed(t: Tables) -> DataFrame:
+    """Both tables written once in the same buckets; this join, and any later one, needs no exchange."""
+    return bucketed_orders(t).select("o_orderkey", "o_custkey", "l_linenumber", "l_quantity")
+
+
+@query(
+    "jn_17_bucketed_totals",
+    """SELECT o_orderkey, count(*) AS n_lines, sum(l_quantity) AS quantity FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+       GROUP BY 1""",
+)
+def bucketed_totals(t: Tables) -> DataFrame:
+    """The aggregate after the join keeps the buckets as well."""
+    return bucketed_orders(t).groupBy("o_orderkey").agg(F.count("*").alias("n_lines"), F.sum("l_quantity").alias("quantity"))
+
+
 @query(
     "jn_18_fan_out_guard",
     """SELECT o_orderkey, o_totalprice, n_lines, quantity FROM orders LEFT JOIN

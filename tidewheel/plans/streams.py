@@ -10,9 +10,11 @@ from tidewheel.operators.windows import session_totals
 from tidewheel.plans.registry import Tables, query
 from tidewheel.plans.windows import SESSION_SQL
 from tidewheel.session import fresh_dir
-from tidewheel.sources.readers import table_stream
+from tidewheel.sources.readers import new_files, table_stream
+from tidewheel.sources.sinks import materialised
 from tidewheel.streaming import operators as so
 from tidewheel.streaming.jobs import drain, drained, merge_into_versions, newest_state, to_batch_folders
+from tidewheel.streaming.tables import merge_into_buckets, read_buckets, split_late, split_rows
 from tidewheel.streaming.throttles import throttle_trailing, throttle_trailing_stream
 
 
@@ -199,6 +201,47 @@ def lateness(t: Tables) -> DataFrame:
     return so.lateness(rows, "ts", "arrived", 600).select("event_id", "arrived", "is_late")
 
 
+_DELIVERED = """WITH a AS (SELECT event_id, ts, CAST(floor(epoch(ts) / 864000) AS BIGINT) + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS arrived
+    FROM events),
+  m AS (SELECT arrived, max(max(ts)) OVER (ORDER BY arrived ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM a GROUP BY arrived),
+  l AS (SELECT event_id, ts, arrived, coalesce(ts < newest - INTERVAL 600 SECOND, FALSE) AS is_late FROM a JOIN m USING (arrived))"""
+
+
+def _delivered(t: Tables) -> DataFrame:
+    """Events in deliveries of ten days, every tenth event a delivery later, drained one by one.
+
+    The stream stops after each delivery and starts again from its checkpoint.
+    """
+    root = fresh_dir(t.spark, "late-rows")
+    day = time_slice(epoch_seconds("ts"), 864_000)
+    arrived = F.when(F.col("event_id") % 10 == 0, day + 1).otherwise(day)
+    rows = materialised(t.events.select("event_id", "ts", arrived.alias("arrived")), "deliveries")
+    for (number,) in rows.select("arrived").distinct().sort("arrived").collect():
+        rows.where(F.col("arrived") == number).write.mode("append").parquet(f"{root}/in")
+        source = new_files(t.spark, f"{root}/in", rows.schema)
+        drain(source, split_late(f"{root}/out", "ts", 600), f"{root}/checkpoint")
+    return split_rows(t.spark, f"{root}/out", "event_id BIGINT, ts TIMESTAMP_NTZ, arrived BIGINT")
+
+
+@query("sm_09_late_rows_kept", f"{_DELIVERED} SELECT event_id, arrived, is_late FROM l")
+def late_rows_kept(t: Tables) -> DataFrame:
+    """On-time and late output together are the input, row for row."""
+    return _delivered(t).select("event_id", "arrived", "is_late")
+
+
+@query(
+    "sm_09_corrected_counts",
+    f"""{_DELIVERED} SELECT CAST(floor(epoch(ts) / 86400) AS BIGINT) AS day, count(*) FILTER (NOT is_late) AS n_on_time,
+       count(*) FILTER (is_late) AS n_late, count(*) AS n_events FROM l GROUP BY 1""",
+)
+def corrected_counts(t: Tables) -> DataFrame:
+    """Daily counts as first reported, and as corrected by the late rows kept aside."""
+    late = F.count_if("is_late")
+    return _delivered(t).groupBy(time_slice(epoch_seconds("ts"), 86_400).alias("day")).agg(
+        (F.count("*") - late).alias("n_on_time"), late.alias("n_late"), F.count("*").alias("n_events")
+    )
+
+
 @query("sm_10_stream_dedup", "SELECT DISTINCT event_id, user_id FROM events")
 def stream_dedup(t: Tables) -> DataFrame:
     """Every event comes twice, and once it stays."""
@@ -222,6 +265,22 @@ def stream_upsert(t: Tables) -> DataFrame:
     return every.where(F.col("v") == last).drop("v")
 
 
+@query(
+    "sm_11_bucket_upsert",
+    """SELECT user_id, event_id, ts, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
+         AS rn FROM events) WHERE rn = 1""",
+)
+def bucket_upsert(t: Tables) -> DataFrame:
+    """Three deliveries, out of order; each rewrites only the buckets it has keys of."""
+    root = fresh_dir(t.spark, "bucket-upsert")
+    rows = materialised(t.events.select("user_id", "event_id", "ts", "value"), "deliveries")
+    for k in (1, 2, 0):
+        rows.where(F.col("user_id") % 3 == k).unionByName(rows.where(F.col("event_id") % 3 == k)).write.mode("append").parquet(f"{root}/in")
+        sink = merge_into_buckets(f"{root}/table", ["user_id"], ("ts", "event_id"), n=16)
+        drain(new_files(t.spark, f"{root}/in", rows.schema), sink, f"{root}/checkpoint")
+    return read_buckets(t.spark, f"{root}/table").select("user_id", "event_id", "ts", "value")
+
+
 @query("sm_12_restart", "SELECT event_id, user_id, value FROM events")
 def restart(t: Tables) -> DataFrame:
     """Stopped and started again with its checkpoint, the stream emits no row twice."""

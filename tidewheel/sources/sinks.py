@@ -20,6 +20,15 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).format("parquet").saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], n: int) -> None:
+    """Table in ``n`` buckets of ``keys``, each sorted by them.
+
+    Tables with the same buckets join on the keys, and aggregate by them, without an exchange. Rows are
+    dealt before the write, so that a bucket is one file and not one per task.
+    """
+    df.repartition(n, *keys).write.mode("overwrite").format("parquet").bucketBy(n, *keys).sortBy(*keys).saveAsTable(name)
+
+
 def append_files(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
@@ -120,6 +129,12 @@ def materialised(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a folder that no frame reads any more, through Spark's own file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder."""
     shared_root(df.sparkSession)
