@@ -115,6 +115,18 @@ def left_join_flagged(
     )
 
 
+def needed_join(left: DataFrame, keys_of: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join to a table of which only the keys are read, left out where it changes nothing.
+
+    It changes nothing if no key occurs twice in ``keys_of`` and every row of ``left`` finds one. Both are
+    checked on keys alone, before wide rows move; otherwise the join is made.
+    """
+    repeated = keys_of.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
+    if repeated.isEmpty() and without_match(left.select(*keys).distinct(), keys_of, keys).isEmpty():
+        return left
+    return left.join(keys_of, list(keys))
+
+
 def without_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``left`` with no partner; NULL keys count as no partner and skip the shuffle."""
     has_key = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))

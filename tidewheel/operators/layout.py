@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewheel.sources.sinks import materialised, release
+
 
 def files(df: DataFrame) -> DataFrame:
     """Path, bytes and rows of each file behind a file-backed frame."""
@@ -49,6 +53,63 @@ def compact(
         rest.write.mode("append").parquet(target)
 
 
+def _best_fit(sizes: Sequence[int], capacity: int) -> list[int]:
+    """A bin for each size, largest first into the fullest bin that still takes it."""
+    room: list[int] = []
+    place = [0] * len(sizes)
+    for k in sorted(range(len(sizes)), key=lambda k: -sizes[k]):
+        open_bins = [b for b, r in enumerate(room) if r >= sizes[k]]
+        best = min(open_bins, key=lambda b: room[b]) if open_bins else len(room)
+        if best == len(room):
+            room.append(capacity)
+        room[best] -= sizes[k]
+        place[k] = best
+    return place
+
+
+def small_file_bins(df: DataFrame, by: Sequence[str], file_bytes: int) -> DataFrame:
+    """Small files worth merging: ``path``, the partition's columns and ``bin`` (a new file of the partition).
+
+    Small is at most half of ``file_bytes``. Files of one partition are packed by size; a file that shares
+    its bin with no other is left out. File sizes come from metadata, no column is read.
+    """
+    listed = df.select(*by, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).distinct()
+    small = listed.where(F.col("bytes") <= file_bytes // 2)
+    kinds = {f.name: f.dataType.simpleString() for f in small.schema.fields}
+
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["bytes", "path"], ascending=False)
+        part["bin"] = _best_fit(part["bytes"].tolist(), file_bytes)
+        return part[part.groupby("bin")["bin"].transform("size") > 1][[*by, "path", "bin"]]
+
+    return small.groupBy(*by).applyInPandas(pack, ", ".join(f"{c} {kinds[c]}" for c in [*by, "path"]) + ", bin int")
+
+
+def compact_small(spark: SparkSession, path: str, by: Sequence[str], file_bytes: int = 128 << 20) -> int:
+    """Merge the small files of a partitioned table in place; returns the number of files merged.
+
+    Only small files are read and replaced, large ones keep their names and are not opened. The merged
+    rows are written aside first, then added, and the old files go last: run it while nobody else writes,
+    and readers that start between the last two steps see merged rows twice.
+    """
+    table = spark.read.parquet(path)
+    bins = materialised(small_file_bins(table, by, file_bytes), "file-bins")
+    old = [r["path"] for r in bins.select("path").collect()]  # names only, as many as the planner lists itself
+    if not old:
+        return 0
+    n_bins = bins.select(*by, "bin").distinct().count()
+    files_of = [unquote(name) for name in old]  # metadata spells paths as URIs
+    rows = spark.read.schema(table.schema).option("basePath", path).parquet(*files_of)
+    rows = rows.withColumn("_path", F.col("_metadata.file_path"))
+    dealt = rows.join(bins.select(F.col("path").alias("_path"), F.col("bin").alias("_bin")), "_path").drop("_path")
+    staged = materialised(dealt, "compacted")
+    # one range of (partition, bin) per task, so a task's file is a bin
+    staged.repartitionByRange(n_bins, *by, "_bin").drop("_bin").write.mode("append").partitionBy(*by).parquet(path)
+    for name in files_of:
+        release(spark, name)
+    return len(old)
+
+
 def _with_rank(df: DataFrame, column: str, bits: int) -> DataFrame:
     """Add ``_r_<column>``: how many of the quantile bounds lie below the value.
 

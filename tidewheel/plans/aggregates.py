@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewheel.functions.times import epoch_seconds, time_slice
 from tidewheel.operators.aggregates import (
     counts_where,
     exact_median,
@@ -13,9 +14,11 @@ from tidewheel.operators.aggregates import (
     salted_totals,
 )
 from tidewheel.operators.dedup import duplicate_keys
+from tidewheel.operators.sketches import DISTINCT_BOUND, RANK_BOUND, merged_sketches, unit_sketches
 from tidewheel.plans.joins import SKEWED, skewed_lines
 from tidewheel.plans.registry import Tables, query
 from tidewheel.plans.reports import net_price
+from tidewheel.sources.sinks import materialised
 
 
 @query("ag_01_sum_by_key", "SELECT l_returnflag, round(sum(l_extendedprice), 2) AS revenue FROM lineitem GROUP BY 1")
@@ -62,6 +65,48 @@ def approx_median(t: Tables) -> DataFrame:
     )
 
 
+def _day_sketches(t: Tables) -> DataFrame:
+    """One row per day, written; the queries below read these rows only."""
+    day = time_slice(epoch_seconds("ts"), 86_400)
+    return materialised(unit_sketches(t.events, day, "user_id", "value"), "day-sketches")
+
+
+_WEEK = "CAST(floor(epoch(ts) / 604800) AS BIGINT)"
+_DAY = "CAST(floor(epoch(ts) / 86400) AS BIGINT)"
+
+
+@query(
+    "ag_05_merged_distinct_sketches",
+    f"""SELECT {_WEEK} AS week, count(DISTINCT {_DAY}) AS n_days, count(*) AS n_events, count(DISTINCT user_id) AS users,
+       true AS within_bound FROM events GROUP BY 1""",
+)
+def merged_distinct_sketches(t: Tables) -> DataFrame:
+    """Users of each week from seven stored sketches, beside the exact number and the promised bound."""
+    merged = merged_sketches(_day_sketches(t), F.floor(F.col("unit") / 7)).withColumnRenamed("span", "week")
+    exact = t.events.groupBy(time_slice(epoch_seconds("ts"), 604_800).alias("week")).agg(F.count_distinct("user_id").alias("users"))
+    near = F.abs(F.col("distinct") - F.col("users")) <= F.ceil(F.col("users") * DISTINCT_BOUND)
+    return merged.join(exact, "week").select(
+        "week", F.col("n_units").alias("n_days"), F.col("n_rows").alias("n_events"), "users", near.alias("within_bound")
+    )
+
+
+@query(
+    "ag_06_merged_quantile_sketches",
+    f"SELECT {_WEEK} AS week, count(DISTINCT {_DAY}) AS n_days, count(value) AS n_values, true AS within_bound FROM events GROUP BY 1",
+)
+def merged_quantile_sketches(t: Tables) -> DataFrame:
+    """Median of each week from stored sketches; its true rank must lie within the promised bound."""
+    merged = merged_sketches(_day_sketches(t), F.floor(F.col("unit") / 7)).withColumnRenamed("span", "week")
+    rows = t.events.select(time_slice(epoch_seconds("ts"), 604_800).alias("week"), "value").join(merged, "week")
+    counted = rows.groupBy("week", F.col("n_units").alias("n_days")).agg(
+        F.count("value").alias("n_values"), F.count_if(F.col("value") < F.col("quantile")).alias("below"),
+        F.count_if(F.col("value") <= F.col("quantile")).alias("upto"),
+    )
+    low, high = (0.5 - RANK_BOUND) * F.col("n_values"), (0.5 + RANK_BOUND) * F.col("n_values")
+    near = (F.col("below") <= high) & (F.col("upto") >= low)
+    return counted.select("week", "n_days", "n_values", near.alias("within_bound"))
+
+
 @query(
     "ag_06_exact_median",
     "SELECT o_orderpriority, round(quantile_cont(o_totalprice, 0.5), 4) AS median FROM orders GROUP BY 1",

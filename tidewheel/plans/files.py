@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewheel.plans.registry import Tables, query
 from tidewheel.session import fresh_dir
 from tidewheel.sources import snapshots
+from tidewheel.sources.landing import land, log_schema, read_landed
 from tidewheel.sources.readers import generated, new_files, read_files
 from tidewheel.sources.sinks import (
     append_checked,
@@ -95,15 +96,35 @@ def parquet(t: Tables) -> DataFrame:
 
 @query(
     "src_04_csv_inferred",
-    "SELECT o_custkey, o_totalprice, o_orderpriority FROM orders WHERE o_totalprice > 250000",
+    "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders",
 )
 def csv_inferred(t: Tables) -> DataFrame:
     path = fresh_dir(t.spark, "csv")
     plain_orders(t).write.option("header", True).csv(path)
-    read = read_files(t.spark, path, "csv", header=True).where("o_totalprice > 250000")
-    return read.select(F.col("o_custkey").cast("bigint"), "o_totalprice", "o_orderpriority")
+    read = read_files(t.spark, path, "csv", header=True)
+    keys = [F.col(c).cast("bigint") for c in ("o_orderkey", "o_custkey")]  # inferred as INT or BIGINT by their size
+    return read.select(*keys, "o_totalprice", "o_orderpriority")
 
 
+@query(
+    "src_07_schema_log",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS o_orderpriority,
+       CASE WHEN o_orderkey % 3 = 2 THEN 'about ' || CAST(floor(o_totalprice) AS BIGINT) END AS price_text FROM orders""",
+)
+def schema_log(t: Tables) -> DataFrame:
+    """The second delivery brings a new field, the third a price that is no number; no value is lost."""
+    root = fresh_dir(t.spark, "schema-log")
+    log_schema(t.spark, root, 0, {"o_orderkey": "bigint", "o_totalprice": "double"})
+    about = F.concat(F.lit("about "), F.floor("o_totalprice").cast("string"))
+    deliveries = [["o_totalprice"], ["o_totalprice", "o_orderpriority"], [about.alias("o_totalprice"), "o_orderpriority"]]
+    for k, columns in enumerate(deliveries):
+        t.orders.where(F.col("o_orderkey") % 3 == k).select("o_orderkey", *columns).write.mode("append").json(f"{root}/inbox")
+        land(t.spark, f"{root}/inbox", root)
+    return read_landed(t.spark, root).select(
+        "o_orderkey", "o_totalprice", "o_orderpriority", F.col("_rescued")["o_totalprice"].alias("price_text")
+    )
+
 @query("src_05_declared_schema", "SELECT o_orderkey, o_totalprice FROM orders")
 def declared_schema(t: Tables) -> DataFrame:
     return read_files(t.spark, f"{t.base}/orders.parquet", "parquet", "o_orderkey BIGINT, o_totalprice DOUBLE")

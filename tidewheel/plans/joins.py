@@ -15,6 +15,7 @@ from tidewheel.operators.joins import (
     hot_salted_join,
     hot_split_join,
     left_join_flagged,
+    needed_join,
     one_row_per_key_join,
     salted_join,
     small_side_join,
@@ -208,8 +209,9 @@ def aggregate_then_join(t: Tables) -> DataFrame:
        JOIN part ON l_partkey = p_partkey GROUP BY 1""",
 )
 def unused_join_dropped(t: Tables) -> DataFrame:
-    """No part column is used and every line has exactly one part, so the join is left out."""
-    return t.lineitem.groupBy("l_returnflag").agg(
+    """No part column is used: the join is left out if it can neither lose nor repeat a line."""
+    lines, keys = t.lineitem.withColumnRenamed("l_partkey", "p_partkey"), ["p_partkey"]
+    return needed_join(lines, t.part.select(*keys), keys).groupBy("l_returnflag").agg(
         F.count("*").alias("n_lines"), F.round(F.sum("l_quantity"), 2).alias("quantity")
     )
 

@@ -110,6 +110,21 @@ def compacted_range(t: Tables) -> DataFrame:
     return t.spark.read.parquet(target)
 
 
+@query(
+    "tbl_18_small_files_merged",
+    "SELECT l_returnflag, l_orderkey, l_linenumber, l_quantity FROM lineitem",
+)
+def small_files_merged(t: Tables) -> DataFrame:
+    """One partition comes in many small files, the others in one file each; only the former is merged."""
+    path = fresh_dir(t.spark, "fragmented")
+    rows = t.lineitem.select("l_returnflag", "l_orderkey", "l_linenumber", "l_quantity")
+    small = F.col("l_returnflag") == "R"
+    rows.where(small).repartition(12).write.partitionBy("l_returnflag").parquet(path)
+    rows.where(~small).repartition("l_returnflag").write.mode("append").partitionBy("l_returnflag").parquet(path)
+    layout.compact_small(t.spark, path, ["l_returnflag"])
+    return t.spark.read.parquet(path)
+
+
 def _clustered(t: Tables) -> DataFrame:
     path = fresh_dir(t.spark, "clustered")
     layout.clustered(

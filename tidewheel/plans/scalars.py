@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions.text import clean, clean_any_space
 from tidewheel.functions.times import epoch_seconds
+from tidewheel.operators.samples import exact_sample
 from tidewheel.plans.registry import Tables, query
 from tidewheel.plans.reports import year_range
 
@@ -178,6 +179,18 @@ def sample(t: Tables) -> DataFrame:
     return t.lineitem.sample(fraction=0.1, seed=7).select("l_orderkey", "l_linenumber")
 
 
+@query(
+    "flt_8_exact_sample",
+    """SELECT l_returnflag, l_orderkey, l_linenumber FROM (SELECT *, count(*) OVER (PARTITION BY l_returnflag) AS n,
+       row_number() OVER (PARTITION BY l_returnflag ORDER BY md5(l_orderkey || '-' || l_linenumber)) AS k FROM lineitem)
+       WHERE k <= (n * 10 + 99) // 100""",
+)
+def exact_tenth(t: Tables) -> DataFrame:
+    """A tenth of each stratum, to the row, by digests that any engine can repeat."""
+    rows = t.lineitem.select("l_returnflag", "l_orderkey", "l_linenumber")
+    return exact_sample(rows, ["l_returnflag"], F.concat_ws("-", "l_orderkey", "l_linenumber"), 10)
+
+
 @query(
     "fn_1_case_trim_length",
     """SELECT doc_id, lower(source) AS low, upper(lang) AS up, trim('  ' || source || ' ') AS trimmed,
