@@ -104,3 +104,12 @@ def test_a_rule_on_the_wrong_type_fails_alone(spark):
     lines = {r.rule: r for r in check(df, [in_range("email", 0, 120), not_null("id"), in_range("id", 0, 1)]).collect() if r.rule != "InRange" or r.column == "email"}
     assert lines["InRange"].failed_count == -1 and not lines["InRange"].passed and "raised" in lines["InRange"].message
     assert lines["NotNull"].failed_count == 1
+
+
+def test_steps_are_counted_in_one_run(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k long, v string")
+    counts = q.StepCounts(["k"])
+    kept = counts.step("kept", counts.step("read", rows).join(counts.step("names", spark.range(1, 2).withColumnRenamed("id", "k")), "k").where("v <> 'a'"))
+    assert kept._jdf.queryExecution().executedPlan().toString().count("CollectMetrics") == 3
+    kept.write.format("noop").mode("overwrite").save()
+    assert bag(counts.report(spark), "step", "n_rows", "null_k") == [("kept", 1, 0), ("names", 1, 0), ("read", 4, 1)]

@@ -5,11 +5,12 @@ A report has one row per rule: (rule, column, passed, failed_count, message, sev
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -184,6 +185,29 @@ def reconcile(steps: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
     )
 
 
+class StepCounts:
+    """Rows, and rows without a key, of every step of a load, counted while its result is written.
+
+    Wrap each step with :meth:`step`, run the last one once, then ask for :meth:`report`: no step is
+    computed a second time for its numbers. A filter is not moved below a counted step.
+    """
+
+    def __init__(self, keys: Sequence[str]):
+        self.keys = list(keys)
+        self.seen: dict[str, Observation] = {}
+
+    def step(self, name: str, df: DataFrame) -> DataFrame:
+        self.seen[name] = Observation(f"step-{uuid.uuid4().hex}")
+        some = [F.count_if(F.col(k).isNull()).alias(f"null_{k}") for k in self.keys]
+        return df.observe(self.seen[name], F.count("*").alias("n_rows"), *some)
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """One row per step in the order of the calls; waits for the run to end."""
+        found = {name: seen.get for name, seen in self.seen.items()}
+        rows = [(k, name, m["n_rows"], *[m[f"null_{c}"] for c in self.keys]) for k, (name, m) in enumerate(found.items())]
+        return spark.createDataFrame(rows, "place INT, step STRING, n_rows BIGINT" + "".join(f", null_{c} BIGINT" for c in self.keys))
+
+
 REPORT_SCHEMA = T.StructType(
     [
         T.StructField("rule", T.StringType()),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewheel.operators import quality as q
 from tidewheel.operators.dedup import duplicate_keys
 from tidewheel.plans.registry import Tables, query
+from tidewheel.sources.sinks import run_only
 
 # The checked rows: events with their labels, so that some values are NULL.
 _ROWS = """WITH r AS (SELECT event_id % 9000 AS id, event_type AS kind, value, CASE WHEN event_id % 7 = 0 THEN NULL ELSE
@@ -178,3 +179,20 @@ def reconciled(t: Tables) -> DataFrame:
         "large": joined.where(F.col("o_totalprice") > 300000),
     }
     return q.reconcile(steps, ["k"])
+
+
+@query(
+    "dq_12_counted_in_one_run",
+    """SELECT 'orders' AS step, count(*) AS n_rows, count(*) FILTER (o_custkey IS NULL) AS null_k FROM orders UNION ALL
+       SELECT 'customers', count(*), count(*) FILTER (c_custkey IS NULL) FROM customer UNION ALL
+       SELECT 'joined', count(*), 0 FROM orders JOIN customer ON o_custkey = c_custkey UNION ALL
+       SELECT 'large', count(*), 0 FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 300000""",
+)
+def counted_in_one_run(t: Tables) -> DataFrame:
+    """The steps of a load counted while its result is written, each table read once."""
+    counts = q.StepCounts(["k"])
+    orders = counts.step("orders", t.orders.select(F.col("o_custkey").alias("k"), "o_totalprice"))
+    customers = counts.step("customers", t.customer.select(F.col("c_custkey").alias("k")))
+    joined = counts.step("joined", orders.join(customers, "k"))
+    run_only(counts.step("large", joined.where(F.col("o_totalprice") > 300000)))
+    return counts.report(t.spark).drop("place")
