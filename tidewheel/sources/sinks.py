@@ -135,6 +135,27 @@ def release(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+class Scratch:
+    """Intermediate tables of a run that are deleted as soon as nothing reads them any more."""
+
+    def __init__(self) -> None:
+        self.held: dict[int, tuple[DataFrame, str]] = {}
+
+    def write(self, df: DataFrame, purpose: str) -> DataFrame:
+        """Like :func:`materialised`, for a table that :meth:`drop` may delete later."""
+        path = fresh_dir(df.sparkSession, purpose)
+        df.write.parquet(path)
+        read = df.sparkSession.read.schema(df.schema).parquet(path)
+        self.held[id(read)] = (read, path)
+        return read
+
+    def drop(self, *frames: DataFrame) -> None:
+        for frame in frames:
+            if id(frame) in self.held:
+                read, path = self.held.pop(id(frame))
+                release(read.sparkSession, path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder."""
     shared_root(df.sparkSession)
