@@ -9,13 +9,14 @@ link to it and need no comparison for their class to be known.
    quarters of its members occur in other sets of like size; others are done. Nothing else about
    members moves.
 3. *Regions.* Of two linked sets, the ``n / 4 + 1`` rarest members of each share one. Each such
-   member spans a region of the sets of like size that have it among theirs. In a region the set whose members
-   are most widely shared is the pivot, and distances to it are exact. Its cell, the sets within
-   ``r``, joins one class. The other sets go into the region of the next pivots, more of them each
+   member spans a region of the sets of like size that have it among theirs; members with the same holders span one
+   region together. In a region the set whose members are most widely shared is the pivot, and distances to it are
+   exact. Its cell, the sets within ``r``, joins one class. The other sets go into the region of the next pivots, more of them each
    round, together with *border* sets of the first pivot's class whose distance lies within the window of the triangle
    inequality. Sets known to be of one class are not compared again, and a region of one class is
-   done. Small regions are joined directly. A large group of near copies so takes few comparisons
-   per copy, never all pairs.
+   done. Small regions are joined directly. Before members of two sets meet, the pair must pass a bound on their
+   difference: sizes, members that nobody else has, and parities of member counts by hash (each differing parity is a
+   member of one set only). Similar texts that do not link are told apart by it without comparison.
 4. *Classes.* After each round, connected components of the classes that it linked, by label
    propagation with pointer jumping.
 
@@ -40,12 +41,13 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.llm.shingles import shingle_sets
+from tidewheel.llm.shingles import mix, shingle_sets
 from tidewheel.llm.words import has_column
-from tidewheel.sources.sinks import materialised
+from tidewheel.sources.sinks import Scratch, materialised
 
 PART = 1_000_000  # members in one part of a shuffle
-LEAF = 16
+LEAF = 64
+BITS = 256
 PIVOTS, MOST_PIVOTS = 1, 1024  # of a region, in the first round and later
 BLOB = "part int, body binary"
 _BLOB = pa.schema([("part", pa.int32()), ("body", pa.binary())])
@@ -187,15 +189,19 @@ def _support(blobs: DataFrame, parts: int, percent: int) -> DataFrame:
         near = (h[1:] == h[:-1]) & (100 * size[:-1] >= np.uint64(percent) * size[1:])
         many = np.concatenate([[False], near]) | np.concatenate([near, [False]]) if len(h) else np.zeros(0, bool)
         h, name, size, times = h[many], name[many], size[many], times[many].astype(np.uint64)
+        # members with the same holders open the same region: a digest of the holders stands for them
+        starts, lengths = _runs(h)
+        holders = np.add.reduceat(mix(name), starts) if len(h) else h
+        group = np.repeat(mix(holders + lengths.astype(np.uint64)) >> np.uint64(32), lengths)
         part = name % np.uint64(parts)
         order = np.lexsort((name, part))
-        h, name, size, times, part = h[order], name[order], size[order], times[order], part[order]
+        h, name, size, times, part, group = h[order], name[order], size[order], times[order], part[order], group[order]
         starts, lengths = _runs(part)
         out = []
         for s, length in zip(starts, lengths, strict=True):
             at = slice(s, s + length)
             first, runs = _runs(name[at])
-            out.append((int(part[s]), _packed(name[at][first], size[at][first], runs.astype(np.uint64), h[at], times[at])))
+            out.append((int(part[s]), _packed(name[at][first], size[at][first], runs.astype(np.uint64), h[at], times[at], group[at])))
         if out:
             yield _rows(out)
 
@@ -203,22 +209,23 @@ def _support(blobs: DataFrame, parts: int, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, BLOB)
 
 
-_SURVIVOR = "set long, n long, spread double, shared array<bigint>, rare array<bigint>"
+_SURVIVOR = "set long, n long, spread double, shared array<bigint>, rare array<bigint>, bits array<bigint>"
 
 
 def _survivors(blobs: DataFrame, parts: int, percent: int) -> DataFrame:
-    """Sets that can link: their shared members and, of these, the rarest that any link must meet."""
+    """Sets that can link: their shared members, the groups of the rarest of these that any link must
+    meet, and ``BITS`` parities of the numbers of shared members by hash."""
 
     def gather(bodies: list[bytes]) -> Iterator[pa.RecordBatch]:
-        cols: list[list[np.ndarray]] = [[], [], [], []]
+        cols: list[list[np.ndarray]] = [[], [], [], [], []]
         for body in bodies:
-            names, n, runs, h, times = _unpacked(body)
+            names, n, runs, h, times, group = _unpacked(body)
             runs = runs.astype(np.int64)
-            for c, a in zip(cols, (np.repeat(names, runs), np.repeat(n, runs), h, times), strict=True):
+            for c, a in zip(cols, (np.repeat(names, runs), np.repeat(n, runs), h, times, group), strict=True):
                 c.append(a)
-        name, n, h, times = (np.concatenate(c) for c in cols)
+        name, n, h, times, group = (np.concatenate(c) for c in cols)
         order = np.lexsort((h, times, name))
-        name, n, h, times = name[order], n[order].astype(np.int64), h[order], times[order]
+        name, n, h, times, group = name[order], n[order].astype(np.int64), h[order], times[order], group[order]
         starts, shared = _runs(name)
         size = n[starts]
         fit = 100 * shared >= percent * size
@@ -229,6 +236,11 @@ def _survivors(blobs: DataFrame, parts: int, percent: int) -> DataFrame:
         rare = np.maximum(0, miss + 1 - (size - shared))
         rank = np.arange(len(name)) - np.repeat(starts, shared)
         low = keep & (rank < np.repeat(rare, shared))
+        owner = np.repeat(np.cumsum(fit) - 1, shared)  # number of the set among those that fit
+        opened = np.unique((owner[low].astype(np.uint64) << np.uint64(32)) | group[low])
+        n_opened = np.bincount((opened >> np.uint64(32)).astype(np.int64), minlength=int(fit.sum()))
+        parity = np.bincount(owner[keep] * BITS + (h[keep] % np.uint64(BITS)).astype(np.int64), minlength=int(fit.sum()) * BITS) % 2
+        bits = np.packbits(parity.astype(np.uint8)).view("<i8")
         total = np.add.reduceat(times, starts).astype(np.float64)[fit] / size[fit]
         offsets = lambda x: pa.array(np.concatenate([[0], np.cumsum(x)]), pa.int32())
         longs = lambda x: pa.array(x.astype(np.int64))
@@ -236,9 +248,10 @@ def _survivors(blobs: DataFrame, parts: int, percent: int) -> DataFrame:
             [
                 longs(name[starts][fit]), longs(size[fit]), pa.array(total),
                 pa.ListArray.from_arrays(offsets(shared[fit]), longs(h[keep])),
-                pa.ListArray.from_arrays(offsets(np.minimum(rare, shared)[fit]), longs(h[low])),
+                pa.ListArray.from_arrays(offsets(n_opened), longs(opened & np.uint64((1 << 32) - 1))),
+                pa.ListArray.from_arrays(offsets(np.full(int(fit.sum()), BITS // 64)), pa.array(bits)),
             ],
-            names=["set", "n", "spread", "shared", "rare"],
+            names=["set", "n", "spread", "shared", "rare", "bits"],
         )
 
     dealt, run = _by_part(blobs, parts, gather)
@@ -253,21 +266,36 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select(*pairs.columns, "both", (F.col("_n") - F.col("both")).alias("either"))
 
 
+def _possible(a, b, percent: int):
+    """Can two sets (structs with ``n``, ``lone``, ``bits``) be linked? Never false for linked sets.
+
+    Members that no other set has, and bits in which the parities differ, count members of one set only.
+    """
+    apart = F.aggregate(
+        F.arrays_zip(a["bits"].alias("u"), b["bits"].alias("v")), F.lit(0), lambda t, z: t + F.bit_count(z["u"].bitwiseXOR(z["v"]))
+    )
+    apart = F.greatest(apart + a["lone"] + b["lone"], F.abs(a["n"] - b["n"]))
+    return (100 + percent) * apart <= (100 - percent) * (a["n"] + b["n"])
+
+
 def _roots(sets: DataFrame, percent: int) -> DataFrame:
     """``node, root``: the class of every set that can link, named by its least set.
 
     ``class`` is what is known of a set's class so far. Only sets of different classes are ever
-    compared, but for distances to pivots; a region whose sets are of one class is done.
+    compared, but for distances to first pivots; a region whose sets are of one class is done. Pairs that
+    sizes, lone members and parity bits rule out are dropped before any members meet.
     """
     r = 1 - percent / 100
+    scratch = Scratch()
     linked = F.col("both") * 100 >= F.col("either") * percent
     # linked sets are at most one step of this scale apart in size: each goes to its step and the one below
     step = F.floor(F.ln("n") / math.log(100 / percent * 1.0001))
-    every = sets.select(F.explode("rare").alias("h"), step.alias("b"), "set", "spread").select(
-        "h", F.explode(F.array("b", F.col("b") - 1)).alias("b"), "set", "spread"
-    )
-    every = every.select(F.xxhash64("h", "b").alias("s"), F.col("set").alias("x"), F.col("set").alias("class"), "spread")
-    regions = materialised(every, "regions")
+    every = sets.select(F.explode("rare").alias("h"), step.alias("b"), F.col("set").alias("x"))
+    every = every.select(F.explode(F.array(F.xxhash64("h", "b"), F.xxhash64("h", F.col("b") - 1))).alias("s"), "x")
+    brief = F.struct("n", (F.col("n") - F.size("shared")).alias("lone"), "bits").alias("a")
+    briefs = scratch.write(sets.select(F.col("set").alias("x"), "spread", brief), "briefs")
+    filled = every.groupBy("s").agg(F.count("*").alias("c")).where("c > 1").select("s")
+    regions = scratch.write(every.join(filled, "s").select("s", "x", F.col("x").alias("class")), "regions")
     roots = sets.select(F.col("set").alias("node"), F.col("set").alias("root"))
     pivots = PIVOTS
     while True:
@@ -276,69 +304,70 @@ def _roots(sets: DataFrame, percent: int) -> DataFrame:
         head = sizes.groupBy("s").agg(
             F.sum("c").alias("n_all"), F.count("*").alias("n_classes"), F.max(F.when(F.col("c") > 1, F.struct("c", "class")))["class"].alias("major")
         ).where("n_classes > 1")
-        members = materialised(regions.join(head.select("s", "n_all", "major"), "s"), "members")
+        members = scratch.write(regions.join(head.select("s", "n_all", "major"), "s").join(briefs, "x"), "members")
+        scratch.drop(regions)
         if members.isEmpty():
+            scratch.drop(members, briefs)
             return roots
-        leaf = members.where(F.col("n_all") <= LEAF).groupBy("s").agg(F.collect_list(F.struct("x", "class")).alias("m"))
-        leaf = leaf.select("m", F.explode("m").alias("a")).select("a", F.explode("m").alias("b"))
-        leaf = leaf.where("a.x < b.x AND a.class <> b.class").select(
-            F.col("a.x").alias("x"), F.col("b.x").alias("p"), F.col("a.class").alias("class"), F.col("b.class").alias("p_class")
+        leaf = members.where(F.col("n_all") <= LEAF).groupBy("s").agg(F.collect_list(F.struct("x", "class", "a")).alias("m"))
+        leaf = leaf.select("m", F.explode("m").alias("u")).select(
+            "u", F.explode(F.filter("m", lambda v: (F.col("u.x") < v["x"]) & (F.col("u.class") != v["class"]) & _possible(F.col("u.a"), v["a"], percent))).alias("v")
         )
+        leaf = leaf.select(F.col("u.x").alias("x"), F.col("v.x").alias("p"), F.col("u.class").alias("class"), F.col("v.class").alias("p_class"))
         wide = members.where(F.col("n_all") > LEAF)
         rank = F.row_number().over(Window.partitionBy("s").orderBy(F.desc("spread"), "x"))
-        picks = materialised(wide.where("major IS NULL OR class <> major").withColumn("rank", rank).where(F.col("rank") <= pivots), "pivots")
-        outs = picks.groupBy("s").agg(F.sort_array(F.collect_list(F.struct("rank", "x", "class"))).alias("outs"))  # at most ``pivots``
-        faced = materialised(wide.select("s", "x", "class", "spread").join(outs, "s"), "faced")
-        # the regions of a set mostly have the same pivots: equal lists, then equal pivots, are one
-        lists = faced.groupBy("x", "class").agg(F.collect_set("outs").alias("outs"))
-        far_pairs = lists.select("x", "class", F.explode(F.array_distinct(F.flatten(F.transform("outs", _bare)))).alias("o"))
-        far_pairs = far_pairs.select("x", F.col("o.x").alias("p"), "class", F.col("o.class").alias("p_class")).where("class <> p_class")
-        firsts = faced.select("x", F.col("outs")[0]["x"].alias("p"), "class", F.col("outs")[0]["class"].alias("p_class")).where("x <> p")
-        pairs = leaf.unionByName(far_pairs).unionByName(firsts).distinct()
-        seen = materialised(_compared(pairs, sets), "distances")
-        joins = seen.where(linked & (F.col("class") != F.col("p_class"))).select(F.col("class").alias("x"), F.col("p_class").alias("p")).distinct()
-        joins = materialised(joins, "joins")
+        picks = wide.where("major IS NULL OR class <> major").withColumn("rank", rank).where(F.col("rank") <= pivots)
+        picks = scratch.write(picks.select("s", F.col("x").alias("p"), F.col("class").alias("p_class"), F.col("a").alias("p_a"), "rank"), "pivots")
+        faced = wide.select("s", "x", "class", "a").join(
+            picks, (wide["s"] == picks["s"]) & (F.col("x") != F.col("p")) & ((F.col("rank") == 1) | ((F.col("class") != F.col("p_class")) & _possible(F.col("a"), F.col("p_a"), percent)))
+        )
+        pairs = leaf.unionByName(faced.select("x", "p", "class", "p_class")).distinct()
+        seen = scratch.write(_compared(pairs, sets), "distances")
+        joins = scratch.write(
+            seen.where(linked & (F.col("class") != F.col("p_class"))).select(F.col("class").alias("x"), F.col("p_class").alias("p")).distinct(), "joins"
+        )
         far = seen.select("x", "p", (1 - F.col("both") / F.col("either")).alias("d"))
-        left = faced.select("s", "x", "class", "spread", F.col("outs")[0]["x"].alias("p"), F.col("outs")[0]["class"].alias("p_class"))
-        left = left.join(picks.select("s", "x"), ["s", "x"], "left_anti").join(far, ["x", "p"]).drop("p")
+        left = wide.select("s", "x", "class").join(picks.where("rank = 1").select("s", "p", "p_class"), "s")
+        left = left.join(picks.select("s", F.col("p").alias("x")), ["s", "x"], "left_anti").join(far, ["x", "p"]).drop("p")
         if not joins.isEmpty():
-            merged = components(joins)
+            merged = scratch.write(components(joins), "merged")
             known = lambda c: merged.select(F.col("node").alias(c), F.col("root").alias(f"{c}_to"))
-            roots = materialised(roots.join(known("root"), "root", "left").select("node", F.coalesce("root_to", "root").alias("root")), "roots")
+            before = roots
+            roots = scratch.write(roots.join(known("root"), "root", "left").select("node", F.coalesce("root_to", "root").alias("root")), "roots")
+            scratch.drop(before)
             for c in ("class", "p_class"):
                 left = left.join(known(c), c, "left").withColumn(c, F.coalesce(f"{c}_to", c)).drop(f"{c}_to")
-        left = materialised(left, "measured")
+        left = scratch.write(left, "measured")
         # of the first pivot's own class stay those that the others' window reaches
         edge = left.where("class <> p_class").groupBy("s").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-        regions = materialised(
+        regions = scratch.write(
             left.join(edge, "s")
             .where(f"class <> p_class OR (d >= lo - {r} - 1e-9 AND d <= hi + {r} + 1e-9)")
-            .select("s", "x", "class", "spread"),
+            .select("s", "x", "class"),
             "regions",
         )
+        scratch.drop(members, picks, seen, joins, left)
         pivots = min(4 * pivots, MOST_PIVOTS)  # sets that resist are few or far from all: face them together
 
 
-def _bare(outs):
-    """A list of pivots without their ranks, which differ from region to region."""
-    return F.transform(outs, lambda o: F.struct(o["x"].alias("x"), o["class"].alias("class")))
-
-
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of a link: the least node it is connected with."""
-    ways = materialised(links.select("x", "p").unionByName(links.select(F.col("p").alias("x"), F.col("x").alias("p"))), "ways")
-    now = materialised(ways.groupBy(F.col("x").alias("node")).agg(F.least(F.min("p"), F.col("x")).alias("root")), "roots")
+    scratch = Scratch()
+    ways = scratch.write(links.select("x", "p").unionByName(links.select(F.col("p").alias("x"), F.col("x").alias("p"))), "ways")
+    now = scratch.write(ways.groupBy(F.col("x").alias("node")).agg(F.least(F.min("p"), F.col("x")).alias("root")), "roots")
     while True:
         low = ways.join(now, ways.p == now.node).groupBy("x").agg(F.min("root").alias("low"))
         step = now.join(low, now.node == low.x).select("node", F.col("root").alias("was"), F.least("root", "low").alias("root"))
-        step = materialised(step, "roots")
+        step = scratch.write(step, "roots")
         jump = step.select(F.col("node").alias("at"), F.col("root").alias("further"))
-        after = materialised(
+        after = scratch.write(
             step.join(jump, step.root == jump["at"]).select("node", "was", F.least("root", "further").alias("root")), "roots"
         )
+        scratch.drop(step, now)
         if after.where("root <> was").isEmpty():
+            scratch.drop(ways)
             return after.select("node", "root")
-        now = after.select("node", "root")
+        now = after
 
 
 def classes(docs: DataFrame, percent: int = 75, key: str = "doc_id") -> DataFrame:
@@ -348,12 +377,14 @@ def classes(docs: DataFrame, percent: int = 75, key: str = "doc_id") -> DataFram
     members = named.where("n > 0").select("set", "n").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = max(1, -(-members // PART))
     blobs = _members(docs, parts)
-    sets = materialised(_survivors(_support(blobs, parts, percent), parts, percent), "survivors")
+    scratch = Scratch()
+    sets = scratch.write(_survivors(_support(blobs, parts, percent), parts, percent), "survivors")
     roots = _roots(sets, percent)
     least = named.where("n > 0").groupBy("set").agg(F.min(key).alias("least"))
     rooted = materialised(
         least.join(roots, least.set == roots.node, "left").select("set", F.coalesce("root", "set").alias("root"), "least"), "rooted"
     )
+    scratch.drop(sets)
     of_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_set = rooted.join(of_root, "root").select(F.col("set"), "component_id")
     full = named.where("n > 0").join(of_set, "set").select(key, F.col("n").alias("n_shingles"), "component_id")
