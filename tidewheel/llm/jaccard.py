@@ -347,7 +347,7 @@ def _roots(sets: DataFrame, percent: int) -> DataFrame:
             "regions",
         )
         scratch.drop(members, picks, seen, joins, left)
-        pivots = min(4 * pivots, MOST_PIVOTS)  # sets that resist are few or far from all: face them together
+        pivots = min(16 * pivots, MOST_PIVOTS)  # sets that resist are few or far from all: face them together
 
 
 def components(links: DataFrame) -> DataFrame:
