@@ -89,6 +89,36 @@ def test_jaccard_large_group_takes_few_comparisons(spark, monkeypatch):
     assert sum(seen) < 300 * 299 / 2 / 10
 
 
+def linked_by(spark, monkeypatch, texts):
+    """Classes, and the number of comparisons."""
+    seen = []
+    plain = jaccard._compared
+    monkeypatch.setattr(jaccard, "_compared", lambda pairs, sets: (seen.append(pairs.count()), plain(pairs, sets))[1])
+    found = jaccard.classes(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()}, sum(seen)
+
+
+def test_jaccard_similar_texts_that_do_not_link(spark, monkeypatch):
+    """Each text has four words of its own: all share most shingles, next to none link."""
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(100)]
+    texts = {}
+    for k in range(400):
+        copy = list(base)
+        for at in rng.sample(range(100), 4):
+            copy[at] = f"own{k}x{at}"
+        texts[k] = " ".join(copy)
+    got, compared = linked_by(spark, monkeypatch, texts)
+    assert got == classes_of(texts) and compared <= 20 * len(texts)
+
+
+def test_jaccard_chain(spark, monkeypatch):
+    """Every text links with its neighbours only, and all are one class."""
+    texts = {k: " ".join(f"w{3 * k + i}" for i in range(60)) for k in range(200)}
+    got, compared = linked_by(spark, monkeypatch, texts)
+    assert got == classes_of(texts) and {c for _, c in got.values()} == {0} and compared <= 20 * len(texts)
+
+
 def test_shingle_sets_match_python():
     texts = ["", None, "a", "a b c d e", "A b  C\nd e f", " x ", "é ü b c d e", "a b c d e f a b c d e f", "\x1c a\x1cb"]
     sizes, names = [], []

@@ -11,9 +11,9 @@ link to it and need no comparison for their class to be known.
 3. *Regions.* Of two linked sets, the ``n / 4 + 1`` rarest members of each share one. Each such
    member spans a region of the sets of like size that have it among theirs; members with the same holders span one
    region together. In a region the set whose members are most widely shared is the pivot, and distances to it are
-   exact. Its cell, the sets within ``r``, joins one class. The other sets go into the region of the next pivots, more of them each
-   round, together with *border* sets of the first pivot's class whose distance lies within the window of the triangle
-   inequality. Sets known to be of one class are not compared again, and a region of one class is
+   exact. Its cell, the sets within ``r``, joins one class. The sets outside are faced in turn, more of them each
+   round, by each other and by the *border* of the cell: sets whose distance to the pivot differs by at most ``r``.
+   Sets known to be of one class are not compared again, and a region without sets outside is
    done. Small regions are joined directly. Before members of two sets meet, the pair must pass a bound on their
    difference: sizes, members that nobody else has, and parities of member counts by hash (each differing parity is a
    member of one set only). Similar texts that do not link are told apart by it without comparison.
@@ -48,7 +48,8 @@ from tidewheel.sources.sinks import Scratch, materialised
 PART = 1_000_000  # members in one part of a shuffle
 LEAF = 64
 BITS = 256
-PIVOTS, MOST_PIVOTS = 1, 1024  # of a region, in the first round and later
+PIVOTS, MOST_PIVOTS = 16, 1024  # sets of a region that the others face, in the first round and later
+STEP = 8  # sizes of one region's sets differ by this factor at most
 BLOB = "part int, body binary"
 _BLOB = pa.schema([("part", pa.int32()), ("body", pa.binary())])
 
@@ -281,75 +282,81 @@ def _possible(a, b, percent: int):
 def _roots(sets: DataFrame, percent: int) -> DataFrame:
     """``node, root``: the class of every set that can link, named by its least set.
 
-    ``class`` is what is known of a set's class so far. Only sets of different classes are ever
-    compared, but for distances to first pivots; a region whose sets are of one class is done. Pairs that
-    sizes, lone members and parity bits rule out are dropped before any members meet.
+    Only sets of different classes are compared after the distances to the pivots, and no pair of a region
+    twice. Pairs that sizes, lone members, parity bits or the triangle inequality rule out are dropped before
+    any members meet. A region is done when it holds no set outside its pivot's class.
     """
     r = 1 - percent / 100
     scratch = Scratch()
     linked = F.col("both") * 100 >= F.col("either") * percent
-    # linked sets are at most one step of this scale apart in size: each goes to its step and the one below
-    step = F.floor(F.ln("n") / math.log(100 / percent * 1.0001))
-    every = sets.select(F.explode("rare").alias("h"), step.alias("b"), F.col("set").alias("x"))
-    every = every.select(F.explode(F.array(F.xxhash64("h", "b"), F.xxhash64("h", F.col("b") - 1))).alias("s"), "x")
+    # regions hold sets of like size: a set near the lower end of a step also goes to the one below
+    step = lambda n: F.floor(F.ln(n) / math.log(STEP))
+    steps = F.array_distinct(F.array(step(F.col("n")), step(F.col("n") * (percent / 100 * 0.9999))))
+    every = sets.select(F.explode("rare").alias("h"), steps.alias("b"), F.col("set").alias("x"))
+    every = every.select("h", F.explode("b").alias("b"), "x").select(F.xxhash64("h", "b").alias("s"), "x")
     brief = F.struct("n", (F.col("n") - F.size("shared")).alias("lone"), "bits").alias("a")
     briefs = scratch.write(sets.select(F.col("set").alias("x"), "spread", brief), "briefs")
-    filled = every.groupBy("s").agg(F.count("*").alias("c")).where("c > 1").select("s")
-    regions = scratch.write(every.join(filled, "s").select("s", "x", F.col("x").alias("class")), "regions")
+    regions = scratch.write(every, "regions")
+    sizes = regions.groupBy("s").agg(F.count("*").alias("n_all")).where("n_all > 1")
+    members = scratch.write(regions.join(sizes, "s").join(briefs, "x"), "members")
+    scratch.drop(regions)
+
+    leaf = members.where(F.col("n_all") <= LEAF).groupBy("s").agg(F.collect_list(F.struct("x", "a")).alias("m"))
+    leaf = leaf.select("m", F.explode("m").alias("u")).select(
+        F.col("u.x").alias("x"),
+        F.explode(F.filter("m", lambda v: (F.col("u.x") < v["x"]) & _possible(F.col("u.a"), v["a"], percent))).alias("v"),
+    )
+    wide = members.where(F.col("n_all") > LEAF)
+    firsts = wide.groupBy("s").agg((-F.max(F.struct("spread", (-F.col("x")).alias("y")))["y"]).alias("p"))
+    firsts = scratch.write(firsts, "pivots")
+    faced = wide.join(firsts, "s").where("x <> p")
+    pairs = leaf.select("x", F.col("v.x").alias("p")).unionByName(faced.select("x", "p")).distinct()
+    seen = scratch.write(_compared(pairs, sets), "distances")
+    far = seen.select("x", "p", (1 - F.col("both") / F.col("either")).alias("d"))
+    rest = scratch.write(faced.join(far, ["x", "p"]).select("s", "x", "spread", "a", "d"), "measured")
     roots = sets.select(F.col("set").alias("node"), F.col("set").alias("root"))
+    joins = scratch.write(seen.where(linked).select("x", "p"), "joins")
+    roots = _merged(roots, joins, scratch)
+    scratch.drop(members, seen, joins, briefs)
+
     pivots = PIVOTS
     while True:
-        # the largest class of each region, if it has two sets or more, takes no pivot: the others face it
-        sizes = regions.groupBy("s", "class").agg(F.count("*").alias("c"))
-        head = sizes.groupBy("s").agg(
-            F.sum("c").alias("n_all"), F.count("*").alias("n_classes"), F.max(F.when(F.col("c") > 1, F.struct("c", "class")))["class"].alias("major")
-        ).where("n_classes > 1")
-        members = scratch.write(regions.join(head.select("s", "n_all", "major"), "s").join(briefs, "x"), "members")
-        scratch.drop(regions)
-        if members.isEmpty():
-            scratch.drop(members, briefs)
+        own = firsts.join(roots, firsts.p == roots.node).select("s", F.col("root").alias("p_class"))
+        now = rest.join(roots.select(F.col("node").alias("x"), F.col("root").alias("class")), "x").join(own, "s")
+        outside = now.where("class <> p_class").groupBy("s").agg(F.count("*").alias("n_out"), F.min("d").alias("lo"), F.max("d").alias("hi"))
+        # of the pivot's class stay those that the window of some other set reaches
+        reached = f"class <> p_class OR (d >= lo - {r} - 1e-9 AND d <= hi + {r} + 1e-9)"
+        now = scratch.write(now.join(outside, "s").where(reached).drop("lo", "hi"), "facing")
+        scratch.drop(rest)
+        if now.isEmpty():
+            scratch.drop(now, firsts)
             return roots
-        leaf = members.where(F.col("n_all") <= LEAF).groupBy("s").agg(F.collect_list(F.struct("x", "class", "a")).alias("m"))
-        leaf = leaf.select("m", F.explode("m").alias("u")).select(
-            "u", F.explode(F.filter("m", lambda v: (F.col("u.x") < v["x"]) & (F.col("u.class") != v["class"]) & _possible(F.col("u.a"), v["a"], percent))).alias("v")
-        )
-        leaf = leaf.select(F.col("u.x").alias("x"), F.col("v.x").alias("p"), F.col("u.class").alias("class"), F.col("v.class").alias("p_class"))
-        wide = members.where(F.col("n_all") > LEAF)
         rank = F.row_number().over(Window.partitionBy("s").orderBy(F.desc("spread"), "x"))
-        picks = wide.where("major IS NULL OR class <> major").withColumn("rank", rank).where(F.col("rank") <= pivots)
-        picks = scratch.write(picks.select("s", F.col("x").alias("p"), F.col("class").alias("p_class"), F.col("a").alias("p_a"), "rank"), "pivots")
-        faced = wide.select("s", "x", "class", "a").join(
-            picks, (wide["s"] == picks["s"]) & (F.col("x") != F.col("p")) & ((F.col("rank") == 1) | ((F.col("class") != F.col("p_class")) & _possible(F.col("a"), F.col("p_a"), percent)))
-        )
-        pairs = leaf.unionByName(faced.select("x", "p", "class", "p_class")).distinct()
+        picks = now.where("class <> p_class").withColumn("rank", rank).where(F.col("rank") <= pivots)
+        picks = picks.select("s", F.col("x").alias("p"), F.col("class").alias("q_class"), F.col("a").alias("q_a"), F.col("d").alias("q_d"))
+        picks = scratch.write(picks, "picks")
+        met = (now["s"] == picks["s"]) & (F.col("class") != F.col("q_class")) & (F.abs(F.col("d") - F.col("q_d")) <= r + 1e-9)
+        pairs = now.join(picks, met & _possible(F.col("a"), F.col("q_a"), percent)).select("x", "p", "class", "q_class").distinct()
         seen = scratch.write(_compared(pairs, sets), "distances")
-        joins = scratch.write(
-            seen.where(linked & (F.col("class") != F.col("p_class"))).select(F.col("class").alias("x"), F.col("p_class").alias("p")).distinct(), "joins"
-        )
-        far = seen.select("x", "p", (1 - F.col("both") / F.col("either")).alias("d"))
-        left = wide.select("s", "x", "class").join(picks.where("rank = 1").select("s", "p", "p_class"), "s")
-        left = left.join(picks.select("s", F.col("p").alias("x")), ["s", "x"], "left_anti").join(far, ["x", "p"]).drop("p")
-        if not joins.isEmpty():
-            merged = scratch.write(components(joins), "merged")
-            known = lambda c: merged.select(F.col("node").alias(c), F.col("root").alias(f"{c}_to"))
-            before = roots
-            roots = scratch.write(roots.join(known("root"), "root", "left").select("node", F.coalesce("root_to", "root").alias("root")), "roots")
-            scratch.drop(before)
-            for c in ("class", "p_class"):
-                left = left.join(known(c), c, "left").withColumn(c, F.coalesce(f"{c}_to", c)).drop(f"{c}_to")
-        left = scratch.write(left, "measured")
-        # of the first pivot's own class stay those that the others' window reaches
-        edge = left.where("class <> p_class").groupBy("s").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-        regions = scratch.write(
-            left.join(edge, "s")
-            .where(f"class <> p_class OR (d >= lo - {r} - 1e-9 AND d <= hi + {r} + 1e-9)")
-            .select("s", "x", "class"),
-            "regions",
-        )
-        scratch.drop(members, picks, seen, joins, left)
+        joins = scratch.write(seen.where(linked).select(F.col("class").alias("x"), F.col("q_class").alias("p")).distinct(), "joins")
+        roots = _merged(roots, joins, scratch)
+        rest = now.where(F.col("n_out") > pivots).join(picks.select("s", F.col("p").alias("x")), ["s", "x"], "left_anti")
+        rest = scratch.write(rest.select("s", "x", "spread", "a", "d"), "measured")
+        scratch.drop(now, picks, seen, joins)
         pivots = min(16 * pivots, MOST_PIVOTS)  # sets that resist are few or far from all: face them together
 
 
+def _merged(roots: DataFrame, joins: DataFrame, scratch: Scratch) -> DataFrame:
+    """``roots`` after the classes ``x, p`` of each row of ``joins`` became one."""
+    if joins.isEmpty():
+        return roots
+    found = components(joins)
+    to = found.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    new = scratch.write(roots.join(to, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "roots")
+    scratch.drop(roots)
+    return new
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of a link: the least node it is connected with."""
     scratch = Scratch()
