@@ -1,8 +1,8 @@
 """Token ids of texts from a tokenizer file, with a bounded memory of pieces seen before.
 
-A pre-tokenizer cuts a text into pieces that get the same ids wherever they stand, so a piece is
-encoded once and its ids are joined as bytes afterwards. Texts of ASCII and Latin letters are cut
-here and their pieces go to the library's model; runs between spaces of any other text go through
+A pre-tokenizer cuts a text into pieces that get the same ids wherever they stand, and no piece holds a
+space, so a word is encoded once and its ids are joined as bytes afterwards. Words of texts of ASCII and Latin
+letters are cut here and their pieces go to the library's model; runs between spaces of any other text go through
 the whole library. The memory lives as long as the worker process; when it is full it is emptied,
 which costs time, never a result.
 """
@@ -51,16 +51,20 @@ class WordEncoder:
         return [b"".join([written[i] for i in e.ids]) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _cut(self, text: str) -> bytes:
-        pieces = _PIECE.findall(text.lower())
+        """Word by word: no piece reaches over a space, so a word's ids are those of its pieces."""
+        words = text.lower().split()
         try:
-            return b"".join(map(self.known.__getitem__, pieces))
+            return b"".join(map(self.known.__getitem__, words))
         except KeyError:
-            known, written, tokenize = self.known, self.written, self.model.tokenize
-            for piece in pieces:
-                if piece not in known:
-                    spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_SPELLED)
-                    known[piece] = b"".join([written[t.id] for t in tokenize(spelled)])
-            return b"".join(map(known.__getitem__, pieces))
+            known = self.known
+            for word in words:
+                if word not in known:
+                    known[word] = b"".join(map(self._piece, _PIECE.findall(word)))
+            return b"".join(map(known.__getitem__, words))
+
+    def _piece(self, piece: str) -> bytes:
+        spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_SPELLED)
+        return b"".join([self.written[t.id] for t in self.model.tokenize(spelled)])
 
     def _runs(self, text: str) -> bytes:
         """Run by run between ASCII spaces; a run's key cannot be a piece's, which has no NUL in front."""
