@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.llm.shingles import mix, shingle_sets
 from tidewheel.llm.words import has_column
-from tidewheel.sources.sinks import Scratch, materialised
+from tidewheel.sources.sinks import Scratch, broadcast_hint, materialised
 
 PART = 1_000_000  # members in one part of a shuffle
 LEAF = 64
@@ -260,10 +260,16 @@ def _survivors(blobs: DataFrame, parts: int, percent: int) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (``x, p`` and more) with ``both, either``: exact sizes of intersection and union."""
+    """``pairs`` (``x, p`` and more) with ``both, either``: exact sizes of intersection and union.
+
+    Members move as little as can be: the written pairs go to the sets if their measured size allows (else both
+    are shuffled), and of the other side only the sets that are some pair's ``p``.
+    """
     side = lambda k: sets.select(F.col("set").alias(k), F.col("n").alias(f"n_{k}"), F.col("shared").alias(f"s_{k}"))
     both = F.size(F.array_intersect("s_x", "s_p")).cast("long")
-    met = pairs.join(side("x"), "x").join(side("p"), "p").select(*pairs.columns, both.alias("both"), (F.col("n_x") + F.col("n_p")).alias("_n"))
+    hint = broadcast_hint(pairs)
+    pivots = side("p").join(hint(pairs.select("p").distinct()), "p", "left_semi")
+    met = side("x").join(hint(pairs), "x").join(pivots, "p").select(*pairs.columns, both.alias("both"), (F.col("n_x") + F.col("n_p")).alias("_n"))
     return met.select(*pairs.columns, "both", (F.col("_n") - F.col("both")).alias("either"))
 
 
@@ -310,14 +316,14 @@ def _roots(sets: DataFrame, percent: int) -> DataFrame:
     firsts = wide.groupBy("s").agg((-F.max(F.struct("spread", (-F.col("x")).alias("y")))["y"]).alias("p"))
     firsts = scratch.write(firsts, "pivots")
     faced = wide.join(firsts, "s").where("x <> p")
-    pairs = leaf.select("x", F.col("v.x").alias("p")).unionByName(faced.select("x", "p")).distinct()
+    pairs = scratch.write(leaf.select("x", F.col("v.x").alias("p")).unionByName(faced.select("x", "p")).distinct(), "pairs")
     seen = scratch.write(_compared(pairs, sets), "distances")
     far = seen.select("x", "p", (1 - F.col("both") / F.col("either")).alias("d"))
     rest = scratch.write(faced.join(far, ["x", "p"]).select("s", "x", "spread", "a", "d"), "measured")
     roots = sets.select(F.col("set").alias("node"), F.col("set").alias("root"))
     joins = scratch.write(seen.where(linked).select("x", "p"), "joins")
     roots = _merged(roots, joins, scratch)
-    scratch.drop(members, seen, joins, briefs)
+    scratch.drop(members, pairs, seen, joins, briefs)
 
     pivots = PIVOTS
     while True:
@@ -337,12 +343,13 @@ def _roots(sets: DataFrame, percent: int) -> DataFrame:
         picks = scratch.write(picks, "picks")
         met = (now["s"] == picks["s"]) & (F.col("class") != F.col("q_class")) & (F.abs(F.col("d") - F.col("q_d")) <= r + 1e-9)
         pairs = now.join(picks, met & _possible(F.col("a"), F.col("q_a"), percent)).select("x", "p", "class", "q_class").distinct()
+        pairs = scratch.write(pairs, "pairs")
         seen = scratch.write(_compared(pairs, sets), "distances")
         joins = scratch.write(seen.where(linked).select(F.col("class").alias("x"), F.col("q_class").alias("p")).distinct(), "joins")
         roots = _merged(roots, joins, scratch)
         rest = now.where(F.col("n_out") > pivots).join(picks.select("s", F.col("p").alias("x")), ["s", "x"], "left_anti")
         rest = scratch.write(rest.select("s", "x", "spread", "a", "d"), "measured")
-        scratch.drop(now, picks, seen, joins)
+        scratch.drop(now, picks, pairs, seen, joins)
         pivots = min(16 * pivots, MOST_PIVOTS)  # sets that resist are few or far from all: face them together
 
 
