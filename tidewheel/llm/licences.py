@@ -7,18 +7,29 @@ coefficient ``t`` only with templates of ``a * t / (2 - t)`` to ``a * (2 - t) /
 outside the bounds of all templates are dropped before their bigrams are formed, and a pair outside
 its own bounds is dropped before its counts are summed. One word is its own only bigram.
 
+A notice inside other prose is found by windows of as many bigrams as the template has: the
+coefficient of a window is the number of different template bigrams in it by that size. Of any
+``size - needed + 1`` bigrams of a template such a window holds one, so only texts with one of each
+template's longest so many (its anchors) are cut into places at all. Windows start where a bigram
+of the template stands, in word order over line breaks, and are counted in one sliding frame.
+
 Bigrams of the remaining passages meet the templates' bigrams in a hash join; templates are a fixed
 list whose size is known, so they are broadcast. What is shuffled is one count per passage and
 template that share a bigram, combined in each task first.
 
 Defined results: NULL and empty texts have no passage. Of templates that reach the threshold the
 highest coefficient counts, ties by name. A passage that is a line and a paragraph counts once, as
-the line. Repeated rows give repeated results. Extra columns are not read.
+the line. A window counts if its licence shows in no line, paragraph or whole text of the document:
+the best for each licence, the first of equals, ``place`` being its first word. Repeated rows give
+repeated results. Extra columns are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import math
+from collections import defaultdict
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewheel.llm.words import has_column
@@ -109,11 +120,15 @@ def words(flat: Column) -> Column:
     return F.filter(F.split(flat, "[ \n]+", -1), lambda w: w != "")
 
 
-def bigrams(words: Column) -> Column:
-    """Distinct neighbouring pairs; the word itself if there is but one."""
+def neighbours(words: Column) -> Column:
+    """Neighbouring pairs in order; the word itself if there is but one."""
     n = F.greatest(F.lit(1), F.size(words) - 1)
-    pairs = F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat_ws(" ", a, b))
-    return F.array_distinct(pairs)
+    return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat_ws(" ", a, b))
+
+
+def bigrams(words: Column) -> Column:
+    """Distinct neighbouring pairs."""
+    return F.array_distinct(neighbours(words))
 
 
 def template_bigrams(spark: SparkSession, templates: dict[str, tuple[str, ...]]) -> DataFrame:
@@ -124,20 +139,53 @@ def template_bigrams(spark: SparkSession, templates: dict[str, tuple[str, ...]])
     return frame.select("licence", "template", F.size("_b").alias("size"), F.explode("_b").alias("bigram"))
 
 
+def anchors(bigrams_of: dict[tuple[str, int], list[str]], threshold: float) -> list[str]:
+    """Bigrams of which every window that reaches the threshold holds one: per template its longest."""
+    out = set()
+    for pairs in bigrams_of.values():
+        spare = len(pairs) - math.ceil(threshold * len(pairs) - 1e-9)
+        out |= set(sorted(pairs, key=lambda b: (-len(b), b))[: spare + 1])
+    return sorted(out)
+
+
+def windows(texts: DataFrame, templates: DataFrame, threshold: float) -> DataFrame:
+    """Best window of each text and licence. ``texts``: ``doc_id, _row, _hash, text`` (flattened)."""
+    bigrams_of = defaultdict(list)
+    for r in templates.collect():  # a fixed list of a few hundred rows
+        bigrams_of[r["licence"], r["template"]].append(r["bigram"])
+    wanted = anchors(bigrams_of, threshold)
+    longest = sorted({max(b.split(" "), key=len) for b in wanted})
+    literal = lambda values: F.array(*[F.lit(v) for v in values])
+    worded = texts.select("doc_id", "_row", "_hash", words(F.col("text")).alias("_w")).where(F.arrays_overlap("_w", literal(longest)))
+    paired = worded.select("doc_id", "_row", "_hash", neighbours(F.col("_w")).alias("_b")).where(F.arrays_overlap("_b", literal(wanted)))
+    hits = paired.select("doc_id", "_row", "_hash", F.posexplode("_b").alias("place", "bigram")).join(F.broadcast(templates), "bigram")
+    # places by the size of the template: a frame short of one holds as many places as the template has bigrams
+    met = F.expr(
+        "size(collect_set(bigram) OVER (PARTITION BY _row, doc_id, _hash, licence, template ORDER BY place / size "
+        "RANGE BETWEEN CURRENT ROW AND 0.999999D FOLLOWING))"
+    )
+    counted = hits.withColumn("dice", met / F.col("size")).where(F.col("dice") >= threshold - 1e-9)
+    return (
+        counted.groupBy("doc_id", "_row", "_hash", "licence")
+        .agg(F.min_by(F.struct("template", "dice", "place"), F.struct(-F.col("dice"), "place", "template")).alias("best"))
+        .select("doc_id", "_hash", F.lit("window").alias("part"), "best.place", "licence", "best.template", "best.dice")
+    )
+
+
 def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, part, place, licence, template, dice``, one row for each passage with a licence.
 
-    ``part`` is line, paragraph or text; ``place`` counts from 0 within the text. Rows of ``docs``
+    ``part`` is line, paragraph, text or window; ``place`` counts from 0 within the text. Rows of ``docs``
     are told apart by their place in the input, so a repeated ``doc_id`` mixes nothing up.
     """
     has_column(docs, "doc_id", "text")
     t = template_bigrams(docs.sparkSession, templates)
     sizes = [r["size"] for r in t.select("size").distinct().collect()]  # as many as templates at most
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-    texts = docs.where(F.col("text") != "").select("doc_id", flattened(F.col("text")).alias("text"), F.monotonically_increasing_id().alias("_row"))
+    texts = docs.where(F.col("text") != "").select("doc_id", F.xxhash64("text").alias("_hash"), flattened(F.col("text")).alias("text"), F.monotonically_increasing_id().alias("_row"))
     most = max(sizes) * high
     parts = texts.select(
-        "doc_id", "_row",
+        "doc_id", "_row", "_hash",
         F.split("text", "\n", -1).alias("_lines"),
         F.when(F.col("text").rlike("\n *\n"), F.split("text", "\n *\n[ \n]*", -1)).alias("_paragraphs"),
         F.when(F.col("text").contains("\n"), F.array("text")).alias("_text"),
@@ -150,29 +198,32 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, thr
         )
 
     listed = F.concat(numbered("line", "_lines"), numbered("paragraph", "_paragraphs"), numbered("text", "_text"))
-    passages = parts.select("doc_id", "_row", F.explode_outer(listed).alias("p")).select("doc_id", "_row", "p.*")
+    passages = parts.select("doc_id", "_row", "_hash", F.explode_outer(listed).alias("p")).select("doc_id", "_row", "_hash", "p.*")
     # lines are all formed; longer parts hold lines, and only those with a line break are new
     passages = passages.where((F.col("part") == "line") | F.col("passage").contains("\n")).where("passage <> ''")
-    worded = passages.select("doc_id", "_row", "part", "place", words(F.col("passage")).alias("_w"))
+    worded = passages.select("doc_id", "_row", "_hash", "part", "place", words(F.col("passage")).alias("_w"))
     # n different words make at least n - 1 different bigrams
     may = (F.size("_w") > 0) & (F.size(F.array_distinct("_w")) - 1 <= most)
-    paired = worded.select("doc_id", "_row", "part", "place", F.when(may, bigrams(F.col("_w"))).alias("_b"))
+    paired = worded.select("doc_id", "_row", "_hash", "part", "place", F.when(may, bigrams(F.col("_w"))).alias("_b"))
     fits = (F.size("_b") >= min(sizes) * low) & (F.size("_b") <= most)
     # a size that cannot be NULL: no NULL check of it is pushed down, to form all bigrams once more
     size = F.coalesce(F.size("_b"), F.lit(0))
-    paired = paired.select("doc_id", "_row", "part", "place", size.alias("_a"), F.when(fits, F.col("_b")).alias("_b"))
+    paired = paired.select("doc_id", "_row", "_hash", "part", "place", size.alias("_a"), F.when(fits, F.col("_b")).alias("_b"))
     # explode_outer: the filter that plain explode pushes down would form all bigrams twice
     hits = (
-        paired.select("doc_id", "_row", "part", "place", "_a", F.explode_outer("_b").alias("bigram"))
+        paired.select("doc_id", "_row", "_hash", "part", "place", "_a", F.explode_outer("_b").alias("bigram"))
         .join(F.broadcast(t), "bigram")  # a fixed list of a few hundred rows
         .where((F.col("size") >= F.col("_a") * low) & (F.col("size") <= F.col("_a") * high))
-        .groupBy("doc_id", "_row", "part", "place", "_a", "licence", "template", "size")
+        .groupBy("doc_id", "_row", "_hash", "part", "place", "_a", "licence", "template", "size")
         .agg(F.count("*").alias("_both"))
         .withColumn("dice", 2.0 * F.col("_both") / (F.col("_a") + F.col("size")))
         .where(F.col("dice") >= threshold)
     )
-    return (
-        hits.groupBy("doc_id", "_row", "part", "place")
+    passages = (
+        hits.groupBy("doc_id", "_row", "_hash", "part", "place")
         .agg(F.min_by(F.struct("licence", "template", "dice"), F.struct(-F.col("dice"), "licence", "template")).alias("best"))
-        .select("doc_id", "part", "place", "best.*")
+        .select("doc_id", "_hash", "part", "place", "best.*")
     )
+    found = passages.unionByName(windows(texts, t, threshold))
+    shown = F.max(F.col("part") != "window").over(Window.partitionBy("doc_id", "_hash", "licence"))  # a text's own results
+    return found.withColumn("_shown", shown).where("part <> 'window' OR NOT _shown").drop("_hash", "_shown")
