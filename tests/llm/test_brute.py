@@ -64,8 +64,9 @@ def varied(seed: int) -> dict[int, str]:
     return dict(enumerate(out))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_jaccard_classes(spark, seed):
+@pytest.mark.parametrize("seed, part", [(1, jaccard.PART), (2, jaccard.PART), (3, 400)])
+def test_jaccard_classes(spark, monkeypatch, seed, part):
+    monkeypatch.setattr(jaccard, "PART", part)
     texts = varied(seed)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.classes(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
     assert got == classes_of(texts)

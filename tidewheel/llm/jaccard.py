@@ -45,7 +45,9 @@ from tidewheel.llm.shingles import mix, shingle_sets
 from tidewheel.llm.words import has_column
 from tidewheel.sources.sinks import Scratch, broadcast_hint, materialised
 
-PART = 1_000_000  # members in one part of a shuffle
+PART = 4_000_000  # members in one part of a shuffle
+HELD = 4_000_000  # members that a task deals at a time
+TASKS = 50_000  # a task of a very large shuffle works on several parts, one after the other
 LEAF = 64
 BITS = 256
 PIVOTS, MOST_PIVOTS = 16, 1024  # sets of a region that the others face, in the first round and later
@@ -113,8 +115,8 @@ def _members(docs: DataFrame, parts: int) -> DataFrame:
         for s, length in zip(starts, lengths, strict=True):
             own = owner[s : s + length]
             used, index = np.unique(own, return_inverse=True)
-            hashes = h[s : s + length]
-            out.append((int(part[s]), _packed(name[used], n[used], index, np.diff(hashes, prepend=np.uint64(0)))))
+            above = h[s : s + length] // np.uint64(parts)  # what the part's number does not tell
+            out.append((int(part[s]), _packed(name[used], n[used], index, np.diff(above, prepend=np.uint64(0)), part[s : s + 1])))
         return _rows(out)
 
     def run(batches):
@@ -134,7 +136,7 @@ def _members(docs: DataFrame, parts: int) -> DataFrame:
                 held[1].append(sizes[fresh])
                 held[2].append(names[fresh])
                 size += int(sizes[fresh].sum())
-                if size >= 4 * PART:
+                if size >= HELD:
                     yield deal(*held)
                     held, size = ([], [], []), 0
         if size:
@@ -158,25 +160,31 @@ def _by_part(blobs: DataFrame, parts: int, work):
         if bodies:
             yield from work(bodies)
 
-    return blobs.repartition(parts, "part").sortWithinPartitions("part"), run
+    return blobs.repartition(min(parts, TASKS), "part").sortWithinPartitions("part"), run
 
 
 def _support(blobs: DataFrame, parts: int, percent: int) -> DataFrame:
     """Members that a set shares with one it may link to by size, with how many sets have them, dealt by set."""
 
     def count(bodies: list[bytes]) -> Iterator[pa.RecordBatch]:
-        h, name, size = [], [], []
+        h = []
         for body in bodies:
-            names, n, index, steps = _unpacked(body)
-            index = index.astype(np.int64)
-            h.append(np.cumsum(steps))
+            _, _, _, steps, part = _unpacked(body)
+            h.append(np.cumsum(steps) * np.uint64(parts) + part[0])
+        ends = np.cumsum([0, *map(len, h)])
+        h = np.concatenate(h)
+        order = np.argsort(h)
+        _, lengths = _runs(h[order])
+        twice = np.zeros(len(h), bool)
+        twice[order[np.repeat(lengths > 1, lengths)]] = True
+        del order, lengths
+        name, size = [], []
+        for body, at, to in zip(bodies, ends[:-1], ends[1:], strict=True):  # names of shared members only
+            names, n, index, _, _ = _unpacked(body)
+            index = index.astype(np.int64)[twice[at:to]]
             name.append(names[index])
             size.append(n[index])
-        h, name, size = np.concatenate(h), np.concatenate(name), np.concatenate(size)
-        order = np.argsort(h)
-        starts, lengths = _runs(h[order])
-        order = order[np.repeat(lengths > 1, lengths)]
-        h, name, size = h[order], name[order], size[order]
+        h, name, size = h[twice], np.concatenate(name), np.concatenate(size)
         order = np.lexsort((name, h))  # of shared members only
         h, name, size = h[order], name[order], size[order]
         if len(h):
