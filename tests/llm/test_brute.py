@@ -387,3 +387,29 @@ def test_host_rules(spark):
             assert (r.rule, r.verdict) == max(fits, key=lambda f: len(f[0]))
         else:
             assert r.rule is None and r.verdict in ("allow", "block")
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bin_completion_in_the_emptiest_sequences(seed):
+    """Thousands of pieces that best fit puts in more sequences than the bound: all placed once, none overfull, never more."""
+    rng = random.Random(seed)
+    lengths = []
+    for _ in range(700):
+        cuts = sorted(rng.sample(range(1, 2048), rng.choice([1, 2, 3])))
+        lengths += [b - a for a, b in zip([0, *cuts], [*cuts, 2048 - rng.randrange(2)], strict=True) if b > a]
+    rng.shuffle(lengths)
+    done = packing.bin_completion(lengths, 2048)
+    assert sorted(i for b in done for i in b) == list(range(len(lengths)))
+    assert all(sum(lengths[i] for i in b) <= 2048 for b in done)
+    assert packing.least_bins(lengths, 2048) <= len(done) <= len(packing.best_fit(lengths, 2048))
+
+
+def test_search_of_a_group_that_cannot_improve_ends():
+    """No filling leaves little enough room: the steps of one search are bounded, also while it looks for a first filling."""
+    rng = random.Random(5)
+    lengths = [2 * rng.randrange(300, 700) for _ in range(3000)]
+    steps = packing.Pieces(lengths)
+    steps.most = 5000
+    assert list(steps.fillings(2047, 0)) == [] and steps.steps <= 5000 + 8
+    done = packing.bin_completion(lengths, 2047)
+    assert sorted(i for b in done for i in b) == list(range(3000)) and len(done) <= len(packing.best_fit(lengths, 2047))

@@ -6,8 +6,9 @@ best-fit-decreasing solution (the incumbent). If that uses more sequences than a
 group is searched by branch and bound: take the largest piece left, go through the fillings of the
 rest of its sequence that no exchange betters, and give up a branch once its waste is above what one
 sequence less than the incumbent leaves. The search holds counts per length, so a step costs the same
-in a large group, and forms fillings as they are asked for, so none is left out. It ends after a number of steps that grows with
-the sequences of the group, and keeps the incumbent.
+in a large group, and forms fillings as they are asked for, so none is left out. First the emptiest sequences of the
+incumbent are searched for a solution with one less, more of them at a time (few large pieces and many small ones lie there),
+then the whole group. A search ends after a number of steps that grows with its sequences, and keeps the incumbent.
 Sequences that stay too empty at the end of a task are opened, and their pieces packed again in
 larger groups across tasks, once.
 
@@ -79,7 +80,7 @@ class Pieces:
     def __init__(self, lengths: list[int]):
         self.count = Counter(lengths)
         self.bits = sum(1 << x for x in self.count)
-        self.steps = 0
+        self.steps, self.most = 0, float("inf")
 
     def longest(self, most: int) -> int:
         """The longest length left up to ``most``; 0 if there is none."""
@@ -109,7 +110,7 @@ class Pieces:
     def _fillings(self, room: int, most: int, spare: int, skipped: int, chosen: list[tuple[int, int]]):
         least = (self.bits & -self.bits).bit_length() - 1
         x = self.longest(min(room, most))
-        while x:
+        while x and self.steps < self.most:
             have, fit = self.count[x], room // x
             may = spare if not skipped else min(spare, skipped - x - 1)  # else the skipped one in place of x
             for n in range(min(have, fit), 0, -1):
@@ -145,11 +146,33 @@ def bin_completion(lengths: list[int], size: int, steps: int = STEPS) -> list[li
     """As few bins as found: best fit, then branch and bound while that is above the lower bound."""
     best = best_fit(lengths, size)
     need = least_bins(lengths, size)
-    if len(best) <= need:
-        return best
-    total, fewest, solution = sum(lengths), len(best), None
+    while len(best) > need:
+        fewer = _emptiest_searched(best, lengths, size, steps)
+        if fewer is None:
+            return _searched(lengths, size, len(best), need, steps) or best
+        best = fewer
+    return best
+
+
+def _emptiest_searched(best: list[list[int]], lengths: list[int], size: int, steps: int) -> list[list[int]] | None:
+    """``best`` with one bin less by another filling of its emptiest bins, or ``None``."""
+    order = sorted(best, key=lambda b: sum(lengths[i] for i in b))
+    waste = list(accumulate(size - sum(lengths[i] for i in b) for b in order))
+    n = bisect_left(waste, size) + 1  # the fewest that could do with one less
+    while n < len(order):
+        own = [i for b in order[:n] for i in b]
+        theirs = [lengths[i] for i in own]
+        if least_bins(theirs, size) < n and (found := _searched(theirs, size, n, n - 1, max(1, steps // 5))):
+            return order[n:] + [[own[k] for k in b] for b in found]
+        n *= 2
+    return None
+
+
+def _searched(lengths: list[int], size: int, fewest: int, need: int, steps: int) -> list[list[int]] | None:
+    """Fewer than ``fewest`` bins by branch and bound, ``need`` at best; ``None`` if none is found."""
+    total, solution = sum(lengths), None
     pieces = Pieces(lengths)
-    most = 50 * steps + 256 * fewest  # formed fillings; a first descent takes a share for each bin
+    most = pieces.most = 50 * steps + 256 * fewest  # formed fillings; a first descent takes a share for each bin
     path: list[tuple[int, Iterator]] = []  # per open bin its longest piece and the fillings not yet tried
     filled: list[tuple[int, list[tuple[int, int]]]] = []
     waste = 0
@@ -185,7 +208,7 @@ def bin_completion(lengths: list[int], size: int, steps: int = STEPS) -> list[li
         if fewest <= need:
             break
     if solution is None:
-        return best
+        return None
     places = defaultdict(list)
     for i in range(len(lengths) - 1, -1, -1):
         places[lengths[i]].append(i)
