@@ -168,3 +168,22 @@ def test_pipeline_on_edges(spark, docs, none, folder):
     rows = corpus_pipeline.run(spark, f"{folder}/some").collect()
     assert {r.doc_id for r in rows} == {6}
     assert zlib.crc32(bytes(rows[0].ids)) and rows[0].offset == 0
+
+
+def test_stages_leave_columns_of_any_name_alone(spark, docs):
+    """Columns named like an operator's own helpers come out with their values."""
+    helpers = ["_row", "_place", "_w", "_cuts", "_stratum", "_kept", "_token", "_base", "_pii", "_spans", "_pii_row", "_built", "_masked", "_own", "a.b"]
+    plain = docs.select("doc_id", "text", "lang", "n_chars")
+    named = plain.select("*", *[F.concat(F.lit(f"{h}:"), F.coalesce("text", F.lit("")).substr(1, 9)).alias(h) for h in helpers])
+    labels = spark.createDataFrame([(6, 1, 0)], "doc_id long, quality int, toxic int")
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    stages = [lambda d: rules.kept(d, labels), jaccard.deduplicated, lambda d: decontam.cleaned(d, items), pii.masked]
+    for stage in stages:
+        out = stage(named)
+        assert out.columns == named.columns and out.schema["_row"].dataType.simpleString() == "string"
+        got = out.select(F.array(*[F.col(f"`{h}`") for h in helpers]).alias("v"), *plain.columns).collect()
+        if stage is not pii.masked:
+            assert all(list(r.v) == [f"{h}:{(r.text or '')[:9]}" for h in helpers] for r in got)
+        else:
+            assert all([v.split(":", 1)[0] for v in r.v] == helpers for r in got)
+        assert bag(out.select(*plain.columns), *plain.columns) == bag(stage(plain), *plain.columns)

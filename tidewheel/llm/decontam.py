@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.words import has_column
+from tidewheel.llm.words import brought_back, has_column, set_aside
 from tidewheel.sources.sinks import materialised
 
 WINDOW = 8
@@ -218,7 +218,8 @@ def _slots(suspects: DataFrame, numbered: DataFrame, items: DataFrame) -> DataFr
 
 def cleaned(docs: DataFrame, benchmark: DataFrame, needed: int = NEEDED) -> DataFrame:
     """``docs`` without documents that hold a benchmark item; all other rows and columns as they are."""
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    has_column(docs, "doc_id", "text")
+    numbered = set_aside(docs, "doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
     bad = materialised(_leaks(numbered.select("doc_id", "text", "_row"), benchmark, needed).select("_row").distinct(), "leaked")
-    return numbered.join(bad, "_row", "left_anti").select(*own)
+    rest = numbered.join(bad, "_row", "left_anti")
+    return rest.select(*brought_back(docs.columns, doc_id=F.col("doc_id"), text=F.col("text")))

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.llm.shingles import mix, shingle_sets
-from tidewheel.llm.words import has_column
+from tidewheel.llm.words import brought_back, has_column, set_aside
 from tidewheel.sources.sinks import Scratch, broadcast_hint, materialised
 
 PART = 4_000_000  # members in one part of a shuffle
@@ -417,8 +417,7 @@ def classes(docs: DataFrame, percent: int = 75, key: str = "doc_id") -> DataFram
 def deduplicated(docs: DataFrame, percent: int = 75) -> DataFrame:
     """``docs`` with one row of each class: that of the least ``doc_id``, the first of equal ids."""
     has_column(docs, "doc_id", "text")
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    placed = docs.select(*own, F.monotonically_increasing_id().alias("_place"))
+    placed = set_aside(docs, "doc_id", "text").withColumn("_place", F.monotonically_increasing_id())
     # rows ranked by (doc_id, place) without a global sort: the pair is compared as a struct
     grouped = classes(placed.select("_place", "text"), percent, key="_place")
     ids = placed.select("_place", F.col("doc_id").alias("_id"))
@@ -429,4 +428,5 @@ def deduplicated(docs: DataFrame, percent: int = 75) -> DataFrame:
         .agg(F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_place")))["_place"].alias("_place"))
     )
     keep = materialised(best.select("_place"), "representatives")
-    return placed.join(keep, "_place", "left_semi").select(*own)
+    stay = placed.join(keep, "_place", "left_semi")
+    return stay.select(*brought_back(docs.columns, doc_id=F.col("doc_id"), text=F.col("text")))

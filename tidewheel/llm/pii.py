@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.words import has_column
+from tidewheel.llm.words import brought_back, has_column, set_aside
 from tidewheel.sources.sinks import materialised
 
 KINDS = ("email", "ip", "card", "phone")
@@ -255,7 +255,8 @@ def masked(docs: DataFrame, **options) -> DataFrame:
 
     Spans that overlap are masked as one, under the kind of the first. ``n_chars`` follows the text.
     """
-    spotted_docs = found(docs, **options)
+    has_column(docs, "text")
+    spotted_docs = found(set_aside(docs, "text"), **options)
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(a, s):
@@ -271,5 +272,4 @@ def masked(docs: DataFrame, **options) -> DataFrame:
         F.concat(F.array_join("_built.parts", ""), F.substring(F.col("text"), F.col("_built.at") + 1, F.length("text"))),
     ).otherwise(F.col("text"))
     out = built.withColumn("_masked", text)
-    replaced = {"text": F.col("_masked").alias("text"), "n_chars": F.length("_masked").cast("long").alias("n_chars")}
-    return out.select(*[replaced.get(c, F.col(f"`{c}`")) for c in docs.columns])
+    return out.select(*brought_back(docs.columns, text=F.col("_masked"), n_chars=F.length("_masked").cast("long")))

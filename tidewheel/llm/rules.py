@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.words import has_column, total, words_of
+from tidewheel.llm.words import brought_back, has_column, set_aside, total, words_of
 from tidewheel.sources.sinks import materialised
 
 WINDOW = 8
@@ -222,4 +222,7 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: flo
 
 def kept(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that pass, with their own columns."""
-    return judged(docs, labels, **options).where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    read = list(dict.fromkeys(["doc_id", "text", options.get("stratum", "lang")]))
+    has_column(docs, *read)
+    passed = judged(set_aside(docs, *read), labels, **options).where("_kept")
+    return passed.select(*brought_back(docs.columns, **{c: F.col(c) for c in read}))

@@ -22,6 +22,17 @@ def total(array: Column) -> Column:
     return F.aggregate(array, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
+def set_aside(docs: DataFrame, *read: str) -> DataFrame:
+    """The columns ``read``, and all others in the struct ``_own``: there no name meets one that an operator adds."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in read]
+    return docs.select(*read, F.struct(*(others or [F.lit(0)])).alias("_own"))
+
+
+def brought_back(columns: list[str], **new: Column) -> list[Column]:
+    """``columns`` out of a frame of :func:`set_aside`; those in ``new`` are given as they come out."""
+    return [new.get(c, F.col("_own")[c]).alias(c) for c in columns]
+
+
 def has_column(df: DataFrame, *names: str) -> None:
     """Refuse a frame that lacks a column the operator reads."""
     missing = [n for n in names if n not in df.columns]
