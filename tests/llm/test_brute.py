@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -413,3 +414,37 @@ def test_search_of_a_group_that_cannot_improve_ends():
     assert list(steps.fillings(2047, 0)) == [] and steps.steps <= 5000 + 8
     done = packing.bin_completion(lengths, 2047)
     assert sorted(i for b in done for i in b) == list(range(3000)) and len(done) <= len(packing.best_fit(lengths, 2047))
+
+
+def test_jaccard_members_are_dealt_in_little_memory(spark, monkeypatch):
+    caught = []
+    docs = type("Docs", (), {"select": lambda self, *_: self, "mapInArrow": lambda self, run, _: caught.append(run)})()
+    monkeypatch.setattr(jaccard, "HELD", 1_000_000)
+    jaccard._members(docs, 7)
+    rng = random.Random(4)
+    texts = [" ".join(f"{rng.randrange(1 << 20):x}" for _ in range(2000)) for _ in range(600)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[at : at + 100])], names=["text"]) for at in range(0, 600, 100)]
+    tracemalloc.start()
+    rows = [r for out in caught[0](batches) for r in out.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 65e6  # one set of keys held and one copy to sort, and what a slice of texts takes
+    got = set()
+    for row in rows:
+        names, sizes, index, steps, part = jaccard._unpacked(row["body"])
+        assert part[0] == row["part"] and (sizes == 1996).all()
+        members = np.cumsum(steps) * np.uint64(7) + part[0]
+        got |= set(zip(names[index.astype(int)].tolist(), members.tolist(), strict=True))
+    want = set()
+    for _, members, sizes, names in shingle_sets(pa.array(texts)):
+        want |= set(zip(np.repeat(names, sizes).tolist(), members.tolist(), strict=True))
+    assert got == want and len(rows) == 14
+
+
+def test_jaccard_many_small_sets(spark, monkeypatch):
+    """More sets than a task numbers at a time."""
+    monkeypatch.setattr(jaccard, "PART", 50_000)
+    n = 3 * 32768 + 5
+    docs = spark.range(0, n, 1, 1).selectExpr("id AS doc_id", "concat('w', id div 2, ' only') AS text")
+    got = {r.doc_id: r.component_id for r in jaccard.classes(docs).collect()}
+    assert got == {k: k - k % 2 for k in range(n)}

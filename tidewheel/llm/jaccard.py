@@ -41,12 +41,15 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewheel.llm.shingles import BITS as MEMBER_BITS
 from tidewheel.llm.shingles import mix, shingle_sets
 from tidewheel.llm.words import brought_back, has_column, set_aside
 from tidewheel.sources.sinks import Scratch, broadcast_hint, materialised
 
 PART = 4_000_000  # members in one part of a shuffle
 HELD = 4_000_000  # members that a task deals at a time
+OWNER_BITS = 15  # of a member's place in a task's memory; the others are its part and quotient
+OWNERS = 1 << OWNER_BITS  # sets that a task deals at a time
 TASKS = 50_000  # a task of a very large shuffle works on several parts, one after the other
 LEAF = 64
 BITS = 256
@@ -104,24 +107,25 @@ def set_names(docs: DataFrame, key: str) -> DataFrame:
 def _members(docs: DataFrame, parts: int) -> DataFrame:
     """Members of each task's different sets, dealt by hash into ``parts`` blobs at a time."""
 
-    def deal(members: list[np.ndarray], sizes: list[np.ndarray], names: list[np.ndarray]) -> pa.RecordBatch:
-        h, n, name = np.concatenate(members), np.concatenate(sizes), np.concatenate(names)
-        owner = np.repeat(np.arange(len(n), dtype=np.uint64), n)
-        part = h % np.uint64(parts)
-        order = np.lexsort((h, part))
-        h, owner, part = h[order], owner[order], part[order]
-        starts, lengths = _runs(part)
+    above = -(-(1 << MEMBER_BITS) // parts)  # members of one part have quotients below this
+
+    def deal(held: list[np.ndarray], sizes: list[np.ndarray], names: list[np.ndarray]) -> pa.RecordBatch:
+        n, name, keys = np.concatenate(sizes), np.concatenate(names), np.concatenate(held)
+        held.clear()
+        keys.sort()  # by part, quotient and number of the set, in place
+        ends = np.arange(1, parts, dtype=np.uint64) * np.uint64(above) << np.uint64(OWNER_BITS)
         out = []
-        for s, length in zip(starts, lengths, strict=True):
-            own = owner[s : s + length]
-            used, index = np.unique(own, return_inverse=True)
-            above = h[s : s + length] // np.uint64(parts)  # what the part's number does not tell
-            out.append((int(part[s]), _packed(name[used], n[used], index, np.diff(above, prepend=np.uint64(0)), part[s : s + 1])))
+        for part, dealt in enumerate(np.split(keys, np.searchsorted(keys, ends))):
+            if len(dealt):
+                used, index = np.unique((dealt & np.uint64(OWNERS - 1)).astype(np.uint16), return_inverse=True)
+                quotient = (dealt >> np.uint64(OWNER_BITS)) - np.uint64(part * above)  # what the part's number does not tell
+                steps = np.diff(quotient, prepend=np.uint64(0))
+                out.append((part, _packed(name[used], n[used], index, steps, np.array([part], np.uint64))))
         return _rows(out)
 
     def run(batches):
         seen: set[int] = set()
-        held, size = ([], [], []), 0
+        held, size, sets = ([], [], []), 0, 0
         for batch in batches:
             for _, members, sizes, names in shingle_sets(batch.column(0)):
                 fresh = np.zeros(len(sizes), bool)
@@ -132,13 +136,21 @@ def _members(docs: DataFrame, parts: int) -> DataFrame:
                             seen.clear()  # a set sent twice is counted once by the receiver
                         seen.add(name)
                         fresh[i] = True
-                held[0].append(members[np.repeat(fresh, sizes)])
-                held[1].append(sizes[fresh])
+                if size and sets + int(fresh.sum()) > OWNERS:
+                    yield deal(*held)
+                    held, size, sets = ([], [], []), 0, 0
+                h, n = members[np.repeat(fresh, sizes)], sizes[fresh]
+                quotient = h // np.uint64(parts)
+                keys = (h - quotient * np.uint64(parts)) * np.uint64(above) + quotient
+                keys <<= np.uint64(OWNER_BITS)
+                keys |= np.repeat(np.arange(sets, sets + len(n), dtype=np.uint64), n)
+                held[0].append(keys)
+                held[1].append(n)
                 held[2].append(names[fresh])
-                size += int(sizes[fresh].sum())
+                size, sets = size + len(keys), sets + len(n)
                 if size >= HELD:
                     yield deal(*held)
-                    held, size = ([], [], []), 0
+                    held, size, sets = ([], [], []), 0, 0
         if size:
             yield deal(*held)
 
@@ -174,10 +186,12 @@ def _support(blobs: DataFrame, parts: int, percent: int) -> DataFrame:
         ends = np.cumsum([0, *map(len, h)])
         h = np.concatenate(h)
         order = np.argsort(h)
-        _, lengths = _runs(h[order])
+        same = h[order]
+        same = same[1:] == same[:-1]
         twice = np.zeros(len(h), bool)
-        twice[order[np.repeat(lengths > 1, lengths)]] = True
-        del order, lengths
+        twice[order[np.append(same, False)]] = True
+        twice[order[np.append(False, same)]] = True
+        del order, same
         name, size = [], []
         for body, at, to in zip(bodies, ends[:-1], ends[1:], strict=True):  # names of shared members only
             names, n, index, _, _ = _unpacked(body)
@@ -248,8 +262,12 @@ def _survivors(blobs: DataFrame, parts: int, percent: int) -> DataFrame:
         owner = np.repeat(np.cumsum(fit) - 1, shared)  # number of the set among those that fit
         opened = np.unique((owner[low].astype(np.uint64) << np.uint64(32)) | group[low])
         n_opened = np.bincount((opened >> np.uint64(32)).astype(np.int64), minlength=int(fit.sum()))
-        parity = np.bincount(owner[keep] * BITS + (h[keep] % np.uint64(BITS)).astype(np.int64), minlength=int(fit.sum()) * BITS) % 2
-        bits = np.packbits(parity.astype(np.uint8)).view("<i8")
+        low_bits, at = h[keep] % np.uint64(BITS), np.concatenate([[0], np.cumsum(shared[fit])[:-1]])
+        bits = np.empty((int(fit.sum()), BITS // 64), np.uint64)
+        for k in range(BITS // 64):
+            one = np.where(low_bits >> np.uint64(6) == k, np.uint64(1) << (low_bits & np.uint64(63)), np.uint64(0))
+            bits[:, k] = np.bitwise_xor.reduceat(one, at)
+        bits = bits.reshape(-1)
         total = np.add.reduceat(times, starts).astype(np.float64)[fit] / size[fit]
         offsets = lambda x: pa.array(np.concatenate([[0], np.cumsum(x)]), pa.int32())
         longs = lambda x: pa.array(x.astype(np.int64))
@@ -258,7 +276,7 @@ def _survivors(blobs: DataFrame, parts: int, percent: int) -> DataFrame:
                 longs(name[starts][fit]), longs(size[fit]), pa.array(total),
                 pa.ListArray.from_arrays(offsets(shared[fit]), longs(h[keep])),
                 pa.ListArray.from_arrays(offsets(n_opened), longs(opened & np.uint64((1 << 32) - 1))),
-                pa.ListArray.from_arrays(offsets(np.full(int(fit.sum()), BITS // 64)), pa.array(bits)),
+                pa.ListArray.from_arrays(offsets(np.full(int(fit.sum()), BITS // 64)), longs(bits)),
             ],
             names=["set", "n", "spread", "shared", "rare", "bits"],
         )

@@ -9,7 +9,7 @@ import pyarrow as pa
 
 WORDS = 5
 BITS = 48  # a set's members; the other 16 bits number the texts of a slice
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19  # some ten arrays of eight times as many bytes are in use at once
 SLICE_TEXTS = 1 << 12
 
 _LOWER = np.arange(256, dtype=np.uint8)
