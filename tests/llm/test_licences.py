@@ -93,3 +93,20 @@ def test_repeated_rows_and_long_text(spark):
     text = "see note: all rights reserved, they say. " + "of the software " * 30000
     rows = licences.scan(spark.createDataFrame([(1, text), (1, text), (None, text)], "doc_id long, text string")).collect()
     assert sorted((r.doc_id or 0, r.part, r.place, r.licence) for r in rows) == [(0, "window", 2, "Proprietary"), (1, "window", 2, "Proprietary"), (1, "window", 2, "Proprietary")]
+
+
+def test_texts_without_a_telling_word_are_not_cut(spark):
+    sets = {(name, n): sorted(set(pairs(flat(t)))) for name, ts in licences.TEMPLATES.items() for n, t in enumerate(ts)}
+    for threshold in (0.5, 0.8, 1.0):
+        told = licences.telling(sets, threshold)
+        assert threshold < 0.8 or all(len(w) > 2 for w in told)
+        for b in sets.values():  # a passage of only shared bigrams that just reaches the threshold
+            shared = next(m for m in range(1, len(b) + 1) if 2 * m / (m + len(b)) >= threshold)
+            assert sum(any(w in pair for w in told) for pair in b) > len(b) - shared
+    assert licences.telling({("x", 0): ["a"], ("x", 1): ["b c"]}, 0.8) == ["c", "a"]
+    texts = ["RELEASED UNDER THE MIT LICENSE!", "Released-under*the\nMIT Licence", "all RIGHTS reserved", "Licenſed under CC BY 4.0", "right", None]
+    got, _ = scanned(spark, texts)
+    assert got == {k: expected(t or "") for k, t in enumerate(texts)} and got[0] and got[2]
+    plan = licences.scan(spark.createDataFrame([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    cuts = [line for line in plan.split("\n") if "Filter" in line and "exists(array(lower(text" in line]
+    assert len(cuts) == 2  # both readings of the texts begin with it

@@ -13,6 +13,11 @@ coefficient of a window is the number of different template bigrams in it by tha
 template's longest so many (its anchors) are cut into places at all. Windows start where a bigram
 of the template stands, in word order over line breaks, and are counted in one sliding frame.
 
+Neither is tried on a text without a telling word. A passage that reaches ``t`` with a template of ``b`` bigrams
+shares ``b * t / (2 - t)`` of them at least, a window more; so words that touch more of each template's bigrams
+than may be missing are chosen, as few and as long as can be, and a text that holds none of them, be it inside
+another word, has no licence. Lower case is all that is formed of such texts.
+
 Bigrams of the remaining passages meet the templates' bigrams in a hash join; templates are a fixed
 list whose size is known, so they are broadcast. What is shuffled is one count per passage and
 template that share a bigram, combined in each task first.
@@ -28,6 +33,8 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -148,11 +155,26 @@ def anchors(bigrams_of: dict[tuple[str, int], list[str]], threshold: float) -> l
     return sorted(out)
 
 
-def windows(texts: DataFrame, templates: DataFrame, threshold: float) -> DataFrame:
+def telling(bigrams_of: dict[tuple[str, int], list[str]], threshold: float) -> list[str]:
+    """Words of which every text with a passage or window that reaches the threshold holds one.
+
+    Chosen one by one, each the word that is met by most bigrams still wanted; short words of letters only if no other is left.
+    """
+    least = threshold / (2 - threshold)
+    wanted = {k: (b, len(b) - max(1, math.ceil(least * len(b) - 1e-9)) + 1) for k, b in bigrams_of.items()}
+    words = {w for b in bigrams_of.values() for pair in b for w in pair.split(" ")}
+    out = []
+    while wanted:
+        gains = {w: sum(min(n, sum(w in pair for pair in b)) for b, n in wanted.values()) for w in words}
+        rare = {w for w in words if gains[w] and (len(w) > 5 or len(w) > 2 and not w.isalpha())}
+        out.append(max(rare or words, key=lambda w: (gains[w], len(w), w)))
+        left = {k: ([pair for pair in b if out[-1] not in pair], len(b), n) for k, (b, n) in wanted.items()}
+        wanted = {k: (b, n - before + len(b)) for k, (b, before, n) in left.items() if n > before - len(b)}
+    return out
+
+
+def windows(texts: DataFrame, templates: DataFrame, bigrams_of: dict[tuple[str, int], list[str]], threshold: float) -> DataFrame:
     """Best window of each text and licence. ``texts``: ``doc_id, _row, _hash, text`` (flattened)."""
-    bigrams_of = defaultdict(list)
-    for r in templates.collect():  # a fixed list of a few hundred rows
-        bigrams_of[r["licence"], r["template"]].append(r["bigram"])
     wanted = anchors(bigrams_of, threshold)
     longest = sorted({max(b.split(" "), key=len) for b in wanted})
     literal = lambda values: F.array(*[F.lit(v) for v in values])
@@ -180,9 +202,15 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, thr
     """
     has_column(docs, "doc_id", "text")
     t = template_bigrams(docs.sparkSession, templates)
-    sizes = [r["size"] for r in t.select("size").distinct().collect()]  # as many as templates at most
+    bigrams_of = defaultdict(list)
+    for r in t.collect():  # a fixed list of a few hundred rows
+        bigrams_of[r["licence"], r["template"]].append(r["bigram"])
+    sizes = [len(b) for b in bigrams_of.values()]
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-    texts = docs.where(F.col("text") != "").select("doc_id", F.xxhash64("text").alias("_hash"), flattened(F.col("text")).alias("text"), F.monotonically_increasing_id().alias("_row"))
+    told = telling(bigrams_of, threshold)
+    # in an array, so that lower case is formed once for all words
+    tells = F.exists(F.array(F.lower("text")), lambda x: reduce(or_, [x.contains(w) for w in told], F.lit(False)))
+    texts = docs.where((F.col("text") != "") & tells).select("doc_id", F.xxhash64("text").alias("_hash"), flattened(F.col("text")).alias("text"), F.monotonically_increasing_id().alias("_row"))
     most = max(sizes) * high
     parts = texts.select(
         "doc_id", "_row", "_hash",
@@ -224,6 +252,6 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, thr
         .agg(F.min_by(F.struct("licence", "template", "dice"), F.struct(-F.col("dice"), "licence", "template")).alias("best"))
         .select("doc_id", "_hash", "part", "place", "best.*")
     )
-    found = passages.unionByName(windows(texts, t, threshold))
+    found = passages.unionByName(windows(texts, t, bigrams_of, threshold))
     shown = F.max(F.col("part") != "window").over(Window.partitionBy("doc_id", "_hash", "licence"))  # a text's own results
     return found.withColumn("_shown", shown).where("part <> 'window' OR NOT _shown").drop("_hash", "_shown")
