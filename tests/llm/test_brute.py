@@ -15,8 +15,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewheel.llm import ans, decontam, jaccard, packing, pii, rules
-from tidewheel.llm.queries import QUERIES
+from tidewheel.llm.queries import QUERIES, TOKENIZER
 from tidewheel.llm.shingles import shingle_sets
+from tidewheel.llm.tokens import WordEncoder
 
 BASE = "/root/testdata/sf0.001"
 SPACE = re.compile("[\x20\x09-\x0d]+")
@@ -448,3 +449,31 @@ def test_jaccard_many_small_sets(spark, monkeypatch):
     docs = spark.range(0, n, 1, 1).selectExpr("id AS doc_id", "concat('w', id div 2, ' only') AS text")
     got = {r.doc_id: r.component_id for r in jaccard.classes(docs).collect()}
     assert got == {k: k - k % 2 for k in range(n)}
+
+
+def test_new_pieces_are_found_as_the_text_is_gone_through():
+    encoder = WordEncoder(TOKENIZER)
+    encoder.known.clear()
+    calls, plain = [], encoder.known.find
+    encoder.known.find = lambda piece: (calls.append(piece), plain(piece))[1]
+    texts = ["Straße, straße and it's 12 more; and", None, "and more of it's straße", "日本 and it's"]
+    assert list(encoder.encode(texts)) == encoder._whole([t or "" for t in texts])
+    assert calls == ["straße", ",", "and", "it", "'s", "1", "2", "more", ";", "of"]
+
+
+@pytest.mark.parametrize("n", [0, 1, 64, 1000, 70_001, 300_000])
+def test_lanes_against_one_number_at_a_time(n):
+    """Every lane's coded state is that of plain integers."""
+    ids = np.random.default_rng(n).integers(0, 50, n).astype("<u4") ** 2
+    coder = ans.Coder(ans.frequencies(np.bincount(ids, minlength=2402)))
+    before, coded = ids.copy(), coder.encode(ids)
+    assert (ids == before).all() and (coder.decode(coded) == ids).all()
+    lanes = min(ans.LANES, max(1, n // 64))
+    states = np.frombuffer(coded, "<u8", lanes, ans.HEAD_BYTES).tolist()
+    for k in {0, lanes // 2, lanes - 1}:
+        x = int(ans.LOW)
+        for i in reversed(ids[k::lanes].tolist()):
+            f, c = int(coder.freq[i]), int(coder.cum[i])
+            x = x >> 32 if x >= f << 63 - ans.SCALE else x
+            x = (x // f << ans.SCALE) + x % f + c
+        assert states[k] == x

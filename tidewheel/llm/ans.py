@@ -78,18 +78,23 @@ class Coder:
         lanes = int(min(LANES, max(1, n // 64)))
         steps = -(-n // lanes)
         state = np.full(lanes, LOW)
-        shift, scale = np.uint64(63 - SCALE), np.uint64(SCALE)
+        scale, half = np.uint64(SCALE), np.uint64(32)
+        ids = ids.astype(np.intp)  # once a block; take() is given indices that it need not convert
+        freq, cum = self.freq.take(ids), self.cum.take(ids)
+        full = freq << np.uint64(63 - SCALE)
         words: list[np.ndarray] = []
         marks: list[np.ndarray] = []
         for t in range(steps - 1, -1, -1):
-            row = ids[t * lanes : (t + 1) * lanes]
-            f, c = self.freq[row], self.cum[row]
-            x = state[: len(row)]
-            out = x >= (f << shift)
-            words.append(x[out].astype(np.uint32))
-            x = np.where(out, x >> np.uint64(32), x)
-            q, r = np.divmod(x, f)
-            state[: len(row)] = (q << scale) + r + c
+            row = slice(t * lanes, min(n, (t + 1) * lanes))
+            x = state[: row.stop - row.start]
+            out = np.flatnonzero(x >= full[row])
+            high = x.take(out)
+            words.append(high.astype(np.uint32))
+            x[out] = high >> half
+            q, r = np.divmod(x, freq[row])
+            q <<= scale
+            q += r
+            np.add(q, cum[row], out=x)
             if t and t % CHECK_STEPS == 0:
                 marks.append(state.copy())
         words.reverse()
@@ -120,15 +125,18 @@ class Coder:
             m = min(lanes, n - t * lanes)
             x = state[:m]
             slot = x & mask
-            s = self.symbol[slot]
+            s = self.symbol.take(slot.view(np.int64))
             ids[(t - first) * lanes : (t - first) * lanes + m] = s
-            x = self.freq[s] * (x >> scale) + slot - self.cum[s]
+            s = s.astype(np.intp)
+            x >>= scale
+            x *= self.freq.take(s)
+            slot -= self.cum.take(s)
+            x += slot
             low = np.flatnonzero(x < LOW)
             if pos + len(low) > n_words:
                 raise Corrupt("the words end before the ids")
-            x[low] = (x[low] << word) | words[pos : pos + len(low)]
+            x[low] = (x.take(low) << word) | words[pos : pos + len(low)]
             pos += len(low)
-            state[:m] = x
         if until is None and (np.any(state != LOW) or pos != n_words):
             raise Corrupt("the states do not end where they began")
         return ids

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 from tokenizers import Tokenizer
@@ -29,6 +29,18 @@ _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _SPELLED = {b: chr(256 + k) for k, b in enumerate(sorted({*range(256)} - {*_PRINTED}))}
 
 
+class _Known(dict[str, bytes]):
+    """Ids of pieces; those of a new one are found as it is looked up, so a text is gone through once."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = self.find(piece)
+        return ids
+
+
 class WordEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers.
 
@@ -39,7 +51,7 @@ class WordEncoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self._piece)
         self.written = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         probes = ["Ab cd\n\tEf, (gh) 12", "it's 'tis WE'LL x''s ''", "Été straße!! | ***\x0b\x0c~", "a.b_c-d@e 3.14"]
         self.cuts = all("<|" in t.content for t in self.tokenizer.get_added_tokens_decoder().values()) and all(
@@ -51,16 +63,12 @@ class WordEncoder:
         return [b"".join([written[i] for i in e.ids]) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _cut(self, text: str) -> bytes:
-        pieces = _PIECE.findall(text.lower())
-        try:
-            return b"".join(map(self.known.__getitem__, pieces))
-        except KeyError:
-            known, written, tokenize = self.known, self.written, self.model.tokenize
-            for piece in pieces:
-                if piece not in known:
-                    spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_SPELLED)
-                    known[piece] = b"".join([written[t.id] for t in tokenize(spelled)])
-            return b"".join(map(known.__getitem__, pieces))
+        return b"".join(map(self.known.__getitem__, _PIECE.findall(text.lower())))
+
+    def _piece(self, piece: str) -> bytes:
+        spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_SPELLED)
+        written = self.written
+        return b"".join([written[t.id] for t in self.model.tokenize(spelled)])
 
     def _runs(self, text: str) -> bytes:
         """Run by run between ASCII spaces; a run's key cannot be a piece's, which has no NUL in front."""
