@@ -8,13 +8,14 @@ import random
 import re
 import tracemalloc
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidewheel.llm import ans, decontam, jaccard, packing, pii, rules
+from tidewheel.llm import ans, decontam, jaccard, packing, pii, rules, workers
 from tidewheel.llm.queries import QUERIES, TOKENIZER
 from tidewheel.llm.shingles import shingle_sets
 from tidewheel.llm.tokens import WordEncoder
@@ -442,6 +443,90 @@ def test_jaccard_members_are_dealt_in_little_memory(spark, monkeypatch):
     assert got == want and len(rows) == 14
 
 
+def test_jaccard_members_are_matched_in_little_memory(spark, monkeypatch):
+    caught = []
+    docs = type("Docs", (), {"select": lambda self, *_: self, "mapInArrow": lambda self, run, _: caught.append(run)})()
+    monkeypatch.setattr(jaccard, "_by_part", lambda blobs, parts, work: (docs, work))
+    monkeypatch.setattr(jaccard, "RANGE", 100_000, raising=False)
+    jaccard._members(docs, 1)
+    jaccard._support(docs, 1, 75)
+    rng = random.Random(4)
+    texts = [" ".join(f"{rng.randrange(1 << 20):x}" for _ in range(2000)) for _ in range(600)]
+    texts[7::100] = [texts[0][: 1000 + k] for k in range(6)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[at : at + 100])], names=["text"]) for at in range(0, 600, 100)]
+    bodies = [body for batch in batches for out in caught[0](iter([batch])) for body in out.column(1).to_pylist()]
+    tracemalloc.start()
+    rows = [r for out in caught[1](bodies) for r in out.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24e6  # ten bytes for each of 1.2 million members, and what one set of texts and one range takes
+    holders = defaultdict(dict)
+    for _, members, sizes, names in shingle_sets(pa.array(texts)):
+        for m, name, n in zip(members.tolist(), np.repeat(names, sizes).tolist(), np.repeat(sizes, sizes).tolist(), strict=True):
+            holders[m][name] = n
+    fit = lambda a, b: 100 * min(a, b) >= 75 * max(a, b)
+    want = {(x, m, n, len(h)) for m, h in holders.items() for x, n in h.items() if any(y != x and fit(n, k) for y, k in h.items())}
+    got, groups = set(), defaultdict(set)
+    for row in rows:
+        names, sizes, runs, members, times, group = jaccard._unpacked(row["body"])
+        runs = runs.astype(int)
+        got |= set(zip(*(c.tolist() for c in (np.repeat(names, runs), members, np.repeat(sizes, runs), times)), strict=True))
+        for g, m in zip(group.tolist(), members.tolist(), strict=True):
+            groups[g].add(m)
+    assert got == want and want
+    for members in groups.values():  # the same holders, the same region
+        assert len({frozenset(x for x, m, _, _ in want if m == one) for one in list(members)[:3]}) == 1
+
+
+def test_workers_return_what_a_task_freed():
+    """Small blocks freed below one in use stay with the C library until it is told."""
+    def used() -> int:
+        return int(Path("/proc/self/statm").read_text().split()[1]) * 4096
+
+    kept = []
+
+    def run(batches):
+        blocks = [bytearray(100_000) for _ in range(1500)]
+        kept.append(blocks.pop())
+        before = used()
+        del blocks
+        kept.append(before)
+        yield from batches
+
+    assert list(workers.handing_back(run)(iter([1, 2]))) == [1, 2]
+    assert used() < kept[1] - 100e6
+    with pytest.raises(ZeroDivisionError):
+        list(workers.handing_back(lambda batches: (1 // b for b in batches))([0]))
+
+
+def test_tasks_of_the_pipeline_return_what_they_freed(spark, monkeypatch):
+    caught, calls = [], []
+
+    class Docs:
+        columns = ["doc_id", "text"]
+
+        def __getattr__(self, _):
+            return lambda *_: self
+
+        def mapInArrow(self, run, _):
+            caught.append(run)
+            return self
+
+    monkeypatch.setattr(workers, "give_back", lambda: calls.append(1))
+    monkeypatch.setattr(packing, "_repacked", lambda *_: None)
+    monkeypatch.setattr(packing, "materialised", lambda *_: None)
+    jaccard.set_names(Docs(), "doc_id")
+    jaccard._members(Docs(), 1)
+    jaccard._support(Docs(), 1, 75)
+    jaccard._survivors(Docs(), 1, 75)
+    packing.packed(Docs(), TOKENIZER)
+    for run in caught[:4]:
+        assert list(run(iter([]))) == []
+    assert len(caught) == 5 and len(calls) == 4
+    monkeypatch.setattr(packing, "TaskContext", type("Context", (), {"get": classmethod(lambda c: c), "partitionId": classmethod(lambda c: 0)}))
+    assert list(caught[4](iter([]))) == [] and len(calls) == 5
+
+
 def test_jaccard_many_small_sets(spark, monkeypatch):
     """More sets than a task numbers at a time."""
     monkeypatch.setattr(jaccard, "PART", 50_000)

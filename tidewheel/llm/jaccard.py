@@ -44,10 +44,12 @@ from pyspark.sql import functions as F
 from tidewheel.llm.shingles import BITS as MEMBER_BITS
 from tidewheel.llm.shingles import mix, shingle_sets
 from tidewheel.llm.words import brought_back, has_column, set_aside
+from tidewheel.llm.workers import handing_back
 from tidewheel.sources.sinks import Scratch, broadcast_hint, materialised
 
 PART = 4_000_000  # members in one part of a shuffle
 HELD = 4_000_000  # members that a task deals at a time
+RANGE = 500_000  # members that are matched at a time
 OWNER_BITS = 15  # of a member's place in a task's memory; the others are its part and quotient
 OWNERS = 1 << OWNER_BITS  # sets that a task deals at a time
 TASKS = 50_000  # a task of a very large shuffle works on several parts, one after the other
@@ -61,9 +63,13 @@ _BLOB = pa.schema([("part", pa.int32()), ("body", pa.binary())])
 
 def _packed(*arrays: np.ndarray) -> bytes:
     """Arrays of 64-bit numbers, byte planes together so that unused bytes cost nothing."""
-    out = [np.array([len(arrays), *map(len, arrays)], "<u4").tobytes()]
-    out += [np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes() for a in arrays]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
+    head = np.array([len(arrays), *map(len, arrays)], "<u4").view(np.uint8)
+    raw, at = np.empty(len(head) + 8 * sum(map(len, arrays)), np.uint8), len(head)
+    raw[:at] = head
+    for a in arrays:
+        raw[at : at + 8 * len(a)].reshape(8, -1)[:] = np.ascontiguousarray(a, "<u8").view(np.uint8).reshape(-1, 8).T
+        at += 8 * len(a)
+    return zstandard.ZstdCompressor(level=1).compress(raw)
 
 
 def _unpacked(body: bytes) -> list[np.ndarray]:
@@ -101,7 +107,7 @@ def set_names(docs: DataFrame, key: str) -> DataFrame:
                     names=[key, "n", "set"],
                 )
 
-    return docs.select(F.col(key).cast("long"), F.col("text").cast("string")).mapInArrow(names, f"{key} long, n long, set long")
+    return docs.select(F.col(key).cast("long"), F.col("text").cast("string")).mapInArrow(handing_back(names), f"{key} long, n long, set long")
 
 
 def _members(docs: DataFrame, parts: int) -> DataFrame:
@@ -110,17 +116,24 @@ def _members(docs: DataFrame, parts: int) -> DataFrame:
     above = -(-(1 << MEMBER_BITS) // parts)  # members of one part have quotients below this
 
     def deal(held: list[np.ndarray], sizes: list[np.ndarray], names: list[np.ndarray]) -> pa.RecordBatch:
-        n, name, keys = np.concatenate(sizes), np.concatenate(names), np.concatenate(held)
-        held.clear()
+        n, name = np.concatenate(sizes), np.concatenate(names)
+        keys, at = np.empty(sum(map(len, held)), np.uint64), 0
+        while held:
+            piece = held.pop()
+            keys[at : at + len(piece)] = piece
+            at += len(piece)
         keys.sort()  # by part, quotient and number of the set, in place
         ends = np.arange(1, parts, dtype=np.uint64) * np.uint64(above) << np.uint64(OWNER_BITS)
         out = []
         for part, dealt in enumerate(np.split(keys, np.searchsorted(keys, ends))):
             if len(dealt):
-                used, index = np.unique((dealt & np.uint64(OWNERS - 1)).astype(np.uint16), return_inverse=True)
+                owner = (dealt & np.uint64(OWNERS - 1)).astype(np.uint16)
+                there = np.zeros(len(name), bool)
+                there[owner] = True
+                index = (np.cumsum(there) - 1).astype(np.uint16)[owner]  # of the owner among those of this part
                 quotient = (dealt >> np.uint64(OWNER_BITS)) - np.uint64(part * above)  # what the part's number does not tell
                 steps = np.diff(quotient, prepend=np.uint64(0))
-                out.append((part, _packed(name[used], n[used], index, steps, np.array([part], np.uint64))))
+                out.append((part, _packed(name[there], n[there], index, steps, np.array([part], np.uint64))))
         return _rows(out)
 
     def run(batches):
@@ -154,7 +167,7 @@ def _members(docs: DataFrame, parts: int) -> DataFrame:
         if size:
             yield deal(*held)
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, BLOB)
+    return docs.select(F.col("text").cast("string")).mapInArrow(handing_back(run), BLOB)
 
 
 def _by_part(blobs: DataFrame, parts: int, work):
@@ -178,13 +191,8 @@ def _by_part(blobs: DataFrame, parts: int, work):
 def _support(blobs: DataFrame, parts: int, percent: int) -> DataFrame:
     """Members that a set shares with one it may link to by size, with how many sets have them, dealt by set."""
 
-    def count(bodies: list[bytes]) -> Iterator[pa.RecordBatch]:
-        h = []
-        for body in bodies:
-            _, _, _, steps, part = _unpacked(body)
-            h.append(np.cumsum(steps) * np.uint64(parts) + part[0])
-        ends = np.cumsum([0, *map(len, h)])
-        h = np.concatenate(h)
+    def shared(h: np.ndarray, own: np.ndarray, names: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of members of one range of hashes and the numbers of their sets: ``h, own, times, group`` of those that count."""
         order = np.argsort(h)
         same = h[order]
         same = same[1:] == same[:-1]
@@ -192,44 +200,74 @@ def _support(blobs: DataFrame, parts: int, percent: int) -> DataFrame:
         twice[order[np.append(same, False)]] = True
         twice[order[np.append(False, same)]] = True
         del order, same
-        name, size = [], []
-        for body, at, to in zip(bodies, ends[:-1], ends[1:], strict=True):  # names of shared members only
-            names, n, index, _, _ = _unpacked(body)
-            index = index.astype(np.int64)[twice[at:to]]
-            name.append(names[index])
-            size.append(n[index])
-        h, name, size = h[twice], np.concatenate(name), np.concatenate(size)
-        order = np.lexsort((name, h))  # of shared members only
-        h, name, size = h[order], name[order], size[order]
+        h, own = h[twice], own[twice]
+        order = np.lexsort((names[own], h))  # of shared members only
+        h, own = h[order], own[order]
         if len(h):
+            name = names[own]
             one = np.concatenate([[True], (h[1:] != h[:-1]) | (name[1:] != name[:-1])])
-            h, name, size = h[one], name[one], size[one]
+            h, own = h[one], own[one]
         starts, lengths = _runs(h)
         times = np.repeat(lengths, lengths)
         # a member counts for a set if another set near enough in size has it: the next smaller or larger
-        order = np.lexsort((size, h))
-        h, name, size = h[order], name[order], size[order]
+        order = np.lexsort((sizes[own], h))
+        h, own = h[order], own[order]
+        size = sizes[own]
         near = (h[1:] == h[:-1]) & (100 * size[:-1] >= np.uint64(percent) * size[1:])
         many = np.concatenate([[False], near]) | np.concatenate([near, [False]]) if len(h) else np.zeros(0, bool)
-        h, name, size, times = h[many], name[many], size[many], times[many].astype(np.uint64)
+        h, own, times = h[many], own[many], times[many].astype(np.uint32)
         # members with the same holders open the same region: a digest of the holders stands for them
         starts, lengths = _runs(h)
-        holders = np.add.reduceat(mix(name), starts) if len(h) else h
-        group = np.repeat(mix(holders + lengths.astype(np.uint64)) >> np.uint64(32), lengths)
-        part = name % np.uint64(parts)
-        order = np.lexsort((name, part))
-        h, name, size, times, part, group = h[order], name[order], size[order], times[order], part[order], group[order]
-        starts, lengths = _runs(part)
+        holders = np.add.reduceat(mix(names[own]), starts) if len(h) else h
+        group = np.repeat((mix(holders + lengths.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32), lengths)
+        return h, own, times, group
+
+    def count(bodies: list[bytes]) -> Iterator[pa.RecordBatch]:
+        held, names, sizes, n_sets = [], [], [], 0
+        for body in bodies:
+            name, n, index, steps, part = _unpacked(body)
+            h = np.cumsum(steps)  # ascending, as it was dealt
+            h *= np.uint64(parts)
+            h += part[0]
+            held.append((h, index.astype(np.uint16), n_sets))
+            names.append(name)
+            sizes.append(n)
+            n_sets += len(name)
+            del name, n, index, steps
+        names, sizes = np.concatenate(names), np.concatenate(sizes)
+        # range by range of the hashes, so that the arrays of a whole part are never there at once
+        n_ranges = -(-sum(len(h) for h, _, _ in held) // RANGE)
+        ends = np.array([(k << MEMBER_BITS) // n_ranges for k in range(n_ranges + 1)], np.uint64)
+        cuts = [np.searchsorted(h, ends) for h, _, _ in held]
+        found = []
+        for k in range(n_ranges):
+            h = np.concatenate([h[c[k] : c[k + 1]] for (h, _, _), c in zip(held, cuts, strict=True)])
+            own = np.concatenate([index[c[k] : c[k + 1]] + np.uint32(first) for (_, index, first), c in zip(held, cuts, strict=True)])
+            found.append(shared(h, own, names, sizes))
+        held.clear()
+        h, own, times, group = (np.concatenate(c) for c in zip(*found, strict=True))
+        found.clear()
+        to = names % np.uint64(parts)
+        order = np.lexsort((names, to))
+        place = np.empty(n_sets, np.uint32)
+        place[order] = np.arange(n_sets, dtype=np.uint32)
+        ends = np.searchsorted(to[order], np.arange(parts + 1, dtype=np.uint64))  # of the sets dealt to each part
+        order = np.argsort(place[own], kind="stable")
+        own = own[order]
+        ends = np.searchsorted(place[own], ends)
         out = []
-        for s, length in zip(starts, lengths, strict=True):
-            at = slice(s, s + length)
-            first, runs = _runs(name[at])
-            out.append((int(part[s]), _packed(name[at][first], size[at][first], runs.astype(np.uint64), h[at], times[at], group[at])))
+        for p in range(parts):
+            at = slice(ends[p], ends[p + 1])
+            if at.start < at.stop:
+                mine = order[at]
+                first, runs = _runs(names[own[at]])
+                sets = own[at][first]
+                out.append((p, _packed(names[sets], sizes[sets], runs.astype(np.uint64), h[mine], times[mine], group[mine])))
         if out:
             yield _rows(out)
 
     dealt, run = _by_part(blobs, parts, count)
-    return dealt.mapInArrow(run, BLOB)
+    return dealt.mapInArrow(handing_back(run), BLOB)
 
 
 _SURVIVOR = "set long, n long, spread double, shared array<bigint>, rare array<bigint>, bits array<bigint>"
@@ -282,7 +320,7 @@ def _survivors(blobs: DataFrame, parts: int, percent: int) -> DataFrame:
         )
 
     dealt, run = _by_part(blobs, parts, gather)
-    return dealt.mapInArrow(run, _SURVIVOR)
+    return dealt.mapInArrow(handing_back(run), _SURVIVOR)
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.llm.tokens import shared_encoder, slices
 from tidewheel.llm.words import has_column
+from tidewheel.llm.workers import handing_back
 from tidewheel.sources.sinks import materialised
 
 GROUP = 8192
@@ -262,7 +263,7 @@ def packed(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0) -
     def encode_and_pack(batches):
         return _grouped(pieces(batches), size, TaskContext.get().partitionId() << 40)
 
-    first = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(encode_and_pack, PACKED)
+    first = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(handing_back(encode_and_pack), PACKED)
     return _repacked(materialised(first, "packed"), size)
 
 
@@ -278,5 +279,5 @@ def _repacked(first: DataFrame, size: int) -> DataFrame:
 
     opened = first.where("loose").select("doc_id", "piece", "start", "length", "ids")
     groups = max(1, -(-opened.count() // GROUP))
-    again = opened.repartition(groups, F.xxhash64("doc_id", "piece", "ids")).mapInArrow(pack_again, PACKED)
+    again = opened.repartition(groups, F.xxhash64("doc_id", "piece", "ids")).mapInArrow(handing_back(pack_again), PACKED)
     return first.where("NOT loose").unionByName(again).drop("loose")
