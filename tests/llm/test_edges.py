@@ -61,6 +61,19 @@ def test_shards_split_copies(spark):
     assert len(counts) == 8 and max(counts) - min(counts) <= 1
 
 
+def test_shards_move_rows_once(spark, docs):
+    """The rows before each file are a small table whatever Spark's own threshold: texts are not shuffled for them."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = shards.shard_by_bytes(docs, 4)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "BroadcastHashJoin" in plan
+        assert out.count() == len(ROWS)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_packing_round_trip(docs, none):
     whole = Tokenizer.from_file(TOKENIZER)
     want = sorted(tuple(whole.encode(t or "", add_special_tokens=False).ids) + (0,) for _, t, *_ in ROWS)

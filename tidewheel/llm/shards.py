@@ -121,6 +121,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 40, tolerance: float = 0.001
     runs = written.groupBy("shard", "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
     before = F.expr("coalesce(sum(_n) over (partition by shard order by _part rows between unbounded preceding and 1 preceding), 0)")
     runs = runs.select("shard", "_part", "_first", before.alias("_before"))
-    return written.join(runs, ["shard", "_part"]).select(
+    # files follow the order of the shards, so these are no more than files and shards together
+    return written.join(F.broadcast(runs), ["shard", "_part"]).select(
         *own, "shard", (F.col("_before") + F.col("_at") - F.col("_first")).alias("slot")
     )
