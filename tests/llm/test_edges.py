@@ -200,3 +200,49 @@ def test_stages_leave_columns_of_any_name_alone(spark, docs):
         else:
             assert all([v.split(":", 1)[0] for v in r.v] == helpers for r in got)
         assert bag(out.select(*plain.columns), *plain.columns) == bag(stage(plain), *plain.columns)
+
+
+def test_stages_do_not_shuffle_texts_to_meet_a_few_rows(spark, docs):
+    """What a stage found out about a small part of the rows comes to the texts, whatever Spark's own threshold."""
+    items = spark.createDataFrame([(1, "Anna paid 20 dollars for the last nine tickets to Paris in June")], "item_id long, text string")
+    texts = ["She wrote: Anna paid 30 dollars for the last nine tickets to Paris in June", *[f"call me under id {c}@example.com or id Z{k}Y-77" for k, c in enumerate("abcd")]]
+    extra = spark.createDataFrame([(20 + k, t, "en", "a", 0, 7, 8, "x", "zz") for k, t in enumerate(texts)], SCHEMA)
+    rows = docs.unionByName(extra)
+    stages = [jaccard.deduplicated, lambda d: decontam.cleaned(d, items), pii.masked]
+    want = [bag(stage(rows), "doc_id", "text") for stage in stages]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for stage, result in zip(stages, want, strict=True):
+            out = stage(rows)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "BroadcastHashJoin" in plan
+            assert bag(out, "doc_id", "text") == result
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_suspects_meet_their_texts_without_a_shuffle(spark, docs, monkeypatch):
+    """The texts that are cut for their slots are found by their row numbers."""
+    items = spark.createDataFrame([(1, "Anna paid 20 dollars for the last nine tickets to Paris in June")], "item_id long, text string")
+    met = []
+    joined = type(docs).join
+    monkeypatch.setattr(type(docs), "join", lambda left, right, *a: met.append((left, joined(left, right, *a))) or met[-1][1])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        decontam.cleaned(docs, items)
+        plans = [out._jdf.queryExecution().executedPlan().toString() for left, out in met if "text" in left.columns]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) == 2 and all("BroadcastHashJoin" in p and "SortMergeJoin" not in p for p in plans)
+
+
+def test_representatives_are_found_either_way(spark, monkeypatch):
+    """More copies than representatives, fewer, and both too large to broadcast."""
+    for copies, small in ((1, True), (9, True), (9, False)):
+        if not small:
+            monkeypatch.setattr(jaccard, "broadcast_hint", lambda df: lambda frame: frame)
+        rows = [(100 * k + c, " ".join(f"w{k}x{i}" for i in range(30))) for k in range(4) for c in range(copies)]
+        out = jaccard.deduplicated(spark.createDataFrame([*rows, (999, None)], "doc_id long, text string"))
+        assert bag(out, "doc_id") == [(0,), (100,), (200,), (300,), (999,)]

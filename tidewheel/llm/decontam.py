@@ -16,7 +16,8 @@ word and as a name, and where it meets a name it is a slot. In items below eight
 the same word.
 
 Documents are read once for the windows; only (place, hash) leaves a row, and only matches are
-shuffled. The texts of suspects alone are cut into words again for the slots.
+shuffled. The texts of suspects alone are cut into words again for the slots. Suspects and leaks find
+their texts by a broadcast of row numbers if these measure up to 64 MB; beyond, the texts are shuffled.
 
 The benchmark's windows are broadcast if they are at most ``BROADCAST_ROWS``, else joined by shuffle.
 
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.words import brought_back, has_column, set_aside
-from tidewheel.sources.sinks import materialised
+from tidewheel.sources.sinks import broadcast_hint, materialised
 
 WINDOW = 8
 NEEDED = 6
@@ -174,8 +175,8 @@ def _slots(suspects: DataFrame, numbered: DataFrame, items: DataFrame) -> DataFr
         F.explode(F.expr("sequence(_in, _in + _length - 1)")).alias("_in"),
     ).distinct()
     across = covered.join(item_slots, ["_item", "_in"])
-    rows = across.select("_row").distinct()
-    texts = numbered.join(rows, "_row", "left_semi").select("_row", slotted_words(F.col("text")).alias("_w"))
+    rows = materialised(across.select("_row").distinct(), "slotted")
+    texts = numbered.join(broadcast_hint(rows)(rows), "_row", "left_semi").select("_row", slotted_words(F.col("text")).alias("_w"))
     doc_slots = texts.select("_row", F.explode(mapped("_w")).alias("s")).select("_row", F.col("s.i").alias("_at"), F.col("s.w").alias("_dv"))
     lines = across.join(
         doc_slots, (across["_row"] == doc_slots["_row"]) & (across["_in"] + across["_shift"] == doc_slots["_at"])
@@ -221,5 +222,5 @@ def cleaned(docs: DataFrame, benchmark: DataFrame, needed: int = NEEDED) -> Data
     has_column(docs, "doc_id", "text")
     numbered = set_aside(docs, "doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
     bad = materialised(_leaks(numbered.select("doc_id", "text", "_row"), benchmark, needed).select("_row").distinct(), "leaked")
-    rest = numbered.join(bad, "_row", "left_anti")
+    rest = numbered.join(broadcast_hint(bad)(bad), "_row", "left_anti")
     return rest.select(*brought_back(docs.columns, doc_id=F.col("doc_id"), text=F.col("text")))

@@ -484,5 +484,8 @@ def deduplicated(docs: DataFrame, percent: int = 75) -> DataFrame:
         .agg(F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_place")))["_place"].alias("_place"))
     )
     keep = materialised(best.select("_place"), "representatives")
-    stay = placed.join(keep, "_place", "left_semi")
+    gone = materialised(ids.select("_place").join(keep, "_place", "left_anti"), "others")
+    # texts stay where they are if the fewer of both kinds of places fit a broadcast
+    fewer, how = (gone, "left_anti") if gone.count() <= keep.count() else (keep, "left_semi")
+    stay = placed.join(broadcast_hint(fewer)(fewer), "_place", how)
     return stay.select(*brought_back(docs.columns, doc_id=F.col("doc_id"), text=F.col("text")))

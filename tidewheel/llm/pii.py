@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.words import brought_back, has_column, set_aside
-from tidewheel.sources.sinks import materialised
+from tidewheel.sources.sinks import broadcast_hint, materialised
 
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = "context"
@@ -234,10 +234,13 @@ def found(docs: DataFrame, **options) -> DataFrame:
     more = (
         tokens.join(good.select("pattern"), "pattern")
         .groupBy("_pii_row")
-        .agg(F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("order"), "stop", F.lit(CONTEXT).alias("kind"))).alias("_more"))
+        .agg(F.collect_set(F.struct("start", "stop")).alias("_more"))
     )  # at most the tokens of one text
+    more = materialised(more, "pii-more")
+    more = broadcast_hint(more)(more)  # few rows have any: the texts need not move to meet them
+    added = F.transform("_more", lambda m: F.struct(m["start"].alias("start"), F.lit(len(KINDS)).alias("order"), m["stop"].alias("stop"), F.lit(CONTEXT).alias("kind")))
     base = F.transform("_pii.base", lambda b: F.struct(b["start"], b["order"], b["stop"], b["kind"]))
-    spans = F.sort_array(F.concat(base, F.coalesce("_more", F.array().cast("array<struct<start:int,order:int,stop:int,kind:string>>"))))
+    spans = F.sort_array(F.concat(base, F.coalesce(added, F.array().cast("array<struct<start:int,order:int,stop:int,kind:string>>"))))
     return spots.join(more, "_pii_row", "left").select(*own, spans.alias("_spans"))
 
 
