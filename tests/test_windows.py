@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import statistics
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
@@ -229,3 +230,36 @@ def test_ranks_with_nulls_hot_and_cold(spark, backwards):
 def test_median_of_a_key_without_values(spark):
     df = spark.createDataFrame([("a", None), ("a", None), ("b", 1.0), ("b", 4.0), (None, 2.0)], "k STRING, v DOUBLE")
     assert bag(exact_median(df, ["k"], "v", 10.0)) == [(None, 2.0), ("a", None), ("b", 2.5)]
+
+
+_PLACES = {
+    "INT": [None, -25, -24, -10, -1, 0, 1, 2, 9, 10, 11, 19, 20, 500],
+    "DOUBLE": [None, float("-inf"), -20.5, -10.0, -1e-20, 0.0, 0.25, 9.999, 10.0, 10.25, 1e9, float("inf"), float("nan")],
+    "DECIMAL(12, 2)": [None, Decimal("-10.50"), Decimal("-0.50"), Decimal("0.00"), Decimal("9.50"), Decimal("10.00")],
+}
+
+
+@pytest.mark.parametrize("reach", [1, 10])
+@pytest.mark.parametrize("kind", _PLACES)
+def test_frames_of_hot_keys_equal_the_plain_window(spark, kind, reach):
+    """Frames at and around the borders of blocks, of slices wider and narrower than a frame, and of lone times."""
+    rnd = random.Random(7)
+    rows = [(i, rnd.choice(["a", None]), at, rnd.choice([None, 1, 2, 4, 8])) for i, at in enumerate(_PLACES[kind] * 4)]
+    df = spark.createDataFrame(rows, f"id INT, k STRING, at {kind}, v BIGINT")
+    place = F.when(F.abs("at") < 1e12, F.col("at"))
+    plain = Window.partitionBy("k").orderBy("at").rangeBetween(-reach, 0)
+    want = bag(df.select("id", F.sum("v").over(plain).cast("double"), F.count("v").over(plain)))
+    for width in (3, 1_000):
+        out = rolling_sums(df, ["k"], "at", F.floor(place / width), "v", reach, "w", 1)
+        assert bag(out, "id", "w_sum", "w_n") == want
+
+
+def test_frames_of_a_hot_key_cost_its_times_once(spark):
+    """No time is paired with slices or visited once per frame: 20 000 seconds, frames of 8 000, slices of 50."""
+    df = spark.range(20_000).select(F.lit(1).alias("k"), F.col("id").alias("at"), F.lit(1).alias("v"))
+    out = rolling_totals(df, ["k"], "at", time_slice("at", 50), "v", 8_000, "w", 1_000)
+    assert out.where(F.col("w_n") != F.least(F.col("at") + 1, F.lit(8_001))).count() == 0 and out.count() == 20_000
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    # No join by range, and only the window of the other keys has a frame by range.
+    assert not [line for line in text.splitlines() if "Join " in line and ">=" in line]
+    assert text.count("RangeFrame") == 2  # sum and count

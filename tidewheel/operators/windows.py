@@ -22,6 +22,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewheel.operators.skew import flag_hot
 
@@ -177,9 +178,9 @@ def rolling_sums(
     """Sum and count of ``value`` over ``[at - reach, at]``, both ends and all ties included.
 
     Values are added as they are: sums, NaN and large values come out as from a plain window. Keys
-    that are not hot get that window. Rows of hot keys are added up per time first; each slice of
-    times takes in the earlier times its frames reach back to, and the rows fetch the result of
-    their time. ``slice_by`` is an expression over ``at``.
+    that are not hot get that window. Rows of hot keys are added up per time first, the frames are
+    put together from running sums over slices of times, and the rows fetch the result of their
+    time. ``slice_by`` is an expression over ``at``, and is also applied to ``at - reach``.
     """
     flagged = _flagged(df, keys, hot_rows)
     w = Window.partitionBy(*keys).orderBy(at).rangeBetween(-reach, 0)
@@ -226,21 +227,48 @@ def _totals(w: WindowSpec, prefix: str) -> dict[str, Column]:
     }
 
 
+def _block(df: DataFrame, at: str, width: int) -> Column:
+    """Number of the ``width``-wide block that ``at`` falls in."""
+    if isinstance(df.schema[at].dataType, T.FloatType | T.DoubleType):
+        return F.floor(F.col(at) / width)
+    # A quotient of whole numbers would be a double, and put large neighbours into one block.
+    return F.call_function("div", F.col(at) - F.pmod(at, F.lit(width)), F.lit(width))
+
+
 def _framed(
     per_time: DataFrame, keys: Sequence[str], at: str, slice_by: Column, reach: int, prefix: str
 ) -> DataFrame:
-    """Frames over one row per time, slice by slice. A slice borrows the times it reaches back to."""
-    sliced = per_time.withColumn("_slice", slice_by)
-    firsts = sliced.groupBy(*keys, "_slice").agg(F.min(at).alias("_from"))
-    renamed = firsts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_into"), "_from")
-    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    reaches = (F.col(at) < F.col("_from")) & (F.col(at) >= F.col("_from") - reach)
-    borrowed = sliced.join(renamed, reduce(lambda a, b: a & b, [*same, reaches])).select(
-        *keys, at, "_d", "_c", F.col("_into").alias("_slice"), F.lit(True).alias("_borrowed")
-    )
-    rows = sliced.withColumn("_borrowed", F.lit(False)).unionByName(borrowed)
-    w = Window.partitionBy(*keys, "_slice").orderBy(at).rangeBetween(-reach, 0)
-    return rows.withColumns(_totals(w, prefix)).where("NOT _borrowed").select(*keys, at, f"{prefix}_n", f"{prefix}_sum")
+    """Frames over one row per time, at a cost in proportion to the times.
+
+    Blocks of time are as wide as ``reach``, so a frame is the end of one block, from ``at - reach`` on,
+    and the beginning of the next, up to ``at``. Both are running sums within a block, cut into slices;
+    for the first, each time sends a row to where its frame begins. Only values of a frame are added up
+    for it. A time that ``reach`` does not move (NULL, NaN, infinite) is a frame of its own.
+    """
+    n, total = F.col("_c"), F.col("_d")
+    if reach:
+        begin, parts, lone = F.col(at) - reach, [*keys, "_block"], F.col("_block").isNull()
+        block = F.when(begin < F.col(at), _block(per_time, at, reach))
+        times = per_time.withColumns({"_hot": F.lit(True), "_block": block, "_given": F.lit(True)})
+        upto = running_sums(times, parts, [at], slice_by, {"_c_upto": n, "_d_upto": total})
+        begins = upto.select(
+            *keys,
+            (F.col("_block") - 1).alias("_block"),
+            begin.alias(at),
+            F.col(at).alias("_of"),
+            F.when(lone, n).otherwise(F.col("_c_upto")).alias("_c_upto"),
+            F.when(lone, total).otherwise(F.col("_d_upto")).alias("_d_upto"),
+            F.lit(True).alias("_hot"),
+            F.lit(False).alias("_given"),
+        )
+        # Going backwards, a time comes before the frames that begin at it.
+        since = {"_c_since": F.when(~lone, n), "_d_since": F.when(~lone, total)}
+        both = times.unionByName(begins, allowMissingColumns=True)
+        both = running_sums(both, parts, [at, "_given"], slice_by, since, backwards=True).where("NOT _given")
+        per_time = both.select(*keys, F.col("_of").alias(at), *[
+            F.coalesce(F.col(f"_{c}_upto") + F.col(f"_{c}_since"), f"_{c}_upto", f"_{c}_since").alias(f"_{c}") for c in "cd"
+        ])
+    return per_time.select(*keys, at, n.alias(f"{prefix}_n"), total.cast("double").alias(f"{prefix}_sum"))
 
 
 def rolling_average(
