@@ -38,6 +38,12 @@ def test_join_strategies(spark):
     assert "BroadcastHashJoin" in broadcast and "Exchange hashpartitioning" not in broadcast
 
 
+def test_salted_join_never_broadcasts_its_copies(spark):
+    """Spark's size of the copied side does not count the copies, so it is left no choice."""
+    text = plan(QUERIES["jn_11_salted_join"](spark, BASE))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
 def test_aggregates_combine_before_the_shuffle(spark):
     text = plan(QUERIES["ag_13_partial_final"](spark, BASE))
     assert "partial_count" in text and text.count("Exchange") == 1

@@ -30,9 +30,12 @@ def small_side_join(
 def salted_join(
     fact: DataFrame, dim: DataFrame, keys: Sequence[str], row_id: Sequence[str], n: int = 16
 ) -> DataFrame:
-    """Inner join with every key spread over ``n`` salts; ``dim`` is copied ``n`` times."""
+    """Inner join with every key spread over ``n`` salts; ``dim`` is copied ``n`` times.
+
+    Always by shuffle: Spark takes the copies to be as small as ``dim``, and would broadcast all of them.
+    """
     left = fact.withColumn("_salt", salt_of(row_id, n))
-    right = dim.withColumn("_salt", copies(n))
+    right = dim.withColumn("_salt", copies(n)).hint("merge")
     return left.join(right, [*keys, "_salt"]).drop("_salt")
 
 
